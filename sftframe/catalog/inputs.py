@@ -1,7 +1,11 @@
-"""Inputs of the registered queries, from the tables of one folder."""
+"""Inputs of the registered queries, from the tables of one folder.
+
+Prepared tables are looked up once per session.
+"""
 
 from __future__ import annotations
 
+import functools
 import uuid
 from dataclasses import asdict
 from decimal import Decimal
@@ -17,7 +21,7 @@ from sftframe.plans import epochs
 from sftframe.session import shared_folder
 from sftframe.sources import adapters
 from sftframe.sources.cache import reuse
-from sftframe.sources.tables import instruction_table, read_table
+from sftframe.sources.tables import instruction_table, read_table, spread
 
 SFT = SftOptions(
     vocab_size=8192, max_length=256, test_split=Decimal("0.2"), world_size=4, batch_size=8, num_epochs=3
@@ -33,6 +37,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instruction_table(adapters.conversation_pairs(table(spark, sf_dir, "conversations")), SFT)
 
@@ -42,40 +50,53 @@ def _reused(spark, sf_dir, name, tables, build, options=None) -> DataFrame:
     return reuse(spark, name, paths, asdict(options) if options else {}, build)
 
 
+@functools.cache
+def kept_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs, written once: jobs that read them more than once do not repeat the join."""
+    return _reused(spark, sf_dir, "pairs", ["conversations"], lambda: pairs(spark, sf_dir))
+
+
+@functools.cache
 def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reused(
         spark,
         sf_dir,
         "vocab",
         ["conversations"],
-        lambda: V.build_vocab(P.tokenised(pairs(spark, sf_dir), SFT), "tokens", SFT.vocab_size),
+        lambda: V.build_vocab(P.tokenised(kept_pairs(spark, sf_dir), SFT), "tokens", SFT.vocab_size),
         SFT,
     )
 
 
+@functools.cache
 def specials(spark: SparkSession, sf_dir: str) -> V.Specials:
     return V.special_ids(vocab(spark, sf_dir))
 
 
+@functools.cache
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reused(
         spark,
         sf_dir,
         "prepared",
         ["conversations"],
-        lambda: P.prepare(pairs(spark, sf_dir), vocab(spark, sf_dir), SFT),
+        lambda: P.prepare(kept_pairs(spark, sf_dir), vocab(spark, sf_dir), SFT),
         SFT,
     )
 
 
-def plan(spark: SparkSession, sf_dir: str, opts: SftOptions = SFT) -> DataFrame:
-    return epochs.training_plan(prepared(spark, sf_dir).select("pair_id", "n_tokens"), opts)
+@functools.cache
+def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pair_id, n_tokens, split``: made once, as every plan reads it more than once."""
+    rows = prepared(spark, sf_dir).select("pair_id", "n_tokens")
+    return _reused(spark, sf_dir, "split", ["conversations"], lambda: epochs.assign_split(rows, SFT), SFT)
 
 
-def split_rows(spark: SparkSession, sf_dir: str, opts: SftOptions = SFT) -> DataFrame:
-    return epochs.assign_split(prepared(spark, sf_dir).select("pair_id", "n_tokens"), opts)
+def plan(spark: SparkSession, sf_dir: str, opts: SftOptions = SFT) -> DataFrame:
+    return epochs.epoch_plan(split_rows(spark, sf_dir), opts)
 
 
+@functools.cache
 def prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``p, pair_id, prompt, chosen, rejected``."""
     return _reused(
@@ -83,7 +104,7 @@ def prefs(spark: SparkSession, sf_dir: str) -> DataFrame:
         sf_dir,
         "prefs",
         ["conversations"],
-        lambda: adapters.preference_pairs(pairs(spark, sf_dir), PREF.seed),
+        lambda: adapters.preference_pairs(kept_pairs(spark, sf_dir), PREF.seed),
         PREF,
     )
 
@@ -92,14 +113,25 @@ def pref_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pairs(prefs(spark, sf_dir), vocab(spark, sf_dir), specials(spark, sf_dir))
 
 
+@functools.cache
 def unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token scores that stand in for a policy and a reference model."""
 
-    def build() -> DataFrame:
-        english = table(spark, sf_dir, "documents").where(F.col("lang") == "en").select("text")
-        return adapters.unigram_scores(pairs(spark, sf_dir).select(F.col("response").alias("text")), english)
-
-    return _reused(spark, sf_dir, "unigrams", ["conversations", "documents"], build)
+    english = documents(spark, sf_dir).where(F.col("lang") == "en").select("text")
+    responses = kept_pairs(spark, sf_dir).select(F.col("response").alias("text"))
+    policy = _reused(
+        spark, sf_dir, "policy-counts", ["conversations"], lambda: adapters.text_token_counts(responses)
+    )
+    reference = _reused(
+        spark, sf_dir, "reference-counts", ["documents"], lambda: adapters.text_token_counts(english)
+    )
+    return _reused(
+        spark,
+        sf_dir,
+        "unigrams",
+        ["conversations", "documents"],
+        lambda: adapters.unigram_scores(policy, reference),
+    )
 
 
 def scored_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,6 +144,7 @@ def logits(spark: SparkSession, sf_dir: str, scale: float = 10.0) -> DataFrame:
     return adapters.embedding_logits(table(spark, sf_dir, "embeddings"), scale)
 
 
+@functools.cache
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reused(
         spark, sf_dir, "steps", ["events"], lambda: adapters.event_steps(table(spark, sf_dir, "events"))

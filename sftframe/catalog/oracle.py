@@ -514,6 +514,12 @@ oracle(
     f"""select request_id, {r4("logp")} as logp, {r4("logit_sum")} as logit_sum, logit_count
         from place_scores where scale = 10""",
 )
+oracle(
+    "sequence_logp",
+    "place_sums",
+    f"""select pair_id, case side when 0 then 'chosen' else 'rejected' end as side, length, nll_count,
+               {r4("logp")} as logp, {r4("coalesce(nll_sum, 0)")} as nll_sum from place_sums where scale = 10""",
+)
 oracle(
     "dpo_rpo",
     "logit_losses",

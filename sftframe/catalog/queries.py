@@ -20,7 +20,7 @@ from sftframe.operators import preference as R
 from sftframe.operators import prepare as P
 from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
-from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions
+from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
 from sftframe.plans import epochs
 from sftframe.sources import adapters
 from sftframe.sources.tables import preference_table
@@ -133,9 +133,10 @@ def context_filter(spark, sf_dir):
 
 @query
 def context_filter_docs(spark, sf_dir):
-    pairs = adapters.document_pairs(I.table(spark, sf_dir, "documents"))
-    tokens = P.tokenised(pairs, SftOptions())
-    return P.within_context(tokens, 1024).select("pair_id", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    pairs = adapters.document_pairs(I.documents(spark, sf_dir))
+    opts = SftOptions(max_length=resolve_max_length(1024, 2048, 1024))
+    tokens = P.tokenised(pairs, opts)
+    return P.within_context(tokens, opts.max_length).select("pair_id", F.col("n_tokens").cast("bigint").alias("n_tokens"))
 
 
 @query
@@ -444,14 +445,20 @@ def _places(spark, sf_dir, scale):
 def _logit_pairs(spark, sf_dir):
     """Pairs with policy sums from the scores, and reference sums from the same scores at a lower scale."""
     key = ["pair_id"]
-    policy = D.wide_pairs(D.sequence_sums(D.realigned(_places(spark, sf_dir, 10.0), key), key), key)
-    reference = D.wide_pairs(D.sequence_sums(_places(spark, sf_dir, 8.0), key), key).select(
+    policy = D.pair_sums(D.realigned(_places(spark, sf_dir, 10.0), key), key)
+    reference = D.pair_sums(_places(spark, sf_dir, 8.0), key).select(
         "pair_id", F.col("chosen_logp").alias("ref_chosen_logp"), F.col("rejected_logp").alias("ref_rejected_logp")
     )
     batch = F.floor(F.col("pair_id") / 8).alias("batch")
     return D.with_reference(policy, reference, key).select("*", batch)
 
 
+@query
+def sequence_logp(spark, sf_dir):
+    sums = D.sequence_sums(_places(spark, sf_dir, 10.0), ["pair_id"])
+    return sums.select("pair_id", "side", "length", "nll_count", *rounded("logp", "nll_sum"))
+
+
 @query
 def dpo_rpo(spark, sf_dir):
     scored = D.score(_logit_pairs(spark, sf_dir), PreferenceOptions(rpo_alpha=0.5), ["batch"]).pairs

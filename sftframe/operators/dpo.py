@@ -41,23 +41,15 @@ def label_scores(df: DataFrame, logits: str = "logits", label: str = "label_id",
 def long_label_scores(scores: DataFrame, place: list[str]) -> DataFrame:
     """``place, logp, logit_sum, logit_count`` from a long table ``place, token_id, logit, label_id``.
 
-    The first pass finds the maximum of every place, the second one the sum relative to it; a group is the
-    vocabulary of one place.
+    Rows are shuffled once, by place; a group is the vocabulary of one place.
     """
-    tops = scores.groupBy(*place).agg(F.max("logit").alias("_top"))
-    relative = F.exp(F.col("logit") - F.col("_top"))
-    return (
-        scores.join(tops, place)
-        .groupBy(*place)
-        .agg(
-            (
-                F.max(F.when(F.col("token_id") == F.col("label_id"), F.col("logit")))
-                - F.max("_top")
-                - F.log(F.sum(relative))
-            ).alias("logp"),
-            F.sum("logit").alias("logit_sum"),
-            F.count("*").alias("logit_count"),
-        )
+    topped = scores.withColumn("_top", F.max("logit").over(Window.partitionBy(*place)))
+    of_label = F.max(F.when(F.col("token_id") == F.col("label_id"), F.col("logit")))
+    mass = F.sum(F.exp(F.col("logit") - F.col("_top")))
+    return topped.groupBy(*place).agg(
+        (of_label - F.max("_top") - F.log(mass)).alias("logp"),
+        F.sum("logit").alias("logit_sum"),
+        F.count("*").alias("logit_count"),
     )
 
 
@@ -70,50 +62,61 @@ def realigned(places: DataFrame, key: list[str]) -> DataFrame:
     The policy weight subtracts ``lse2`` of a place from the log-probability that stands there after scores have
     been moved one place on.  Without this step the weight uses the place's own log-probability.
     """
+    in_pair = Window.partitionBy(*key).orderBy("side", "pos")
     masked = F.when(F.col("mask") == 1, F.col("logp")).otherwise(0.0)
-    return places.withColumn(
-        "realigned_logp", F.lag(masked, 1, 0.0).over(Window.partitionBy(*key, "side").orderBy("pos"))
-    )
+    same_side = F.lag("side").over(in_pair) == F.col("side")
+    return places.withColumn("realigned_logp", F.when(same_side, F.lag(masked).over(in_pair)).otherwise(0.0))
+
 
+def _sums(places: DataFrame, opts: PreferenceOptions, rows: Column) -> dict[str, Column]:
+    masked = rows & (F.col("mask") == 1)
+    scored = masked & ~F.col("is_last")
+    counted = scored if opts.nll_mask == "loss_mask" else scored & (F.col("label_id") != 0)
 
-def _weight_logp(places: DataFrame) -> str:
-    return "realigned_logp" if "realigned_logp" in places.columns else "logp"
+    def over(some: Column, value: Column) -> Column:
+        return F.coalesce(F.sum(F.when(some, value)), F.lit(0.0))
+
+    sums = {
+        "logp": over(scored, F.col("logp")),
+        "length": F.count_if(masked),
+        "nll_sum": over(counted, -F.col("logp")),
+        "nll_count": F.count_if(counted),
+    }
+    if "logit_sum" in places.columns:
+        sums["logit_sum"] = over(masked, F.col("logit_sum"))
+        sums["logit_count"] = F.coalesce(F.sum(F.when(masked, F.col("logit_count"))), F.lit(0))
+    if "lse2" in places.columns:
+        logp = F.col("realigned_logp" if "realigned_logp" in places.columns else "logp")
+        sums["weight_sum"] = over(masked, logp - F.col("lse2"))
+    return sums
 
 
 def sequence_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | None = None) -> DataFrame:
-    """Sums per ``key, side`` of scored places: ``side, pos, mask, label_id, logp`` and the optional extras.
+    """Sums per ``key, side`` of scored places: ``pos, mask, is_last, label_id, logp`` and the optional extras.
 
     ``pos`` is the place of the score and says something about token ``pos + 1``; the mask is the rolled loss
     mask.  Lengths count every masked place.  The log-probability leaves out a mask that wrapped around to the
     last place (``is_last``), because that token has no score.
     """
-    scored = (F.col("mask") == 1) & ~F.col("is_last")
-    masked = F.col("mask") == 1
+    sums = _sums(places, opts or PreferenceOptions(), F.lit(True))
+    return places.groupBy(*key, "side").agg(*[column.alias(name) for name, column in sums.items()])
 
-    def over(rows: Column, value: Column) -> Column:
-        return F.coalesce(F.sum(F.when(rows, value)), F.lit(0.0))
-
-    opts = opts or PreferenceOptions()
-    counted = scored if opts.nll_mask == "loss_mask" else scored & (F.col("label_id") != 0)
-    wanted = {
-        "logp": over(scored, F.col("logp")),
-        "length": F.sum(F.when(masked, 1).otherwise(0)).cast("bigint"),
-        "nll_sum": over(counted, -F.col("logp")),
-        "nll_count": F.sum(F.when(counted, 1).otherwise(0)).cast("bigint"),
-    }
-    if "logit_sum" in places.columns:
-        wanted["logit_sum"] = over(masked, F.col("logit_sum"))
-        wanted["logit_count"] = F.sum(F.when(masked, F.col("logit_count")).otherwise(0)).cast("bigint")
-    if "lse2" in places.columns:
-        wanted["weight_sum"] = over(masked, F.col(_weight_logp(places)) - F.col("lse2"))
-    return places.groupBy(*key, "side").agg(*[column.alias(name) for name, column in wanted.items()])
 
+def pair_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | None = None) -> DataFrame:
+    """The same sums with one row per pair: ``chosen_*`` and ``rejected_*``, in one shuffle and without a self-join.
 
-def wide_pairs(sums: DataFrame, key: list[str]) -> DataFrame:
-    """One row per pair: ``chosen_*`` and ``rejected_*`` by conditional aggregation, without a self-join."""
-    values = [name for name in sums.columns if name not in (*key, "side")]
-    return sums.groupBy(*key).agg(
-        *[F.max(F.when(F.col("side") == side, F.col(name))).alias(f"{side}_{name}") for side in SIDES for name in values]
+    Pairs that lack a side are left out.
+    """
+    opts = opts or PreferenceOptions()
+    columns = [
+        column.alias(f"{side}_{name}")
+        for side in SIDES
+        for name, column in _sums(places, opts, F.col("side") == side).items()
+    ]
+    both = [F.count_if(F.col("side") == side).alias(f"_{side}_places") for side in SIDES]
+    summed = places.groupBy(*key).agg(*columns, *both)
+    return summed.where((F.col("_chosen_places") > 0) & (F.col("_rejected_places") > 0)).drop(
+        "_chosen_places", "_rejected_places"
     )
 
 

@@ -17,12 +17,9 @@ def formatted(pairs: DataFrame, opts: SftOptions) -> DataFrame:
 
 
 def tokenised(pairs: DataFrame, opts: SftOptions) -> DataFrame:
-    """``pair_id, full_text, tokens, n_tokens``."""
-    return (
-        formatted(pairs, opts)
-        .withColumn("tokens", X.pre_tokens(F.col("full_text"), opts.eos_token))
-        .withColumn("n_tokens", F.size("tokens"))
-    )
+    """``pair_id, full_text, tokens, n_tokens``.  Text is split once, also when a filter on the length follows."""
+    tokens = X.once(X.pre_tokens(F.col("full_text"), opts.eos_token)).alias("tokens")
+    return formatted(pairs, opts).select("pair_id", "full_text", tokens).withColumn("n_tokens", F.size("tokens"))
 
 
 def within_context(df: DataFrame, max_length: int, n_col: str = "n_tokens") -> DataFrame:

@@ -44,23 +44,16 @@ def build_vocab(
         .where(~F.col("token").isin(eos, unk, pad))
         .orderBy(F.desc("n"), "token")
         .limit(size)
+        .withColumn("_class", F.lit(0))
     )
-    ranked = top.select(
-        "token",
-        (F.row_number().over(Window.orderBy(F.desc("n"), "token")) - 1).cast("int").alias("id"),
-        "n",
-        F.lit(False).alias("special"),
-    )
-    added = ranked.agg(F.count("*").alias("_size")).select(
-        F.posexplode(F.array(F.lit(unk), F.lit(eos), F.lit(pad))).alias("_at", "token"), "_size"
-    )
+    added = df.sparkSession.range(1).select(F.posexplode(F.array(F.lit(unk), F.lit(eos), F.lit(pad))))
     specials = added.select(
-        "token",
-        (F.col("_size") + F.col("_at")).cast("int").alias("id"),
-        F.lit(0).cast("bigint").alias("n"),
-        F.lit(True).alias("special"),
+        F.col("col").alias("token"), F.lit(0).cast("bigint").alias("n"), (F.col("pos") + 1).alias("_class")
+    )
+    place = F.row_number().over(Window.orderBy("_class", F.desc("n"), "token"))
+    return top.unionByName(specials).select(
+        "token", (place - 1).cast("int").alias("id"), "n", (F.col("_class") > 0).alias("special")
     )
-    return ranked.unionByName(specials)
 
 
 def use_vocab(table: DataFrame, specials: list[str], pad: str = PAD_TOKEN) -> tuple[DataFrame, bool]:

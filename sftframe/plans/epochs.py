@@ -9,12 +9,6 @@ from sftframe.options import SftOptions
 from sftframe.plans.index import bucket_digits, hashed_positions, seeded_key
 
 
-def training_plan(rows: DataFrame, opts: SftOptions) -> DataFrame:
-    """Split and epoch plan of ``pair_id, n_tokens``; the rows are counted once, to size the buckets."""
-    digits = bucket_digits(rows.count())
-    return epoch_plan(assign_split(rows, opts, digits), opts, digits)
-
-
 def assign_split(rows: DataFrame, opts: SftOptions, digits: int | None = None) -> DataFrame:
     """Add ``split``: the first ``ceil(test_split * N)`` rows of one seeded order are test rows, for every rank."""
     digits = digits or bucket_digits(rows.count())
@@ -33,7 +27,8 @@ def epoch_plan(rows: DataFrame, opts: SftOptions, digits: int | None = None) ->
 
     Every epoch has its own seeded order.  Place ``p`` goes to rank ``p % world_size``; the tail below one full
     round of ranks is dropped.  A single-process run drops the short last training batch instead.  ``width`` is
-    the longest row of the batch.  Token arrays are not carried through the shuffle.
+    the longest row of the batch.  Token arrays are not carried through the shuffle.  ``rows`` is read more than
+    once, so it should be a written table.
     """
     digits = digits or bucket_digits(rows.count())
     epochs = F.explode(F.sequence(F.lit(0), F.lit(opts.num_epochs - 1))).alias("epoch")

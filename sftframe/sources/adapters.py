@@ -40,40 +40,37 @@ def document_pairs(documents: DataFrame) -> DataFrame:
 def preference_pairs(pairs: DataFrame, seed: int = 42) -> DataFrame:
     """``p, pair_id, prompt, chosen, rejected``: the rejected text is the response of the next pair in a seeded order.
 
-    The last pair takes the first one's.  Both join sides have one row per place ``p``.
+    The last pair takes the first one's.  The order is made from ids alone; each text is shuffled once per side.
     """
+    ids = pairs.select("pair_id")
     key = seeded_key(F.lit(seed), F.lit(0), F.col("pair_id"))
-    placed = hashed_positions(pairs, key, "pair_id", [], bucket_digits(pairs.count()))
-    asked = placed.select(
-        "p",
-        F.pmod(F.col("p") + 1, F.col("n")).alias("_next"),
-        "pair_id",
-        F.col("instruction").alias("prompt"),
-        F.col("response").alias("chosen"),
-    )
-    others = placed.select(F.col("p").alias("_next"), F.col("response").alias("rejected"))
-    return asked.join(others, "_next").select("p", "pair_id", "prompt", "chosen", "rejected")
-
-
-def unigram_scores(policy_texts: DataFrame, reference_texts: DataFrame) -> DataFrame:
-    """``token, policy, reference``: add-one unigram log-probabilities of every token in the policy texts."""
-
-    def counts(df: DataFrame) -> DataFrame:
-        return token_counts(df.select(X.pre_tokens(F.col("text")).alias("tokens")), "tokens")
-
-    policy, reference = counts(policy_texts), counts(reference_texts)
-    mass = (F.sum("n") + F.count("*")).alias
-    p_mass = policy.agg(mass("p_mass"))
-    r_mass = reference.agg(mass("r_mass"))
-    return (
-        policy.join(reference.withColumnRenamed("n", "n_ref"), "token", "left")
-        .join(F.broadcast(p_mass))
-        .join(F.broadcast(r_mass))
-        .select(
-            "token",
-            F.log((F.col("n") + 1) / F.col("p_mass")).alias("policy"),
-            F.log((F.coalesce("n_ref", F.lit(0)) + 1) / F.col("r_mass")).alias("reference"),
-        )
+    placed = hashed_positions(ids, key, "pair_id", [], bucket_digits(ids.count()))
+    after = placed.select(F.pmod(F.col("p") - 1, F.col("n")).alias("p"), F.col("pair_id").alias("_next_id"))
+    neighbours = placed.select("p", "pair_id").join(after, "p")
+    asked = pairs.select("pair_id", F.col("instruction").alias("prompt"), F.col("response").alias("chosen"))
+    others = pairs.select(F.col("pair_id").alias("_next_id"), F.col("response").alias("rejected"))
+    joined = neighbours.join(asked, "pair_id").join(others, "_next_id")
+    return joined.select("p", "pair_id", "prompt", "chosen", "rejected")
+
+
+def text_token_counts(texts: DataFrame) -> DataFrame:
+    """``token, n`` of a ``text`` column."""
+    return token_counts(texts.select(X.pre_tokens(F.col("text")).alias("tokens")), "tokens")
+
+
+def unigram_scores(policy_counts: DataFrame, reference_counts: DataFrame) -> DataFrame:
+    """``token, policy, reference``: add-one unigram log-probabilities of every token that the policy has counted."""
+
+    def mass(counts: DataFrame) -> int:
+        row = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).first()
+        return (row["tokens"] or 0) + row["types"]
+
+    policy_mass, reference_mass = mass(policy_counts), mass(reference_counts)
+    joined = policy_counts.join(reference_counts.withColumnRenamed("n", "n_ref"), "token", "left")
+    return joined.select(
+        "token",
+        F.log((F.col("n") + 1) / policy_mass).alias("policy"),
+        F.log((F.coalesce("n_ref", F.lit(0)) + 1) / reference_mass).alias("reference"),
     )
 
 

@@ -1,50 +1,58 @@
-"""Reuse of prepared tables: each is written once per state of its source files and options."""
+"""Reuse of prepared tables: each is written once per state of its source files, options and code."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sftframe.session import shared_folder
 
-_DONE_SCHEMA = "name STRING"
+FOLDER_SETTING = "spark.sftframe.preparedDir"
 
 
-def source_state(spark: SparkSession, paths: list[str]) -> dict[str, list]:
-    """Number, size and change times of the files below each path; file contents are not read."""
+def prepared_folder(spark: SparkSession) -> str:
+    return spark.conf.get(FOLDER_SETTING, None) or f"{shared_folder(spark)}/prepared"
+
+
+def _located(spark: SparkSession, text: str):
+    """The path and the file system it is on, local or remote."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def source_state(spark: SparkSession, paths: list[str]) -> dict[str, list[int]]:
+    """Number of files, bytes and change time of each path: a few calls to the file system, whatever the size."""
     state = {}
-    for path in paths:
-        files = (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .load(path)
-            .select("path", "length", F.unix_micros("modificationTime").alias("changed"))
-        )
-        row = files.agg(
-            F.count("*").alias("files"),
-            F.sum("length").alias("bytes"),
-            F.bit_xor(F.xxhash64("path", "length", "changed")).alias("mark"),
-        ).first()
-        state[path] = [row["files"], row["bytes"], row["mark"]]
+    for text in paths:
+        path, files = _located(spark, text)
+        summary = files.getContentSummary(path)
+        state[text] = [summary.getFileCount(), summary.getLength(), files.getFileStatus(path).getModificationTime()]
     return state
 
 
+@functools.cache
+def code_state() -> str:
+    """Hash of this package, so that tables written by other code are not taken up again."""
+    package = Path(__file__).parents[1]
+    files = sorted(package.rglob("*.py"))
+    return hashlib.sha256(b"".join(path.read_bytes() for path in files)).hexdigest()
+
+
 def fingerprint(spark: SparkSession, name: str, paths: list[str], options: dict) -> str:
-    text = json.dumps([name, source_state(spark, paths), options], sort_keys=True, default=str)
-    return hashlib.sha256(text.encode()).hexdigest()[:20]
+    parts = [name, code_state(), source_state(spark, paths), options]
+    return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()[:20]
 
 
-def _is_done(spark: SparkSession, folder: str) -> bool:
-    try:
-        spark.read.schema(_DONE_SCHEMA).json(f"{folder}/done")
-    except AnalysisException:
-        return False
-    return True
+def _finished(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the complete tables in the folder."""
+    pattern, files = _located(spark, f"{folder}/*.done")
+    return sorted(found.getPath().getName().removesuffix(".done") for found in files.globStatus(pattern) or [])
 
 
 def reuse(
@@ -57,11 +65,14 @@ def reuse(
 ) -> DataFrame:
     """Read the prepared table ``name`` if it is already there, else build and write it first.
 
-    The ``done`` marker is written last, so a table whose writer died is written again and never read by halves.
+    Every writer has a folder of its own and marks it when it is complete.  Half-written tables are therefore
+    never read, and writers do not disturb each other or readers.
     """
-    root = root or f"{shared_folder(spark)}/prepared"
-    folder = f"{root}/{name}-{fingerprint(spark, name, paths, options)}"
-    if not _is_done(spark, folder):
-        build().write.mode("overwrite").parquet(f"{folder}/data")
-        spark.createDataFrame([(name,)], _DONE_SCHEMA).coalesce(1).write.mode("overwrite").json(f"{folder}/done")
-    return spark.read.parquet(f"{folder}/data")
+    folder = f"{root or prepared_folder(spark)}/{name}-{fingerprint(spark, name, paths, options)}"
+    finished = _finished(spark, folder)
+    if not finished:
+        finished = [uuid.uuid4().hex]
+        build().write.parquet(f"{folder}/{finished[0]}")
+        mark, files = _located(spark, f"{folder}/{finished[0]}.done")
+        files.create(mark).close()
+    return spark.read.parquet(f"{folder}/{finished[0]}")

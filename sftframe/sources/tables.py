@@ -35,6 +35,15 @@ def read_table(
     return require_columns(df, ["split"], path).where(F.col("split") == split)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of a small table before costly work on its rows.
+
+    A table with a split per core or more, as any large table has, is returned as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def instruction_table(df: DataFrame, opts: SftOptions) -> DataFrame:
     """``pair_id, instruction, response``, taken from the columns that the options name."""
     require_columns(df, [opts.id_col, opts.instruction_col, opts.response_col], "the instruction table")
