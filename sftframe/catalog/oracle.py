@@ -10,11 +10,14 @@ SYSTEM_V2 = "'Below is an instruction that describes a task. Write a response th
 INSTRUCTION = "'###Instruction:' || chr(10)"
 RESPONSE = "chr(10) || chr(10) || '###Response:' || chr(10)"
 EOS = "'<|endoftext|>'"
-PATTERN = r"<\|endoftext\|>| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 
 def cut(text: str) -> str:
-    return f"regexp_extract_all({text}, '{PATTERN}', 0)"
+    """Pieces of a text: EOS splits it first, then the pattern splits the parts."""
+    pieces = f"regexp_extract_all(part, '{PATTERN}', 0)"
+    return f"""flatten(list_transform(string_split({text}, {EOS}),
+        lambda part, nr: case when nr = 1 then {pieces} else list_prepend({EOS}, {pieces}) end))"""
 
 
 def text(ids: str) -> str:

@@ -9,14 +9,14 @@ from pyspark.sql import functions as F
 
 from sftframe.options import EOS_TOKEN
 
-# The prompt formats that trained models expect, and the split pattern.
+# The prompt formats that trained models expect, and the kinds of pieces that text is split into.
 SYSTEM_TEXT = {
     "v1": "Below is an instruction that describes a task. Write a response that completes the request.\n\n",
     "v2": "Below is an instruction that describes a task. Write a response that completes the request. \n\n",
 }
 INSTRUCTION_MARKER = "###Instruction:\n"
 RESPONSE_MARKER = "###Response:\n"
-WORD_PATTERN = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+LETTERS, DIGITS, OTHER, SPACES = r" ?\p{L}+", r" ?\p{N}+", r"[^\s\p{L}\p{N}]", r"\s+"
 
 
 def _required(col: Column, what: str) -> Column:
@@ -38,9 +38,13 @@ def format_full_text(instruction: Column, response: Column, template: str = "v2"
 
 
 def pre_tokens(text: Column, eos: str = EOS_TOKEN) -> Column:
-    """Split text into pieces whose concatenation is the text; EOS stays one piece."""
+    """Split text into pieces whose concatenation is the text.
+
+    EOS is always a piece of its own: the signs before it end where it begins.
+    """
     eos_pattern = re.sub(r"([^\w\s<>])", r"\\\1", eos)
-    return F.regexp_extract_all(text, F.lit(f"{eos_pattern}|{WORD_PATTERN}"), F.lit(0))
+    signs = f" ?(?:(?!{eos_pattern}){OTHER})+"
+    return F.regexp_extract_all(text, F.lit("|".join([eos_pattern, LETTERS, DIGITS, signs, SPACES])), F.lit(0))
 
 
 def instruction_part(text: Column) -> Column:
