@@ -12,6 +12,7 @@ from sftframe.functions.numeric import let
 from sftframe.operators.prepare import decode
 from sftframe.operators.vocab import Specials
 from sftframe.options import SftOptions
+from sftframe.session import ship_package
 
 BATCH_KEY = ["split", "epoch", "rank", "batch"]
 
@@ -80,6 +81,7 @@ def stack(examples: DataFrame) -> DataFrame:
 
 def collate_with(examples: DataFrame, collator: Callable, schema: str) -> DataFrame:
     """Hand each batch to a collator of the user's: a function from a pandas frame to a pandas frame."""
+    ship_package(examples.sparkSession)
     return examples.groupBy(*BATCH_KEY).applyInPandas(collator, schema)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from sftframe.functions import arrays as A
 from sftframe.functions.numeric import let, softmax
 from sftframe.options import DecodeOptions
+from sftframe.session import ship_package
 
 # -- a row holds all scores of one step of one request: nothing is shuffled ----------------------------------------
 
@@ -159,6 +160,7 @@ def generate(requests: DataFrame, make_scorer: Callable[[], Scorer], eos_id: int
     prompt, so cropping the context loses none of them.  Requests stay in their partitions, and a draw depends only
     on the seed, the request and the step, so a task that runs again gives the same tokens.
     """
+    ship_package(requests.sparkSession)
     schema = T.StructType([*requests.schema.fields, T.StructField("new_ids", T.ArrayType(T.IntegerType()))])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -98,7 +98,7 @@ def flush_right(df: DataFrame) -> DataFrame:
     shifted = _each(
         df.withColumn("_shift", A.trailing_zeros(F.col("attention_mask"))), lambda x: A.rotate_right(x, F.col("_shift"))
     )
-    width = F.max(F.size("attention_mask") - A.leading_zeros(F.col("attention_mask"))).over(batch)
+    width = F.max(A.last_one(F.reverse("attention_mask"))).over(batch)
     return _each(shifted.withColumn("_width", width), lambda x: A.tail(x, F.col("_width"))).drop("_shift", "_width")
 
 

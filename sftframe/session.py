@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,3 +34,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
+
+
+@functools.cache
+def _archive() -> str:
+    package = Path(__file__).parent
+    return shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+
+
+@functools.cache
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, for jobs whose functions use it there."""
+    spark.sparkContext.addPyFile(_archive())
