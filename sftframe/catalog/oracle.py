@@ -36,7 +36,7 @@ def r4(value: str) -> str:
 PARTS: dict[str, tuple[list[str], str]] = {
     "pairs": (
         [],
-        """select conv_id * 1000 + turn as pair_id, text as instruction, reply as response
+        """select conv_id * 1000000000 + turn as pair_id, text as instruction, reply as response
            from (select *, lead(role) over w as next_role, lead(text) over w as reply
                  from conversations window w as (partition by conv_id order by turn))
            where role = 'user' and next_role = 'assistant'""",
@@ -259,6 +259,11 @@ def oracle(name: str, parts: str, select: str) -> None:
 
 oracle("sft_pairs", "pairs", "select * from pairs")
 oracle("sft_format", "formatted", "select * from formatted")
+oracle(
+    "source_formats",
+    "pairs",
+    "select format, pair_id, instruction, response from pairs, (values ('csv'), ('json'), ('orc')) f(format)",
+)
 oracle(
     "sft_prompt",
     "pairs",
@@ -647,7 +652,7 @@ WINDOWS = f"""select run_id, step as global_step, floor((step - 1) / 25)::intege
     from steps group by run_id, w) where step = (w + 1) * 20)"""
 
 oracle("run_steps", "steps", "select * from steps")
-for name in ("run_windows", "stream_windows"):
+for name in ("run_windows", "metric_sink", "stream_windows"):
     oracle(name, "steps", WINDOWS)
 
 STEPS = """select epoch, batch, (batch + 1)::integer as epoch_step, epoch * batches + batch + 1 as global_step, batches

@@ -23,7 +23,7 @@ from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
 from sftframe.plans import epochs
 from sftframe.sources import adapters
-from sftframe.sources.tables import preference_table
+from sftframe.sources.tables import instruction_table, preference_table, read_table
 from sftframe.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,20 @@ def sft_pairs(spark, sf_dir):
     return I.pairs(spark, sf_dir)
 
 
+@query
+def source_formats(spark, sf_dir):
+    """The pairs, written in the other formats and read back by column name."""
+    folder = I.new_folder(spark, "formats")
+    pairs = I.kept_pairs(spark, sf_dir)
+    read = []
+    for fmt in ("csv", "json", "orc"):
+        writer = pairs.write.option("header", True).option("escape", '"') if fmt == "csv" else pairs.write
+        writer.format(fmt).save(f"{folder}/{fmt}")
+        table = instruction_table(read_table(spark, f"{folder}/{fmt}", fmt, pairs.schema), I.SFT)
+        read.append(table.select(F.lit(fmt).alias("format"), "*"))
+    return read[0].unionByName(read[1]).unionByName(read[2])
+
+
 @query
 def sft_format(spark, sf_dir):
     pairs = I.pairs(spark, sf_dir)
@@ -644,6 +658,14 @@ def run_windows(spark, sf_dir):
     return _window_rows(H.run_windows(I.steps(spark, sf_dir), I.LOG))
 
 
+@query
+def metric_sink(spark, sf_dir):
+    """Log records are appended to the metric table of all runs and read back."""
+    folder = I.new_folder(spark, "metrics")
+    H.append_records(H.run_windows(I.steps(spark, sf_dir), I.LOG), folder)
+    return _window_rows(spark.read.parquet(folder))
+
+
 def _step_options(spark, sf_dir):
     sizes = epochs.split_sizes(I.split_rows(spark, sf_dir))
     batches = epochs.batch_counts(sizes, I.SFT).where(F.col("split") == "train").first()["batches"]

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
+HOT_ELEMENTS = 1000
 SALTS = 64
 
 
@@ -46,8 +47,8 @@ def lookup_arrays(
 
     ``wanted`` lists ``(array column, table column, new column, default)``.  An element that the table lacks gets
     the default.  Arrays must not be null.  A table of up to ``bound`` rows goes to the executors once and rows
-    stay where they are.  A larger table is joined: elements are spread over salts, so that a frequent element
-    does not fill one task, and arrays are put together again per ``row_key``, which must identify a row.
+    stay where they are.  A larger table is joined: the most frequent elements are spread over salts, so that none
+    fills a task, and arrays are put together again per ``row_key``, which must identify a row.
     """
     if is_small(table, bound):
         return _lookup_by_broadcast(df, table, table_key, wanted)
@@ -70,33 +71,34 @@ def _lookup_by_broadcast(df, table, table_key, wanted):
 
 
 def _lookup_by_join(df, table, table_key, wanted, row_key):
-    names = list(dict.fromkeys(column for _, column, _, _ in wanted))
-    salted = table.select(
-        F.col(table_key).alias("_element"),
-        *[F.col(name).alias(f"_to_{name}") for name in names],
-        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
-    )
+    types = dict(table.dtypes)
     result = df
     for source in dict.fromkeys(source for source, _, _, _ in wanted):
-        elements = df.select(*row_key, F.posexplode(source).alias("_at", "_element")).withColumn(
-            "_salt", F.pmod(F.hash(*row_key, "_at"), F.lit(SALTS))
-        )
-        joined = elements.join(salted, ["_element", "_salt"], "left")
         parts = [(column, new, default) for s, column, new, default in wanted if s == source]
-        entry = F.struct(
-            "_at", *[_or_default(F.col(f"_to_{column}"), default).alias(new) for column, new, default in parts]
-        )
-        lists = joined.groupBy(*row_key).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        result = result.join(lists, row_key, "left")
-        types = dict(table.dtypes)
-        result = result.withColumns(
-            {
-                new: F.coalesce(F.col(f"_entries.{new}"), F.array().cast(f"array<{types[column]}>"))
-                for column, new, _ in parts
-            }
-        ).drop("_entries")
+        elements = df.select(*row_key, F.posexplode(source).alias("_at", "_element"))
+        found = _join_salted(elements, table, table_key, [column for column, _, _ in parts], row_key)
+        entry = F.struct("_at", *[_or_default(F.col(f"_to_{column}"), default).alias(new) for column, new, default in parts])
+        lists = found.groupBy(*row_key).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+        arrays = {
+            new: F.coalesce(F.col(f"_entries.{new}"), F.array().cast(f"array<{types[column]}>")) for column, new, _ in parts
+        }
+        result = result.join(lists, row_key, "left").withColumns(arrays).drop("_entries")
     return result
 
 
+def _join_salted(elements, table, table_key, names, row_key):
+    """Every element outside the most frequent ``HOT_ELEMENTS`` is at most a thousandth of all; those get salts."""
+    counts = elements.groupBy("_element").agg(F.count("*").alias("_n"))
+    hot = counts.orderBy(F.desc("_n"), "_element").limit(HOT_ELEMENTS).select("_element", F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(F.hash(*row_key, "_at"), F.lit(SALTS))).otherwise(0)
+    salted_elements = elements.join(F.broadcast(hot), "_element", "left").withColumn("_salt", salt)
+    entries = table.select(
+        F.col(table_key).alias("_element"), *[F.col(name).alias(f"_to_{name}") for name in dict.fromkeys(names)]
+    )
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted_entries = entries.join(F.broadcast(hot), "_element", "left").withColumn("_salt", F.explode(salts))
+    return salted_elements.drop("_hot").join(salted_entries.drop("_hot"), ["_element", "_salt"], "left")
+
+
 def _or_default(value: Column, default) -> Column:
     return value if default is None else F.coalesce(value, F.lit(default))

@@ -106,9 +106,10 @@ def step_plan(batches: DataFrame, opts: LogOptions, end_of: str = "epoch") -> Da
 # -- sinks ----------------------------------------------------------------------------------------------------------
 
 
-def append_records(records: DataFrame, folder: str) -> None:
-    """Append log records to the metric table of all runs."""
-    records.write.mode("append").partitionBy("run_id").parquet(folder)
+def append_records(records: DataFrame, folder: str, by_run: bool = False) -> None:
+    """Append log records to the metric table of all runs; a folder per run suits few and long runs only."""
+    writer = records.write.mode("append")
+    (writer.partitionBy("run_id") if by_run else writer).parquet(folder)
 
 
 def run_record(

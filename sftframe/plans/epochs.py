@@ -34,7 +34,7 @@ def epoch_plan(rows: DataFrame, opts: SftOptions, digits: int | None = None) ->
     epochs = F.explode(F.sequence(F.lit(0), F.lit(opts.num_epochs - 1))).alias("epoch")
     expanded = rows.select("split", epochs, "pair_id", "n_tokens")
     key = seeded_key(F.lit(opts.seed), F.col("epoch"), F.col("split"), F.col("pair_id"))
-    placed = hashed_positions(expanded, key, "pair_id", ["split", "epoch"], digits)
+    placed = hashed_positions(expanded, key, "pair_id", ["split", "epoch"], digits, n_groups=2 * opts.num_epochs)
     world, size = F.lit(opts.world_size), F.lit(opts.batch_size)
     in_rank = F.floor(F.col("p") / world)
     batched = (

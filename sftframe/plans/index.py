@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sftframe.session import cut_lineage
 
+BROADCAST_ROWS = 500_000
 _ROWS_PER_BUCKET = 500_000
 _MAX_DIGITS = 4
 
@@ -25,13 +26,21 @@ def bucket_digits(rows: int) -> int:
 
 
 def hashed_positions(
-    df: DataFrame, key: Column, tie: str, groups: list[str], digits: int, position: str = "p", size: str = "n"
+    df: DataFrame,
+    key: Column,
+    tie: str,
+    groups: list[str],
+    digits: int,
+    position: str = "p",
+    size: str = "n",
+    n_groups: int = 1,
 ) -> DataFrame:
     """Add the row's position in ``key, tie`` order within its group, and the size of the group.
 
     ``key`` is an md5 text, hence uniform: its first digits cut every group, however large, into even buckets.
-    Rows are sorted per bucket; a bucket's first position comes from the counts of the buckets before it.  The
-    counts are at most ``groups * 16**digits`` rows, with groups limited by the options (splits x epochs).
+    Rows are sorted per bucket; a bucket's first position comes from the counts of the buckets before it.  There
+    are at most ``n_groups * 16**digits`` counts.  Up to ``BROADCAST_ROWS`` they are broadcast; beyond, they are
+    joined on the columns that the rows are partitioned by already.  ``tie`` must identify a row in its group.
     """
     keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
     counts = keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
@@ -43,10 +52,12 @@ def hashed_positions(
         F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"),
         F.sum("_rows").over(in_group).alias(size),
     )
+    if n_groups * 16**digits <= BROADCAST_ROWS:
+        starts = F.broadcast(starts)
     in_bucket = Window.partitionBy(*groups, "_bucket").orderBy("_key", tie)
     return (
         keyed.withColumn("_at", F.row_number().over(in_bucket) - 1)
-        .join(F.broadcast(starts), [*groups, "_bucket"])
+        .join(starts, [*groups, "_bucket"])
         .withColumn(position, (F.col("_start") + F.col("_at")).cast("bigint"))
         .drop("_key", "_bucket", "_at", "_start")
     )

@@ -11,11 +11,15 @@ from sftframe.operators.vocab import token_counts
 from sftframe.plans.index import bucket_digits, hashed_positions, ranged_positions, seeded_key
 
 
+TURNS = 1_000_000_000
+
+
 def conversation_pairs(conversations: DataFrame) -> DataFrame:
     """``pair_id, instruction, response``: a user turn and the assistant turn that follows it.
 
     Turns of a conversation are numbered without gaps, so the reply is the row with the next number.  The join key
-    (conversation, turn) is unique; a very long conversation spreads over all tasks.
+    (conversation, turn) is unique; a very long conversation spreads over all tasks.  A pair is named by
+    conversation and turn, and more than ``TURNS`` turns fail the job rather than give two pairs one name.
     """
     asked = conversations.where(F.col("role") == "user").select(
         "conv_id", (F.col("turn") + 1).alias("reply_turn"), F.col("text").alias("instruction")
@@ -23,8 +27,11 @@ def conversation_pairs(conversations: DataFrame) -> DataFrame:
     replies = conversations.where(F.col("role") == "assistant").select(
         "conv_id", F.col("turn").alias("reply_turn"), F.col("text").alias("response")
     )
-    pair_id = F.col("conv_id") * 1000 + F.col("reply_turn") - 1
-    return asked.join(replies, ["conv_id", "reply_turn"]).select(pair_id.alias("pair_id"), "instruction", "response")
+    turn = F.col("reply_turn") - 1
+    named = F.when(turn < TURNS, F.col("conv_id") * TURNS + turn).otherwise(
+        F.raise_error(F.lit("a conversation has too many turns"))
+    )
+    return asked.join(replies, ["conv_id", "reply_turn"]).select(named.alias("pair_id"), "instruction", "response")
 
 
 def document_pairs(documents: DataFrame) -> DataFrame:
