@@ -14,7 +14,8 @@ def assign_split(rows: DataFrame, opts: SftOptions, digits: int | None = None) -
     digits = digits or bucket_digits(rows.count())
     key = seeded_key(F.lit(opts.seed), F.lit("split"), F.col("pair_id"))
     placed = hashed_positions(rows, key, "pair_id", [], digits, "_p", "_n")
-    n_test = F.ceil(F.lit(opts.test_split).cast("decimal(9,6)") * F.col("_n"))
+    millionths = int(opts.test_split * 1_000_000)
+    n_test = F.expr(f"({millionths} * _n + 999999) div 1000000")
     return placed.withColumn("split", F.when(F.col("_p") < n_test, "test").otherwise("train")).drop("_p", "_n")
 
 

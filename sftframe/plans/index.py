@@ -10,11 +10,13 @@ from sftframe.session import cut_lineage
 BROADCAST_ROWS = 500_000
 _ROWS_PER_BUCKET = 500_000
 _MAX_DIGITS = 4
+_KEY_DIGITS = 15
 
 
 def seeded_key(*parts: Column) -> Column:
-    """Uniform, repeatable sort key: the same for any partitioning of the data."""
-    return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """Uniform, repeatable sort key of 60 bits: the same for any partitioning of the data."""
+    digits = F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, _KEY_DIGITS)
+    return F.conv(digits, 16, 10).cast("bigint")
 
 
 def bucket_digits(rows: int) -> int:
@@ -37,12 +39,13 @@ def hashed_positions(
 ) -> DataFrame:
     """Add the row's position in ``key, tie`` order within its group, and the size of the group.
 
-    ``key`` is an md5 text, hence uniform: its first digits cut every group, however large, into even buckets.
+    ``key`` is a ``seeded_key``, hence uniform: its first digits cut every group, however large, into even buckets.
     Rows are sorted per bucket; a bucket's first position comes from the counts of the buckets before it.  There
     are at most ``n_groups * 16**digits`` counts.  Up to ``BROADCAST_ROWS`` they are broadcast; beyond, they are
     joined on the columns that the rows are partitioned by already.  ``tie`` must identify a row in its group.
     """
-    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
+    bucket = F.shiftright("_key", 4 * (_KEY_DIGITS - digits)).cast("int")
+    keyed = df.withColumn("_key", key).withColumn("_bucket", bucket)
     counts = keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
     in_group = Window.partitionBy(*groups)
     before = in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,7 +57,7 @@ def hashed_positions(
     )
     if n_groups * 16**digits <= BROADCAST_ROWS:
         starts = F.broadcast(starts)
-    in_bucket = Window.partitionBy(*groups, "_bucket").orderBy("_key", tie)
+    in_bucket = Window.partitionBy("_bucket", *groups).orderBy("_key", tie)
     return (
         keyed.withColumn("_at", F.row_number().over(in_bucket) - 1)
         .join(starts, [*groups, "_bucket"])
