@@ -427,7 +427,7 @@ def label_logp(spark, sf_dir):
 
 
 def _long_logits(spark, sf_dir):
-    dense = I.logits(spark, sf_dir)
+    dense = I.logits(spark, sf_dir).select("request_id", "label_id", A.once(F.col("logits")).alias("logits"))
     return dense.select("request_id", "label_id", F.posexplode("logits").alias("token_id", "logit"))
 
 
@@ -504,7 +504,8 @@ def dpo_logit_metrics(spark, sf_dir):
 @query
 def topk_softmax(spark, sf_dir):
     kept = I.logits(spark, sf_dir).select("request_id", G.top_k(F.col("logits"), 5).alias("kept"))
-    shares = kept.select("request_id", F.posexplode(G.probabilities(F.col("kept"), 0.7)).alias("token_id", "probability"))
+    shares = kept.select("request_id", A.once(G.probabilities(F.col("kept"), 0.7)).alias("shares"))
+    shares = shares.select("request_id", F.posexplode("shares").alias("token_id", "probability"))
     return shares.where(F.col("probability") > 0).select("request_id", "token_id", *rounded("probability"))
 
 
@@ -539,8 +540,9 @@ def _history():
 
 @query
 def repetition(spark, sf_dir):
-    penalised = G.repetition_penalty(F.col("logits"), _history(), 1.1)
-    scores = I.logits(spark, sf_dir).select("request_id", F.posexplode(penalised).alias("token_id", "logit"))
+    penalised = A.once(G.repetition_penalty(F.col("logits"), _history(), 1.1)).alias("penalised")
+    scores = I.logits(spark, sf_dir).select("request_id", penalised)
+    scores = scores.select("request_id", F.posexplode("penalised").alias("token_id", "logit"))
     return scores.select("request_id", "token_id", *rounded("logit"))
 
 

@@ -6,6 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def once(value: Column) -> Column:
+    """For ``select``: the value as a column of its own, so that later filters and explodes do not repeat its work."""
+    return F.explode(F.array(value))
+
+
 def total(values: Column) -> Column:
     """Sum of a numeric array as a double."""
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)

@@ -51,8 +51,3 @@ def instruction_part(text: Column) -> Column:
     """The text up to the end of the first response marker; empty when there is none."""
     at = F.instr(text, F.lit(RESPONSE_MARKER))
     return F.when(at > 0, F.substr(text, F.lit(1), at + F.lit(len(RESPONSE_MARKER) - 1))).otherwise(F.lit(""))
-
-
-def once(value: Column) -> Column:
-    """For ``select``: the value as a column that later filters read, instead of repeating its work below them."""
-    return F.explode(F.array(value))

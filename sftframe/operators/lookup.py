@@ -7,6 +7,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sftframe.functions.arrays import once
+
 BROADCAST_ROWS = 500_000
 HOT_ELEMENTS = 1000
 SALTS = 64
@@ -75,7 +77,9 @@ def _lookup_by_join(df, table, table_key, wanted, row_key):
     result = df
     for source in dict.fromkeys(source for source, _, _, _ in wanted):
         parts = [(column, new, default) for s, column, new, default in wanted if s == source]
-        elements = df.select(*row_key, F.posexplode(source).alias("_at", "_element"))
+        elements = df.select(*row_key, once(F.col(source)).alias("_array")).select(
+            *row_key, F.posexplode("_array").alias("_at", "_element")
+        )
         found = _join_salted(elements, table, table_key, [column for column, _, _ in parts], row_key)
         entry = F.struct("_at", *[_or_default(F.col(f"_to_{column}"), default).alias(new) for column, new, default in parts])
         lists = found.groupBy(*row_key).agg(F.array_sort(F.collect_list(entry)).alias("_entries"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftframe.functions import text as X
+from sftframe.functions.arrays import once
 from sftframe.operators.lookup import BROADCAST_ROWS, lookup_arrays
 from sftframe.options import EOS_TOKEN, UNK_TOKEN, SftOptions
 
@@ -18,7 +19,7 @@ def formatted(pairs: DataFrame, opts: SftOptions) -> DataFrame:
 
 def tokenised(pairs: DataFrame, opts: SftOptions) -> DataFrame:
     """``pair_id, full_text, tokens, n_tokens``.  Text is split once, also when a filter on the length follows."""
-    tokens = X.once(X.pre_tokens(F.col("full_text"), opts.eos_token)).alias("tokens")
+    tokens = once(X.pre_tokens(F.col("full_text"), opts.eos_token)).alias("tokens")
     return formatted(pairs, opts).select("pair_id", "full_text", tokens).withColumn("n_tokens", F.size("tokens"))
 
 

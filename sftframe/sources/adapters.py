@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftframe.functions import text as X
+from sftframe.functions.arrays import once
 from sftframe.operators.lookup import lookup_arrays
 from sftframe.operators.vocab import token_counts
 from sftframe.plans.index import bucket_digits, hashed_positions, ranged_positions, seeded_key
@@ -62,7 +63,7 @@ def preference_pairs(pairs: DataFrame, seed: int = 42) -> DataFrame:
 
 def text_token_counts(texts: DataFrame) -> DataFrame:
     """``token, n`` of a ``text`` column."""
-    return token_counts(texts.select(X.pre_tokens(F.col("text")).alias("tokens")), "tokens")
+    return token_counts(texts.select(once(X.pre_tokens(F.col("text"))).alias("tokens")), "tokens")
 
 
 def unigram_scores(policy_counts: DataFrame, reference_counts: DataFrame) -> DataFrame:

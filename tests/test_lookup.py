@@ -4,6 +4,7 @@ from conftest import rows
 from sftframe.operators import prepare as P
 from sftframe.operators import vocab as V
 from sftframe.operators.lookup import BROADCAST_ROWS, is_small
+from sftframe.sources import adapters
 
 
 @pytest.fixture(scope="module")
@@ -65,3 +66,10 @@ def test_vocabulary_without_eos_is_refused(spark):
 def test_encode_text(spark, vocab):
     df = spark.createDataFrame([(1, "a"), (2, "ab")], "k BIGINT, t STRING")
     assert sorted(rows(P.encode_text(df, {"t": "ids"}, vocab, ["k"]).select("k", "ids"))) == [(1, [0]), (2, [2])]
+
+
+def test_counting_splits_each_text_once(spark):
+    texts = spark.createDataFrame([("a b a",), ("",)], "text STRING")
+    plan = adapters.text_token_counts(texts)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert sorted(rows(adapters.text_token_counts(texts))) == [(" a", 1), (" b", 1), ("a", 1)]
