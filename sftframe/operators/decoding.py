@@ -142,9 +142,9 @@ def _continue(
     for step in range(opts.max_new_tokens):
         if not active:
             break
-        contexts = [(prompts[i] + new[i])[-opts.context_size :] for i in active]
+        used = [prompts[i] + new[i] for i in active]
         draws = [(opts.seed, requests[i], step) for i in active]
-        chosen = _choose(np.asarray(scorer(contexts)), contexts, draws, opts)
+        chosen = _choose(np.asarray(scorer([ids[-opts.context_size :] for ids in used])), used, draws, opts)
         going = {i: int(token) for i, token in zip(active, chosen) if token != eos_id}
         for i, token in going.items():
             new[i].append(token)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -113,18 +116,24 @@ def append_records(records: DataFrame, folder: str, by_run: bool = False) -> Non
 
 
 def run_record(
-    spark: SparkSession, run_id: str, opts: LogOptions, train_rows: int, resumed: bool, single_process: bool = False
+    spark: SparkSession,
+    run_id: str,
+    opts: LogOptions,
+    train_rows: int,
+    resumed: bool,
+    single_process: bool = False,
+    options: object = None,
 ) -> DataFrame:
-    """One row: options and sizes of a run.
+    """One row: options and sizes of a run; ``options`` is any further options object, kept as JSON.
 
     A single process counts whole batches only; several processes count rows, and batches of all ranks.
     """
     size = opts.batches * opts.batch_size if single_process else train_rows
     row = (run_id, opts.lr, opts.weight_decay, opts.batch_size, opts.max_length, opts.num_epochs, size)
     return spark.createDataFrame(
-        [(*row, opts.batches * opts.world_size, opts.world_size, resumed)],
+        [(*row, opts.batches * opts.world_size, opts.world_size, resumed, json.dumps(options and asdict(options), default=str))],
         "run_id STRING, lr DOUBLE, weight_decay DOUBLE, batch_size INT, max_length INT, num_epochs INT,"
-        " training_rows BIGINT, num_batches BIGINT, world_size INT, resumed BOOLEAN",
+        " training_rows BIGINT, num_batches BIGINT, world_size INT, resumed BOOLEAN, options STRING",
     )
 
 

@@ -58,7 +58,6 @@ class SftOptions:
         object.__setattr__(self, "test_split", Decimal(str(self.test_split)))
         low_ok = self.test_split > 0 if self.single_process else self.test_split >= 0
         _require(low_ok and self.test_split <= 1, f"test_split out of range: {self.test_split}")
-        _require(self.test_split * 1_000_000 % 1 == 0, "test_split may have at most six decimal places")
         _require(self.template in ("v1", "v2"), f"unknown template {self.template!r}")
         _require(self.prompt_template in ("v1", "v2"), f"unknown prompt_template {self.prompt_template!r}")
         for name in ("vocab_size", "max_length", "world_size", "batch_size", "num_epochs", "min_pads_to_mask"):

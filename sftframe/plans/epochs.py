@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sftframe.options import SftOptions
-from sftframe.plans.index import bucket_digits, hashed_positions, seeded_key
+from sftframe.plans.index import among_first, bucket_digits, hashed_positions, seeded_key
 
 
-def assign_split(rows: DataFrame, opts: SftOptions, digits: int | None = None) -> DataFrame:
-    """Add ``split``: the first ``ceil(test_split * N)`` rows of one seeded order are test rows, for every rank."""
-    digits = digits or bucket_digits(rows.count())
+def assign_split(rows: DataFrame, opts: SftOptions) -> DataFrame:
+    """Add ``split``: the first ``ceil(test_split * N)`` rows of one seeded order are test rows, for every rank.
+
+    The rows are read a few times for their ids, and none is shuffled.
+    """
     key = seeded_key(F.lit(opts.seed), F.lit("split"), F.col("pair_id"))
-    placed = hashed_positions(rows, key, "pair_id", [], digits, "_p", "_n")
-    millionths = int(opts.test_split * 1_000_000)
-    n_test = F.expr(f"({millionths} * _n + 999999) div 1000000")
-    return placed.withColumn("split", F.when(F.col("_p") < n_test, "test").otherwise("train")).drop("_p", "_n")
+    is_test = among_first(rows, key, "pair_id", opts.test_split)
+    return rows.withColumn("split", F.when(is_test, "test").otherwise("train"))
 
 
 def split_sizes(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +14,8 @@ BROADCAST_ROWS = 500_000
 _ROWS_PER_BUCKET = 500_000
 _MAX_DIGITS = 4
 _KEY_DIGITS = 15
+_SELECT_DIGITS = 3
+_SELECT_ROWS = 10_000
 
 
 def seeded_key(*parts: Column) -> Column:
@@ -27,6 +32,34 @@ def bucket_digits(rows: int) -> int:
     return digits
 
 
+def among_first(df: DataFrame, key: Column, tie: str, share: Decimal) -> Column:
+    """Whether a row is one of the first ``ceil(share * N)`` in ``key, tie`` order, without sorting the table.
+
+    ``key`` is a ``seeded_key``.  Rows are counted per leading digits of the key, then again within the one bucket
+    that the limit falls into, until a few rows are left to sort.  The driver sees at most 4,096 counts at a time,
+    and the result is a plain comparison with the first row beyond the limit.
+    """
+    rows = df.select(key.alias("_key"), F.col(tie).alias("_tie"))
+    left, limit = None, 0
+    for shift in range(4 * (_KEY_DIGITS - _SELECT_DIGITS), -1, -4 * _SELECT_DIGITS):
+        bucket = F.shiftright("_key", shift)
+        counts = sorted(rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")).collect())
+        if left is None:
+            total = sum(row["rows"] for row in counts)
+            limit = left = math.ceil(share * total)
+            if limit == 0 or limit == total:
+                return F.lit(limit > 0)
+        for row in counts:
+            if left < row["rows"]:
+                break
+            left -= row["rows"]
+        rows = rows.where(bucket == row["bucket"])
+        if row["rows"] <= _SELECT_ROWS:
+            break
+    beyond = rows.orderBy("_key", "_tie").offset(left).first()
+    return (key < beyond["_key"]) | ((key == beyond["_key"]) & (F.col(tie) < beyond["_tie"]))
+
+
 def hashed_positions(
     df: DataFrame,
     key: Column,

@@ -1,4 +1,5 @@
 import hashlib
+import math
 from decimal import Decimal
 
 import pandas as pd
@@ -7,8 +8,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sftframe.options import SftOptions, resolve_max_length
-from sftframe.plans import epochs
-from sftframe.plans.index import bucket_digits, hashed_positions, ranged_positions, seeded_key
+from sftframe.plans import epochs, index
+from sftframe.plans.index import among_first, bucket_digits, hashed_positions, ranged_positions, seeded_key
 
 
 def split_table(spark, n, split="train"):
@@ -38,6 +39,21 @@ def test_ranged_positions_with_a_hot_group_and_equal_times(spark):
     assert len(placed) == 3000 and (merged["p_x"] == merged["p_y"]).all()
 
 
+@pytest.mark.parametrize("share", ["0.1", "0.333", "0.999"])
+def test_first_rows_are_those_of_the_sorted_table(spark, share, monkeypatch):
+    monkeypatch.setattr(index, "_SELECT_ROWS", 1)
+    df = spark.range(3000)
+    key = seeded_key(F.lit(9), F.col("id"))
+    order = sorted(range(3000), key=lambda i: (hashlib.md5(f"9|{i}".encode()).hexdigest()[:15], i))
+    wanted = order[: math.ceil(Decimal(share) * 3000)]
+    assert {r[0] for r in rows(df.where(among_first(df, key, "id", Decimal(share))))} == set(wanted)
+
+
+def test_split_shuffles_no_rows(spark):
+    made = epochs.assign_split(split_table(spark, 50).drop("split"), SftOptions())
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+
+
 def test_digits_grow_with_the_rows():
     assert bucket_digits(10) == 1
     assert bucket_digits(10**7) == 2

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -95,6 +97,7 @@ def test_record_sinks(spark, tmp_path):
 
 def test_run_record(spark):
     opts = LogOptions(batches=7, batch_size=4, world_size=3)
-    assert H.run_record(spark, "a", opts, 85, False).first()[6:] == (85, 21, 3, False)
+    row = H.run_record(spark, "a", opts, 85, False, options=opts).first()
+    assert row[6:10] == (85, 21, 3, False) and json.loads(row["options"])["world_size"] == 3
     alone = LogOptions(batches=7, batch_size=4)
-    assert H.run_record(spark, "a", alone, 85, True, single_process=True).first()[6:] == (28, 7, 1, True)
+    assert H.run_record(spark, "a", alone, 85, True, single_process=True).first()[6:10] == (28, 7, 1, True)
