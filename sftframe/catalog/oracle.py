@@ -89,14 +89,14 @@ PARTS: dict[str, tuple[list[str], str]] = {
     "splits": (
         ["prepared"],
         """select pair_id, n_tokens, case when p < ceil(0.2 * n) then 'test' else 'train' end as split
-           from (select *, row_number() over (order by md5('42|split|' || pair_id)[:15], pair_id) - 1 as p,
+           from (select *, row_number() over (order by md5('42|split|' || pair_id)[:16], pair_id) - 1 as p,
                         count(*) over () as n from prepared)""",
     ),
     "placed": (
         ["splits"],
         """select split, epoch::integer as epoch, pair_id, n_tokens, count(*) over (partition by split, epoch) as n,
                   row_number() over (partition by split, epoch
-                                     order by md5('42|' || epoch || '|' || split || '|' || pair_id)[:15], pair_id) - 1 as p
+                                     order by md5('42|' || epoch || '|' || split || '|' || pair_id)[:16], pair_id) - 1 as p
            from splits, range(3) e(epoch)""",
     ),
     "plan": (
@@ -126,7 +126,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
     ),
     "ordered": (
         ["pairs"],
-        """select *, count(*) over () as n, row_number() over (order by md5('42|0|' || pair_id)[:15], pair_id) - 1 as p
+        """select *, count(*) over () as n, row_number() over (order by md5('42|0|' || pair_id)[:16], pair_id) - 1 as p
            from pairs""",
     ),
     "pref_pieces": (

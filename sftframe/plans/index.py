@@ -13,15 +13,13 @@ from sftframe.session import cut_lineage
 BROADCAST_ROWS = 500_000
 _ROWS_PER_BUCKET = 500_000
 _MAX_DIGITS = 4
-_KEY_DIGITS = 15
-_SELECT_DIGITS = 3
+_SELECT_DIGITS = 4
 _SELECT_ROWS = 10_000
 
 
 def seeded_key(*parts: Column) -> Column:
-    """Uniform, repeatable sort key of 60 bits: the same for any partitioning of the data."""
-    digits = F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, _KEY_DIGITS)
-    return F.conv(digits, 16, 10).cast("bigint")
+    """Uniform, repeatable sort key of 16 hex digits: the same for any partitioning of the data."""
+    return F.substring(F.md5(F.concat_ws("|", *[p.cast("string") for p in parts])), 1, 16)
 
 
 def bucket_digits(rows: int) -> int:
@@ -36,13 +34,13 @@ def among_first(df: DataFrame, key: Column, tie: str, share: Decimal) -> Column:
     """Whether a row is one of the first ``ceil(share * N)`` in ``key, tie`` order, without sorting the table.
 
     ``key`` is a ``seeded_key``.  Rows are counted per leading digits of the key, then again within the one bucket
-    that the limit falls into, until a few rows are left to sort.  The driver sees at most 4,096 counts at a time,
+    that the limit falls into, until a few rows are left to sort.  The driver sees at most 65,536 counts at a time,
     and the result is a plain comparison with the first row beyond the limit.
     """
     rows = df.select(key.alias("_key"), F.col(tie).alias("_tie"))
     left, limit = None, 0
-    for shift in range(4 * (_KEY_DIGITS - _SELECT_DIGITS), -1, -4 * _SELECT_DIGITS):
-        bucket = F.shiftright("_key", shift)
+    for digits in range(_SELECT_DIGITS, 17, _SELECT_DIGITS):
+        bucket = F.substring("_key", 1, digits)
         counts = sorted(rows.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows")).collect())
         if left is None:
             total = sum(row["rows"] for row in counts)
@@ -77,8 +75,7 @@ def hashed_positions(
     are at most ``n_groups * 16**digits`` counts.  Up to ``BROADCAST_ROWS`` they are broadcast; beyond, they are
     joined on the columns that the rows are partitioned by already.  ``tie`` must identify a row in its group.
     """
-    bucket = F.shiftright("_key", 4 * (_KEY_DIGITS - digits)).cast("int")
-    keyed = df.withColumn("_key", key).withColumn("_bucket", bucket)
+    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, digits))
     counts = keyed.groupBy(*groups, "_bucket").agg(F.count("*").alias("_rows"))
     in_group = Window.partitionBy(*groups)
     before = in_group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
