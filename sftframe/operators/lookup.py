@@ -31,6 +31,8 @@ def _array_udf(shared, name: str, default, type_name: str):
         found = pc.take(columns[name], pc.index_in(flat, value_set=keys.cast(flat.type)))
         if default is not None:
             found = pc.fill_null(found, pa.scalar(default, found.type))
+        elif found.null_count:
+            raise ValueError(f"the lookup table lacks {flat.filter(found.is_null())[0].as_py()!r}")
         starts = pc.subtract(lists.offsets, lists.offsets[0])
         return type(lists).from_arrays(starts, found)
 
@@ -48,7 +50,7 @@ def lookup_arrays(
     """Add array columns made by looking up each element of an array column in ``table``.
 
     ``wanted`` lists ``(array column, table column, new column, default)``.  An element that the table lacks gets
-    the default.  Arrays must not be null.  A table of up to ``bound`` rows goes to the executors once and rows
+    the default; where that is None, it fails the job.  Arrays must not be null.  A table of up to ``bound`` rows goes to the executors once and rows
     stay where they are.  A larger table is joined: the most frequent elements are spread over salts, so that none
     fills a task, and arrays are put together again per ``row_key``, which must identify a row.
     """
@@ -105,4 +107,7 @@ def _join_salted(elements, table, table_key, names, row_key):
 
 
 def _or_default(value: Column, default) -> Column:
-    return value if default is None else F.coalesce(value, F.lit(default))
+    if default is None:
+        lacking = F.concat(F.lit("the lookup table lacks "), F.col("_element").cast("string"))
+        return F.coalesce(value, F.raise_error(lacking))
+    return F.coalesce(value, F.lit(default))

@@ -73,3 +73,11 @@ def test_counting_splits_each_text_once(spark):
     plan = adapters.text_token_counts(texts)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("regexp_extract_all") == 1
     assert sorted(rows(adapters.text_token_counts(texts))) == [(" a", 1), (" b", 1), ("a", 1)]
+
+
+@pytest.mark.parametrize("bound", [BROADCAST_ROWS, 0])
+def test_unknown_token_fails_without_an_unknown_id(spark, bound):
+    vocab = spark.createDataFrame([("a", 0)], "token STRING, id INT")
+    df = spark.createDataFrame([(1, ["a", "zz"])], "k BIGINT, tokens ARRAY<STRING>")
+    with pytest.raises(Exception, match="lookup table lacks"):
+        P.encode(df, {"tokens": "ids"}, vocab, ["k"], bound).collect()
