@@ -420,7 +420,8 @@ def sequence_rows(ids: str, loss_mask: str) -> str:
 oracle("pref_sequences", "pref_rows sp", sequence_rows("ids", "loss_mask"))
 oracle("pref_truncate_start", "pref_rows sp", sequence_rows("ids[:160]", "loss_mask[:160]"))
 LAST = "[greatest(len(ids) - 160, 0) + 1:]"
-oracle("pref_truncate_end", "pref_rows sp", sequence_rows(f"ids{LAST}", f"loss_mask{LAST}"))
+for name in ("pref_truncate_end", "pref_sequences_padded"):
+    oracle(name, "pref_rows sp", sequence_rows(f"ids{LAST}", f"loss_mask{LAST}"))
 oracle(
     "pref_logits_to_keep",
     "pref_rows sp",

@@ -317,6 +317,14 @@ def pref_sequences(spark, sf_dir):
     return _sequence_rows(_labelled(spark, sf_dir, I.PREF))
 
 
+@query
+def pref_sequences_padded(spark, sf_dir):
+    """The same from left-padded prompts and right-padded completions, truncated at the end."""
+    opts = PreferenceOptions(batch_size=8, max_length=160, truncation_mode="keep_end")
+    made = R.sequences_from_padded(I.pref_ids(spark, sf_dir), I.specials(spark, sf_dir).pad_id, opts)
+    return _sequence_rows(R.completion_lengths(R.next_token_labels(made)))
+
+
 @query
 def pref_truncate_start(spark, sf_dir):
     opts = PreferenceOptions(batch_size=8, max_length=160, truncation_mode="keep_start")

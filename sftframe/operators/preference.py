@@ -122,11 +122,49 @@ def completion_lengths(df: DataFrame) -> DataFrame:
     return df.withColumn("completion_length", A.ones(F.col("loss_mask")))
 
 
-def sequences(pairs: DataFrame, pad_id: int, opts: PreferenceOptions) -> DataFrame:
-    """``batch, p, pair_id, side, attention_mask, input_ids, loss_mask`` ready for a decoder-only model."""
+def sequences_from_padded(pairs: DataFrame, pad_id: int, opts: PreferenceOptions) -> DataFrame:
+    """``sequences`` by way of the padded prompts and completions of ``concat_inputs``."""
     return truncated(join_sequences(concat_inputs(pairs, pad_id, opts)), opts)
 
 
+def sequences(pairs: DataFrame, pad_id: int, opts: PreferenceOptions) -> DataFrame:
+    """``batch, p, pair_id, side, attention_mask, input_ids, loss_mask`` ready for a decoder-only model.
+
+    Flushing undoes the padding of prompts and completions, so they are joined without any: parts are trimmed to
+    what can remain, moved to their batch in one shuffle, and padded once to the final width.
+    """
+
+    def cut(values: Column) -> Column:
+        if opts.max_length is None:
+            return values
+        return A.head(values, opts.max_length) if opts.truncation_mode == "keep_start" else A.tail(values, opts.max_length)
+
+    prompt, chosen, rejected = F.col("prompt_ids"), F.col("chosen_ids"), F.col("rejected_ids")
+    longest = F.size(prompt) + F.greatest(F.size(chosen), F.size(rejected))
+    if opts.max_length is not None:
+        longest = F.least(longest, F.lit(opts.max_length))
+    trimmed = pairs.withColumns({name: cut(F.col(name)) for name in ("prompt_ids", "chosen_ids", "rejected_ids")})
+    batched = trimmed.withColumn("batch", F.floor(F.col("p") / opts.batch_size)).withColumn(
+        "_width", F.max(longest).over(Window.partitionBy("batch"))
+    )
+
+    def side(name: str, ids: Column) -> Column:
+        loss_mask = F.concat(_mask(prompt, 0), _mask(ids, 1))
+        return F.struct(F.lit(name).alias("side"), cut(F.concat(prompt, ids)).alias("ids"), cut(loss_mask).alias("mask"))
+
+    sides = F.explode(F.array(side("chosen", chosen), side("rejected", rejected))).alias("_row")
+    ids, width, zero = F.col("_row.ids"), F.col("_width"), F.lit(0)
+    return batched.select("batch", "p", "pair_id", "_width", sides).select(
+        "batch",
+        "p",
+        "pair_id",
+        "_row.side",
+        A.pad_right(_mask(ids, 1), width, zero).alias("attention_mask"),
+        A.pad_right(ids, width, F.lit(pad_id)).alias("input_ids"),
+        A.pad_right(F.col("_row.mask"), width, zero).alias("loss_mask"),
+    )
+
+
 def logits_to_keep(df: DataFrame) -> DataFrame:
     """Add how many trailing places of the batch need scores; to be called before the labels are made."""
     first = F.array_position("loss_mask", F.lit(1)).cast("int")

@@ -72,6 +72,16 @@ def test_flush_of_masks_with_empty_rows(spark):
     assert right == [([0, 0], [9, 9]), ([1, 1], [1, 2])]
 
 
+@pytest.mark.parametrize("limit", [None, 1, 2, 4, 6, 50])
+@pytest.mark.parametrize("mode", ["keep_start", "keep_end"])
+def test_padding_first_gives_the_same_sequences(spark, limit, mode):
+    table = pairs(spark, ([1, 2], [3, 4, 5], [3]), ([7], [8], [9, 10, 11, 12, 13]), ([], [1], [2, 2]), ([5] * 6, [4], [1]))
+    opts = PreferenceOptions(max_length=limit, truncation_mode=mode, batch_size=2)
+    columns = ["batch", "p", "side", "attention_mask", "input_ids", "loss_mask"]
+    direct = sorted(rows(R.sequences(table, PAD, opts).select(columns)))
+    assert direct == sorted(rows(R.sequences_from_padded(table, PAD, opts).select(columns)))
+
+
 @pytest.mark.parametrize("options", [{"truncation_mode": "middle"}, {"strategy": "other"}, {"nll_mask": "x"}])
 def test_unknown_options_are_refused(options):
     with pytest.raises(ValueError):
