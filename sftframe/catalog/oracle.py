@@ -478,7 +478,8 @@ DESENSITISED = """(select p, pair_id, chosen_length, rejected_length, rc, rr,
 
 oracle("dpo_regul", "score_sums", f"{PAIR} from ({losses('score_sums', REGUL)})")
 oracle("dpo_ipo", "score_sums", f"{PAIR} from ({losses(NORMALISED, REGUL)})")
-oracle("dpo_ld", "score_sums score_rows", f"{PAIR} from ({losses(DESENSITISED, SCALED)})")
+for name in ("dpo_ld", "dpo_token_rows"):
+    oracle(name, "score_sums score_rows", f"{PAIR} from ({losses(DESENSITISED, SCALED)})")
 oracle(
     "dpo_user_loss",
     "score_sums",

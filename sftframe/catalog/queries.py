@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -205,7 +206,7 @@ def resume_plan(spark, sf_dir):
 
 
 def _collated(spark, sf_dir, **options):
-    opts = SftOptions(**{**I.SFT.__dict__, **options})
+    opts = replace(I.SFT, **options)
     return C.collate(I.plan(spark, sf_dir), I.prepared(spark, sf_dir), I.specials(spark, sf_dir), opts)
 
 
@@ -265,7 +266,7 @@ def collate_user_function(spark, sf_dir):
 
 @query
 def sample_report(spark, sf_dir):
-    opts = SftOptions(**{**I.SFT.__dict__, "mask_instruction": True})
+    opts = replace(I.SFT, mask_instruction=True)
     report = C.sample_report(
         I.plan(spark, sf_dir), I.prepared(spark, sf_dir), I.vocab(spark, sf_dir), I.specials(spark, sf_dir), opts
     )
@@ -395,6 +396,26 @@ def dpo_ld(spark, sf_dir):
     return _pair_rows(_scored(spark, sf_dir, PreferenceOptions(batch_size=8, strategy="ld")).pairs)
 
 
+def _token_rows(spark, sf_dir):
+    """Token scores of the pairs with a row per token, as a scoring job would write them."""
+    scored = I.scored_pairs(spark, sf_dir)
+    rows = []
+    for side in D.SIDES:
+        zipped = F.arrays_zip(F.col(f"{side}_logps").alias("policy_logp"), F.col(f"ref_{side}_logps").alias("ref_logp"))
+        listed = scored.select("pair_id", "batch", A.once(zipped).alias("tokens"))
+        tokens = listed.select("pair_id", "batch", F.posexplode("tokens").alias("pos", "token"))
+        rows.append(tokens.select("pair_id", "batch", F.lit(side).alias("side"), "pos", "token.policy_logp", "token.ref_logp"))
+    return rows[0].unionByName(rows[1])
+
+
+@query
+def dpo_token_rows(spark, sf_dir):
+    """Length desensitisation from a table with a row per token."""
+    arrays = D.token_arrays(_token_rows(spark, sf_dir), ["pair_id", "batch"])
+    opts = PreferenceOptions(batch_size=8, strategy="ld")
+    return _pair_rows(D.score(D.array_sums(arrays), opts, ["batch"]).pairs)
+
+
 @query
 def dpo_user_loss(spark, sf_dir):
     """A hinge loss of a user in place of the default one."""

@@ -120,6 +120,24 @@ def pair_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | None
     )
 
 
+def token_arrays(scores: DataFrame, key: list[str]) -> DataFrame:
+    """One row per pair with the four arrays that ``array_sums`` reads, from a row per completion token.
+
+    ``scores`` holds ``key, side, pos, policy_logp, ref_logp``.  A group is one pair, so one shuffle by ``key``.
+    """
+    entry = F.struct("pos", "policy_logp", "ref_logp")
+    lists = [F.array_sort(F.collect_list(F.when(F.col("side") == side, entry))).alias(f"_{side}") for side in SIDES]
+    parts = {"": "policy_logp", "ref_": "ref_logp"}
+    return (
+        scores.groupBy(*key)
+        .agg(*lists)
+        .select(
+            *key,
+            *[F.col(f"_{side}.{name}").alias(f"{prefix}{side}_logps") for prefix, name in parts.items() for side in SIDES],
+        )
+    )
+
+
 def array_sums(df: DataFrame) -> DataFrame:
     """``chosen_logp, rejected_logp, ref_*_logp, *_length`` from the four arrays of completion token scores."""
     made = {f"{side}_length": F.size(f"{side}_logps").cast("bigint") for side in SIDES}
