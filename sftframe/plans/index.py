@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sftframe.session import cut_lineage
 
 BROADCAST_ROWS = 500_000
-_ROWS_PER_BUCKET = 500_000
+_ROWS_PER_BUCKET = 2_000
 _MAX_DIGITS = 4
 _SELECT_DIGITS = 4
 _SELECT_ROWS = 10_000
@@ -23,7 +23,10 @@ def seeded_key(*parts: Column) -> Column:
 
 
 def bucket_digits(rows: int) -> int:
-    """Hex digits of the sort key that name a bucket, so that a bucket holds about half a million rows at most."""
+    """Hex digits of the sort key that name a bucket: at most four, with about 2,000 rows per bucket up to there.
+
+    Small buckets make the sort cheaper, as the bucket settles most comparisons.
+    """
     digits = 1
     while digits < _MAX_DIGITS and rows > _ROWS_PER_BUCKET * 16**digits:
         digits += 1

@@ -28,6 +28,15 @@ def test_hashed_positions_are_the_global_order(spark, digits):
     assert set(rows(placed.select("g", "id", "p", "n"))) == expected
 
 
+def test_positions_do_not_need_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(index, "BROADCAST_ROWS", 0)
+    df = spark.range(200).select((F.col("id") % 3).alias("g"), "id")
+    key = seeded_key(F.lit(1), F.col("id"))
+    joined = hashed_positions(df, key, "id", ["g"], 2)
+    monkeypatch.undo()
+    assert sorted(rows(joined)) == sorted(rows(hashed_positions(df, key, "id", ["g"], 2)))
+
+
 def test_ranged_positions_with_a_hot_group_and_equal_times(spark):
     frame = pd.DataFrame({"id": range(3000)})
     frame["run"] = [1 if i % 2 else i % 40 for i in frame["id"]]
@@ -56,7 +65,7 @@ def test_split_shuffles_no_rows(spark):
 
 def test_digits_grow_with_the_rows():
     assert bucket_digits(10) == 1
-    assert bucket_digits(10**7) == 2
+    assert bucket_digits(10**6) == 3
     assert bucket_digits(10**12) == 4
 
 
