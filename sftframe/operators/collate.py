@@ -73,7 +73,7 @@ def stack(examples: DataFrame) -> DataFrame:
     """One row per batch: matrices of inputs and labels, rows in batch order.  A group is one batch."""
     rows = F.array_sort(F.collect_list(F.struct("slot", "inputs", "labels")))
     return (
-        examples.groupBy(*BATCH_KEY)
+        examples.groupBy(*reversed(BATCH_KEY))
         .agg(rows.alias("_rows"))
         .select(*BATCH_KEY, F.col("_rows.inputs").alias("inputs"), F.col("_rows.labels").alias("labels"))
     )

@@ -44,7 +44,8 @@ def epoch_plan(rows: DataFrame, opts: SftOptions, digits: int | None = None) ->
         .withColumn("batch", F.floor(in_rank / size))
         .withColumn("slot", F.pmod(in_rank, size).cast("int"))
     )
-    batch = Window.partitionBy("split", "epoch", "rank", "batch")
+    # The batch number comes first, as it settles most comparisons of the sort.
+    batch = Window.partitionBy("batch", "rank", "epoch", "split")
     return batched.select(
         "split", "epoch", "pair_id", "n_tokens", "p", "rank", "batch", "slot", F.max("n_tokens").over(batch).alias("width")
     )
