@@ -57,7 +57,16 @@ def test_pairs_of_a_conversation(spark):
         [(1, 0, "system", "s"), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, "user", "c"), (2, 0, "user", "d"), (2, 1, "user", "e"), (2, 2, "assistant", "f")],
         "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
     )
-    assert sorted(rows(adapters.conversation_pairs(df))) == [(1001, "a", "b"), (2001, "e", "f")]
+    assert sorted(rows(adapters.conversation_pairs(df))) == [(1_000_000_001, "a", "b"), (2_000_000_001, "e", "f")]
+
+
+def test_long_conversations_keep_their_pairs_apart(spark):
+    df = spark.range(0, 2002).selectExpr(
+        "if(id < 2000, 0, 2) as conv_id", "if(id < 2000, id, id - 2000) as turn",
+        "if(id % 2 = 0, 'user', 'assistant') as role", "cast(id as string) as text",
+    )
+    made = adapters.conversation_pairs(df)
+    assert made.count() == made.select("pair_id").distinct().count() == 1001
 
 
 def test_pairs_of_documents(spark):
