@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from sftframe.llm import langid, pii, quality, vptree
+from sftframe.llm import dedup, langid, pii, quality, vptree
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def op1_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -27,6 +31,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_dedup": op1_dedup,
     "op6_pii": op6_pii,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
@@ -41,7 +46,8 @@ ORACLE = {
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0
         ), pairs AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.v, c.v) AS score
+            SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+                list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
             FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
         )
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
