@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import dedup, langid, pii, quality, vptree
+from sftframe.llm import decontam, dedup, langid, pii, quality, vptree
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,10 @@ def op1_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_dedup": op1_dedup,
+    "op5_decontam": op5_decontam,
     "op6_pii": op6_pii,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
