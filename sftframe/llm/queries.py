@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import decontam, dedup, langid, pii, quality, vptree
+from sftframe.llm import decontam, dedup, langid, pii, quality, vptree, warc
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +13,10 @@ def op1_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(spark, table(spark, sf_dir, "pages"))
+
+
 def op5_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -36,6 +40,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_dedup": op1_dedup,
+    "op2_warc": op2_warc,
     "op5_decontam": op5_decontam,
     "op6_pii": op6_pii,
     "op8_quality": op8_quality,
@@ -44,6 +49,20 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_warc": """
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+        ), responses AS (
+            SELECT payload_digest, max(page_id) AS response FROM payloads WHERE payload_bytes >= 1000
+            GROUP BY payload_digest HAVING count(*) > 1
+        ), named AS (
+            SELECT p.*, CASE WHEN p.page_id IS DISTINCT FROM r.response THEN r.response END AS refers_to
+            FROM payloads p LEFT JOIN responses r ON p.payload_digest = r.payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+        FROM named
+    """,
     "op10_nearest": """
         WITH vectors AS (
             SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
