@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import decontam, dedup, langid, pii, quality, vptree, warc
+from sftframe.llm import decontam, dedup, jaccard, langid, pii, quality, vptree, warc
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +25,10 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op5_decontam": op5_decontam,
     "op6_pii": op6_pii,
+    "op7_jaccard": op7_jaccard,
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_nearest": op10_nearest,
