@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import decontam, dedup, jaccard, langid, lmscore, pii, quality, vptree, warc
+from sftframe.llm import decontam, dedup, jaccard, langid, lmscore, pieces, pii, quality, vptree, warc
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +17,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(spark, table(spark, sf_dir, "pages"))
 
 
+def op3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(table(spark, sf_dir, "documents"))
+
+
 def op4_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.digest(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_dedup": op1_dedup,
     "op2_warc": op2_warc,
+    "op3_pieces": op3_pieces,
     "op4_lmscore": op4_lmscore,
     "op5_decontam": op5_decontam,
     "op6_pii": op6_pii,
