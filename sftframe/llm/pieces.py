@@ -83,7 +83,7 @@ def load(path: str = MODEL) -> Vocabulary:
         by_length[length] = (keys[order], np.array([k for k, _, _ in own])[order], np.array([s for _, _, s in own], np.float64)[order])
         if length > 1:
             np.maximum.at(longest, joined[begin].astype(np.int64) * 256 + joined[begin + 1], np.uint8(min(length, 255)))
-    return Vocabulary(tuple(texts), by_length, longest, byte_ids, min(s for _, _, s in entries) - UNKNOWN_PENALTY)
+    return Vocabulary(tuple(texts), by_length, longest, byte_ids, min((s for _, t, s in entries if t.strip()), default=0.0) - UNKNOWN_PENALTY)
 
 
 class Lattices:
@@ -336,6 +336,29 @@ def encode(docs: DataFrame, text: str = "text", out: str = "segmentations", n: i
     return docs.withColumn(out, run(F.col(f"`{text}`").cast("string")))
 
 
+def encode_best(docs: DataFrame, text: str = "text", n: int = BEST, path: str = MODEL) -> DataFrame:
+    """Add the ``pieces`` of the best segmentation and the ``scores`` of the n best; null texts have neither."""
+    clash = {"pieces", "scores"} & {c.lower() for c in docs.columns}
+    if clash:
+        raise ValueError(f"the input has columns {sorted(clash)} already")
+    shared = _vocabulary(docs, path)
+    kind = pa.struct([("pieces", pa.list_(pa.int32())), ("scores", pa.list_(pa.float64()))])
+
+    @F.arrow_udf("struct<pieces:array<int>,scores:array<double>>")
+    def run(texts: pa.Array) -> pa.Array:
+        buffer, starts = X.text_bytes(texts)
+        pieces, scores = [], []
+        for _, _, data, at in X.chunks(buffer, starts):
+            for found in segment(data, at, shared.value, n):
+                pieces.append(found[0][1])
+                scores.append([s for s, _ in found])
+        parts = [pa.array(pieces, kind[0].type), pa.array(scores, kind[1].type)]
+        return pa.StructArray.from_arrays(parts, fields=list(kind), mask=texts.is_null())
+
+    found = docs.withColumn("_found", run(F.col(f"`{text}`").cast("string")))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_found.pieces").alias("pieces"), F.col("_found.scores").alias("scores"))
+
+
 def decode(rows: DataFrame, pieces: str = "pieces", out: str = "text", path: str = MODEL) -> DataFrame:
     """Add the text of an array of ids; a null array gives a null text."""
     shared = _vocabulary(rows, path)
