@@ -45,11 +45,13 @@ class LanguageModel:
 
 def codewords(n: int) -> np.ndarray:
     """All splits of few languages in two; for many, seeded random codes of which no two rows are equal."""
+    if n < 2:
+        return np.zeros((n, 0))
     if n <= 6:
         columns = [
-            (1, *rest) for rest in itertools.product((1, -1), repeat=max(n - 1, 0)) if any(x < 0 for x in rest)
+            (1, *rest) for rest in itertools.product((1, -1), repeat=n - 1) if any(x < 0 for x in rest)
         ]
-        return np.array(columns, np.float64).T.reshape(n, -1)
+        return np.array(columns, np.float64).T
     width, rng = 8 * math.ceil(math.log2(n)), np.random.default_rng(9)
     while True:
         code = rng.choice((-1.0, 1.0), (n, width))

@@ -33,6 +33,8 @@ SLICES_PER_TASK = 4
 FILTER_BYTES = 96 << 20
 BITS_PER_ENTRY = 12
 PROBES = 3
+#: No count has a higher level; a filter that is full answers with it.
+MOST_LEVELS = 63
 MIX = 0.5
 HALF = 20.0
 
@@ -193,7 +195,7 @@ class Model:
         start, size = self.starts[slice_of], 8 * np.diff(self.starts)[slice_of].astype(np.uint64)
         result = np.zeros(len(keys), np.int64)
         live, level = np.flatnonzero(size > 0), 0
-        while len(live):
+        while len(live) and level < MOST_LEVELS:
             level += 1
             first, step = _probes(keys[live], level)
             for k in range(PROBES):
