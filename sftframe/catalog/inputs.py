@@ -16,20 +16,19 @@ from pyspark.sql import functions as F
 from sftframe.operators import prepare as P
 from sftframe.operators import vocab as V
 from sftframe.operators.preference import encode_pairs
-from sftframe.options import LogOptions, PreferenceOptions, SftOptions
+from sftframe.options import PHASES, LogOptions, PreferenceOptions, SftOptions
 from sftframe.plans import epochs
 from sftframe.session import shared_folder
 from sftframe.sources import adapters
 from sftframe.sources.cache import reuse
 from sftframe.sources.tables import instruction_table, read_table, spread
 
-SFT = SftOptions(
-    vocab_size=8192, max_length=256, test_split=Decimal("0.2"), world_size=4, batch_size=8, num_epochs=3
-)
-SINGLE = SftOptions(
-    vocab_size=8192, max_length=256, test_split=Decimal("0.2"), single_process=True, batch_size=8, num_epochs=3
-)
+SFT = SftOptions(test_split=Decimal("0.2"), world_size=4, batch_size=8, num_epochs=3)
+SINGLE = SftOptions(test_split=Decimal("0.2"), single_process=True, batch_size=8, num_epochs=3)
+#: Limits of the queries whose feature is a limit.
+CONTEXT, TOP_TOKENS = 256, 8192
 PREF = PreferenceOptions(batch_size=8)
+PHASE_LOG = LogOptions(log_freq=5, checkp_freq=30, batch_size=8, max_length=256, world_size=4, batches=25, num_epochs=4)
 LOG = LogOptions(log_freq=20, checkp_freq=30, batch_size=8, max_length=256, world_size=4, batches=25, num_epochs=4)
 
 
@@ -117,13 +116,13 @@ def pref_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token scores that stand in for a policy and a reference model."""
 
-    english = documents(spark, sf_dir).where(F.col("lang") == "en").select("text")
+    every = documents(spark, sf_dir).select(F.coalesce("text", F.lit("")).alias("text"))
     responses = kept_pairs(spark, sf_dir).select(F.col("response").alias("text"))
     policy = _reused(
         spark, sf_dir, "policy-counts", ["conversations"], lambda: adapters.text_token_counts(responses)
     )
     reference = _reused(
-        spark, sf_dir, "reference-counts", ["documents"], lambda: adapters.text_token_counts(english)
+        spark, sf_dir, "reference-counts", ["documents"], lambda: adapters.text_token_counts(every)
     )
     return _reused(
         spark,
@@ -151,5 +150,19 @@ def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def phase_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same events as steps of four phases each; the loss stands at the first phase of a step."""
+    events = steps(spark, sf_dir).withColumn("_at", F.col("global_step") - 1)
+    phase = F.element_at(F.array(*[F.lit(p) for p in PHASES]), (F.pmod("_at", F.lit(4)) + 1).cast("int"))
+    return events.select(
+        "run_id",
+        (F.floor(F.col("_at") / 4) + 1).alias("global_step"),
+        phase.alias("phase"),
+        "elapsed_s",
+        "ok",
+        F.when(F.pmod("_at", F.lit(4)) == 0, F.col("loss")).alias("loss"),
+    )
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

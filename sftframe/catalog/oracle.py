@@ -36,16 +36,16 @@ def r4(value: str) -> str:
 PARTS: dict[str, tuple[list[str], str]] = {
     "pairs": (
         [],
-        """select conv_id * 1000000000 + turn as pair_id, text as instruction, reply as response
+        """select conv_id || '-' || turn as pair_id, text as instruction, reply as response
            from (select *, lead(role) over w as next_role, lead(text) over w as reply
                  from conversations window w as (partition by conv_id order by turn))
            where role = 'user' and next_role = 'assistant'""",
     ),
     "doc_pairs": (
         [],
-        """select doc_id as pair_id, substr(text, 1, instr(text, chr(10)) - 1) as instruction,
-                  substr(text, instr(text, chr(10)) + 1) as response
-           from documents where contains(text, chr(10))""",
+        """select doc_id as pair_id, case when cut > 0 then substr(text, 1, cut - 1) else text end as instruction,
+                  case when cut > 0 then substr(text, cut + 1) else '' end as response
+           from (select doc_id, coalesce(text, '') as text, instr(coalesce(text, ''), chr(10)) as cut from documents)""",
     ),
     "formatted": (
         ["pairs"],
@@ -58,7 +58,14 @@ PARTS: dict[str, tuple[list[str], str]] = {
     "ranked": (
         ["counted"],
         """select token, (row_number() over (order by n desc, token) - 1)::integer as id, n from counted
-           where token not in ('<|endoftext|>', '[UNK]', '[PAD]') order by n desc, token limit 8192""",
+           where token not in ('<|endoftext|>', '[UNK]', '[PAD]') order by n desc, token limit 50000""",
+    ),
+    "top_vocab": (
+        ["ranked"],
+        """select token, id, n, false as special from ranked where id < 8192
+           union all
+           select s.token, (size + s.nr)::integer, 0, true from (select count(*) as size from ranked where id < 8192),
+             (values ('[UNK]', 0), ('<|endoftext|>', 1), ('[PAD]', 2)) s(token, nr)""",
     ),
     "vocab": (
         ["ranked"],
@@ -84,7 +91,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
                    case when instr(text_v2, '###Response:' || chr(10)) > 0
                         then len({cut("substr(text_v2, 1, instr(text_v2, '###Response:' || chr(10)) + 12)")}) else 0
                    end::integer as n_prompt
-            from encoded join tokens using (pair_id) where len(ids) < 256""",
+            from encoded join tokens using (pair_id) where len(ids) < 1024""",
     ),
     "splits": (
         ["prepared"],
@@ -154,7 +161,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
     ),
     "reference_counts": (
         [],
-        f"""select token, count(*) as n from (select unnest({cut('text')}) as token from documents where lang = 'en')
+        f"""select token, count(*) as n from (select unnest({cut("coalesce(text, '')")}) as token from documents)
             group by token""",
     ),
     "scores": (
@@ -196,17 +203,21 @@ PARTS: dict[str, tuple[list[str], str]] = {
     ),
     "places": (
         ["place_scores"],
-        """select *, request_id // 10 as pair_id, request_id % 2 as side, (request_id % 10) // 2 as pos
-           from place_scores""",
+        """select *, case when masked then logp else 0.0 end as mlogp from (
+             select *, pos between case side when 0 then pair_id % 2 else 1 - pair_id % 2 end
+                           and case side when 0 then 4 - pair_id % 3 else 3 + pair_id % 2 end as masked
+             from (select *, request_id // 10 as pair_id, request_id % 2 as side, (request_id % 10) // 2 as pos
+                   from place_scores))""",
     ),
     "place_sums": (
         ["places"],
-        """select scale, pair_id, side, sum(logp) as logp, count(*) as length,
-                  sum(-logp) filter (label_id <> 0) as nll_sum, count(*) filter (label_id <> 0) as nll_count,
-                  sum(logit_sum) as logit_sum, sum(logit_count) as logit_count,
-                  sum(coalesce(before, 0) - lse2) as weight_sum
-           from (select *, case when pos > 1 then lag(logp) over (partition by scale, pair_id, side order by pos) end as before
-                 from places) where pos between 1 and 3 group by scale, pair_id, side""",
+        """select scale, pair_id, side, coalesce(sum(logp) filter (pos < 4), 0) as logp, count(*) as length,
+                  coalesce(sum(-logp) filter (label_id <> 0 and pos < 4), 0) as nll_sum,
+                  count(*) filter (label_id <> 0 and pos < 4) as nll_count,
+                  sum(logit_sum) as logit_sum, sum(logit_count) as logit_count, sum(before - lse2) as weight_sum
+           from (select *, coalesce(lag(mlogp) over (partition by scale, pair_id, side order by pos),
+                                    max_by(mlogp, pos) over (partition by scale, pair_id, side)) as before
+                 from places) where masked group by scale, pair_id, side""",
     ),
     "logit_pairs": (
         ["place_sums"],
@@ -233,6 +244,12 @@ PARTS: dict[str, tuple[list[str], str]] = {
                     when 'purchase' then 'build_batch' when 'signup' then 'optimizer_step' end as phase,
                   value as elapsed_s, event_type <> 'error' as ok, value as loss from events""",
     ),
+    "phase_steps": (
+        ["steps"],
+        """select run_id, (global_step - 1) // 4 + 1 as global_step,
+                  ['forward', 'backward', 'build_batch', 'optimizer_step'][(global_step - 1) % 4 + 1] as phase,
+                  elapsed_s, ok, case when (global_step - 1) % 4 = 0 then loss end as loss from steps""",
+    ),
 }
 
 
@@ -276,7 +293,8 @@ oracle(
               max(len(tokens)) as max_tokens, count(*) filter (len(tokens) < 256) as within_context from tokens""",
 )
 oracle("token_counts", "counted", "select * from counted")
-oracle("vocab_top", "vocab", "select * from vocab")
+oracle("vocab_top", "top_vocab", "select * from top_vocab")
+oracle("vocab_all", "vocab", "select * from vocab")
 oracle(
     "vocab_specials",
     "sp",
@@ -400,6 +418,15 @@ for name in ("pref_pairs", "pref_messages"):
     oracle(name, "prefs", "select pair_id, prompt, chosen, rejected from prefs")
 
 
+oracle(
+    "pref_turns",
+    "prefs",
+    """select pair_id, 'user: ' || prompt || chr(10) || chr(10) || 'assistant: ' || chosen || chr(10) || chr(10)
+              || 'user: ' || rejected as prompt, chosen, rejected from prefs""",
+)
+oracle("pref_split", "prefs", "select pair_id, prompt, chosen, rejected from prefs where p % 3 = 0")
+
+
 def sequences(ids: str, loss_mask: str) -> str:
     """Sequences nr the start of rows of the batch's width, with labels and loss mask moved by one place."""
     return f"""select batch, p, pair_id, side, ids, attention, labels, loss_mask, width from (
@@ -615,22 +642,31 @@ oracle(
     "pairs prepared vocab sp",
     f"""select request_id, coalesce({text("list(id order by step) filter (id is not null)")}, '') as new_ids,
                coalesce(string_agg(case when special then '' else token end, '' order by step), '') as response
-        from (select pair_id as request_id from pairs) left join (select * from grown where step > 0) using (request_id)
+        from (select request_id from asked) left join (select * from grown where step > 0) using (request_id)
         left join vocab using (id) group by request_id""",
 )
 ORACLE["generate_bigram"] = ORACLE["generate_bigram"].replace(
     "\nselect request_id, coalesce(",
     f""",
+asked as materialized (
+    select pair_id as request_id, {SYSTEM_V1} || {INSTRUCTION} || instruction || {RESPONSE} as prompt from pairs
+    union all
+    select 'default-' || nr, {SYSTEM_V1} || {INSTRUCTION} || instruction || {RESPONSE} from (values
+      (1, 'Research and summarize the common practices for caring of rabbits.'),
+      (2, 'Generate a list of 5 books that discuss the theme of resilience'),
+      (3, 'Identify the key characters of the novel ' || chr(39) || 'The Hobbit' || chr(39)),
+      (4, 'Write a function which reverses the order of words in a sentence.'),
+      (5, 'Generate a list of five advantages of using a certain product.')) d(nr, instruction)),
 following as materialized (select prev, next from (
     select prev, next, row_number() over (partition by prev order by count(*) desc, next) as place
     from (select unnest(ids[1:len(ids) - 1]) as prev, unnest(ids[2:]) as next from prepared) group by prev, next)
     where place = 1),
 grown as (
-    select pair_id as request_id, 0 as step, coalesce(v.id, sp.unk) as id
-    from (select pair_id, {cut("instruction")}[-1] as token from pairs) left join vocab v using (token), sp
+    select request_id, 0 as step, coalesce(v.id, sp.unk) as id
+    from (select request_id, {cut("prompt")}[-1] as token from asked) left join vocab v using (token), sp
     union all
     select request_id, step + 1, next from grown join following on prev = id, sp
-    where step < 12 and next <> sp.eos)
+    where step < 100 and next <> sp.eos)
 select request_id, coalesce(""",
     1,
 )
@@ -643,19 +679,22 @@ def averages(aggregate) -> str:
     return ", ".join(f"{aggregate(phase)} as ms_{phase}" for phase in phases)
 
 
-WINDOWS = f"""select run_id, step as global_step, floor((step - 1) / 25)::integer as epoch,
+def windows(steps: str, freq: int) -> str:
+    return f"""select run_id, step as global_step, floor((step - 1) / 25)::integer as epoch,
     25 - ((step - 1) % 25 + 1) + 1 as batches_remaining, 4 * 8 * 256::bigint as tokens_per_step,
     round(1e9 * (1e-6 + 9e-6 * (1 + cos(pi() * step / 100)) / 2), 4) as lr_e9,
-    {r4("loss / 20")} as running_loss, {r4("((step - 1) % 25 + 1) / 25")} as epoch_progress,
+    {r4(f"loss / {freq}")} as running_loss, {r4("((step - 1) % 25 + 1) / 25")} as epoch_progress,
     {averages(lambda phase: r4(f"ms_{phase}"))}, {r4("ms")} as ms_per_step, {r4("1000 * (8192 / ms)")} as tokens_per_s
   from (select *, ms_forward + ms_backward + ms_build_batch + ms_optimizer_step as ms from (
-    select run_id, (global_step - 1) // 20 as w, max(global_step) as step, sum(loss) as loss,
+    select run_id, (global_step - 1) // {freq} as w, max(global_step) as step, sum(loss) as loss,
            {averages(lambda phase: f"1000 * avg(elapsed_s) filter (ok and phase = '{phase}')")}
-    from steps group by run_id, w) where step = (w + 1) * 20)"""
+    from {steps} group by run_id, w having count(distinct global_step) = {freq}))"""
 
 oracle("run_steps", "steps", "select * from steps")
 for name in ("run_windows", "metric_sink", "stream_windows"):
-    oracle(name, "steps", WINDOWS)
+    oracle(name, "steps", windows("steps", 20))
+for name in ("run_windows_phases", "stream_windows_phases"):
+    oracle(name, "phase_steps", windows("phase_steps", 5))
 
 STEPS = """select epoch, batch, (batch + 1)::integer as epoch_step, epoch * batches + batch + 1 as global_step, batches
     from (select distinct epoch, batch from plan where split = 'train' and rank = 0),
@@ -674,30 +713,34 @@ oracle(
 )
 oracle(
     "run_record",
-    "plan splits",
-    """select run_id, case when run_id = 'single' then batches * 8 else rows end as training_rows,
-              batches * 4 as num_batches, 4 as world_size, run_id = 'single' as resumed
-       from (values ('sharded'), ('single')) r(run_id),
-            (select count(distinct batch) as batches from plan where split = 'train' and rank = 0),
-            (select count(*) as rows from splits where split = 'train')""",
-)
-oracle(
-    "resume_state",
-    "steps",
-    f"""select run_id::varchar as run_id, floor((global_step - 1) / 25)::integer as epoch, global_step,
+    "plan plan_single splits",
+    """select 'sharded' as run_id, rows as training_rows, batches * 4 as num_batches, 4 as world_size, false as resumed
+       from (select count(distinct batch) as batches from plan where split = 'train' and rank = 0),
+            (select count(*) as rows from splits where split = 'train')
+       union all
+       select 'single', batches * 8, batches, 1, true
+       from (select count(distinct batch) as batches from plan_single where split = 'train')""",
+)
+for name, table in (("resume_state", "steps"), ("resume_state_phases", "phase_steps")):
+    oracle(
+        name,
+        table,
+        f"""select run_id::varchar as run_id, floor((global_step - 1) / 25)::integer as epoch, global_step,
                ((global_step - 1) % 25 + 1)::integer as epoch_step,
                {r4("case when global_step % 20 = 0 then 0.0 else running end")} as running_loss
-        from (select *, sum(loss) over (partition by run_id, (global_step - 1) // 20 order by global_step) as running from steps)
-        where global_step % 30 = 0
+        from (select *, sum(loss) over (partition by run_id, (global_step - 1) // 20 order by global_step) as running
+              from (select run_id, global_step, sum(loss) as loss from {table} group by run_id, global_step))
+        where global_step % 30 = 0 or global_step % 25 = 0
         qualify row_number() over (partition by run_id order by global_step desc) = 1""",
-)
+    )
 
 # -- streams --------------------------------------------------------------------------------------------------------
 
-oracle(
-    "stream_prepare",
-    "doc_pairs vocab sp",
-    f"""select pair_id, n_tokens, n_prompt, {text("list(coalesce(v.id, sp.unk) order by nr)")} as input_ids
+for name in ("stream_prepare", "stream_prepare_joined"):
+    oracle(
+        name,
+        "doc_pairs vocab sp",
+        f"""select pair_id, n_tokens, n_prompt, {text("list(coalesce(v.id, sp.unk) order by nr)")} as input_ids
         from (select pair_id, len(tokens)::integer as n_tokens,
                      len({cut("substr(body, 1, instr(body, '###Response:' || chr(10)) + 12)")})::integer as n_prompt,
                      unnest(tokens) as token, generate_subscripts(tokens, 1) as nr
@@ -705,4 +748,4 @@ oracle(
                       select pair_id, {SYSTEM_V2} || {INSTRUCTION} || instruction || {RESPONSE} || response || {EOS} as body
                       from doc_pairs)) where len(tokens) < 1024)
         left join vocab v using (token), sp group by pair_id, n_tokens, n_prompt""",
-)
+    )

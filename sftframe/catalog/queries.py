@@ -24,7 +24,7 @@ from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
 from sftframe.plans import epochs
 from sftframe.sources import adapters
-from sftframe.sources.tables import instruction_table, preference_table, read_table
+from sftframe.sources.tables import instruction_table, named_turn, preference_table, read_table
 from sftframe.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,14 +55,15 @@ def sft_pairs(spark, sf_dir):
 
 @query
 def source_formats(spark, sf_dir):
-    """The pairs, written in the other formats and read back by column name."""
+    """The pairs, written in the other formats with the columns in another order, and read back by column name."""
     folder = I.new_folder(spark, "formats")
     pairs = I.kept_pairs(spark, sf_dir)
     read = []
     for fmt in ("csv", "json", "orc"):
-        writer = pairs.write.option("header", True).option("escape", '"') if fmt == "csv" else pairs.write
+        turned = pairs.select("response", "pair_id", "instruction").write
+        writer = turned.option("header", True).option("escape", '"') if fmt == "csv" else turned
         writer.format(fmt).save(f"{folder}/{fmt}")
-        table = instruction_table(read_table(spark, f"{folder}/{fmt}", fmt, pairs.schema), I.SFT)
+        table = instruction_table(read_table(spark, f"{folder}/{fmt}", fmt, pairs.schema, multi_line=True), I.SFT)
         read.append(table.select(F.lit(fmt).alias("format"), "*"))
     return read[0].unionByName(read[1]).unionByName(read[2])
 
@@ -88,7 +89,7 @@ def token_stats(spark, sf_dir):
         F.sum("n_tokens").alias("tokens"),
         F.min("n_tokens").cast("bigint").alias("min_tokens"),
         F.max("n_tokens").cast("bigint").alias("max_tokens"),
-        F.count(F.when(F.col("n_tokens") < I.SFT.max_length, 1)).alias("within_context"),
+        F.count(F.when(F.col("n_tokens") < I.CONTEXT, 1)).alias("within_context"),
     )
 
 
@@ -99,6 +100,11 @@ def token_counts(spark, sf_dir):
 
 @query
 def vocab_top(spark, sf_dir):
+    return V.build_vocab(P.tokenised(I.kept_pairs(spark, sf_dir), I.SFT), "tokens", I.TOP_TOKENS)
+
+
+@query
+def vocab_all(spark, sf_dir):
     return I.vocab(spark, sf_dir)
 
 
@@ -117,8 +123,8 @@ def vocab_user_table(spark, sf_dir):
 
 
 def _encoded(spark, sf_dir, **bound):
-    tokens = P.tokenised(I.pairs(spark, sf_dir), I.SFT).select("pair_id", "tokens")
-    return P.encode(tokens, {"tokens": "ids"}, I.vocab(spark, sf_dir), ["pair_id"], **bound)
+    tokens = P.tokenised(I.kept_pairs(spark, sf_dir), I.SFT).select("pair_id", "tokens")
+    return P.encode(tokens, {"tokens": "ids"}, I.vocab(spark, sf_dir), **bound)
 
 
 @query
@@ -136,14 +142,14 @@ def encode_ids_joined(spark, sf_dir):
 @query
 def decode_text(spark, sf_dir):
     vocab, ids = I.vocab(spark, sf_dir), I.prepared(spark, sf_dir).select("pair_id", "input_ids")
-    shown = P.decode(ids, {"input_ids": "text"}, vocab, ["pair_id"])
-    return P.decode(shown, {"input_ids": "plain_text"}, vocab, ["pair_id"], skip_special=True).drop("input_ids")
+    shown = P.decode(ids, {"input_ids": "text"}, vocab)
+    return P.decode(shown, {"input_ids": "plain_text"}, vocab, skip_special=True).drop("input_ids")
 
 
 @query
 def context_filter(spark, sf_dir):
     tokens = P.tokenised(I.pairs(spark, sf_dir), I.SFT)
-    return P.within_context(tokens, I.SFT.max_length).select("pair_id", F.col("n_tokens").cast("bigint").alias("n_tokens"))
+    return P.within_context(tokens, I.CONTEXT).select("pair_id", F.col("n_tokens").cast("bigint").alias("n_tokens"))
 
 
 @query
@@ -185,7 +191,7 @@ def epoch_plan_single(spark, sf_dir):
 @query
 def shard_report(spark, sf_dir):
     sizes = epochs.split_sizes(I.split_rows(spark, sf_dir))
-    return epochs.shard_report(I.plan(spark, sf_dir), sizes)
+    return epochs.shard_report(sizes, I.SFT)
 
 
 @query
@@ -236,7 +242,8 @@ def collate_masked_shift(spark, sf_dir):
 
 @query
 def collate_batches(spark, sf_dir):
-    batches = C.stack(_collated(spark, sf_dir, mask_instruction=True))
+    opts = replace(I.SFT, mask_instruction=True)
+    batches = C.stacked(I.plan(spark, sf_dir), I.prepared(spark, sf_dir), I.specials(spark, sf_dir), opts)
 
     def rows(name: str) -> Column:
         return F.array_join(F.transform(name, A.as_text), ";").alias(name)
@@ -301,6 +308,29 @@ def pref_messages(spark, sf_dir):
     return preference_table(listed)
 
 
+@query
+def pref_turns(spark, sf_dir):
+    """Lists of several turns, read with the roles."""
+
+    def turn(role: str, text: str) -> Column:
+        return F.struct(F.lit(role).alias("role"), F.col(text).alias("content"))
+
+    before = (turn("user", "prompt"), turn("assistant", "chosen"), turn("user", "rejected"))
+    listed = I.prefs(spark, sf_dir).select(
+        "pair_id", *[F.array(*before, turn("assistant", side)).alias(f"_{side}") for side in ("chosen", "rejected")]
+    )
+    return preference_table(listed.withColumnsRenamed({"_chosen": "chosen", "_rejected": "rejected"}), turn=named_turn)
+
+
+@query
+def pref_split(spark, sf_dir):
+    """A hosted table with a partition per split, of which one is read."""
+    folder = I.new_folder(spark, "hosted")
+    halves = F.when(F.col("p") % 3 == 0, "test").otherwise("train").alias("split")
+    I.prefs(spark, sf_dir).select("*", halves).write.partitionBy("split").parquet(folder)
+    return preference_table(read_table(spark, folder, split="test"))
+
+
 SEQUENCE_COLUMNS = ("input_ids", "attention_mask", "loss_mask", "labels")
 
 
@@ -467,15 +497,19 @@ def label_logp_long(spark, sf_dir):
 
 
 def _places(spark, sf_dir, scale):
-    """Ten score rows make a pair: five places of either side, with the masked ones in the middle."""
+    """Ten score rows make a pair: five places of either side.  The masked ones differ by pair and side, and may
+    include the first and the last place."""
     scored = D.label_scores(I.logits(spark, sf_dir, scale), weighting=True)
     row = F.col("request_id")
     pos = F.floor(F.pmod(row, F.lit(10)) / 2)
+    pair, chosen = F.floor(row / 10), row % 2 == 0
+    low = F.when(chosen, pair % 2).otherwise(1 - pair % 2)
+    high = F.when(chosen, 4 - pair % 3).otherwise(3 + pair % 2)
     return scored.select(
         F.floor(row / 10).alias("pair_id"),
         F.when(row % 2 == 0, "chosen").otherwise("rejected").alias("side"),
         pos.alias("pos"),
-        pos.between(1, 3).cast("int").alias("mask"),
+        pos.between(low, high).cast("int").alias("mask"),
         (pos == 4).alias("is_last"),
         "label_id",
         "logp",
@@ -623,7 +657,7 @@ def responses_tuned_only(spark, sf_dir):
 def response_cut(spark, sf_dir):
     """Responses cut out of whole sequences after the prompt's ids, without special tokens."""
     output = I.prepared(spark, sf_dir).select("pair_id", "n_prompt", F.col("input_ids").alias("output_ids"))
-    return M.cut_response(output, I.vocab(spark, sf_dir), ["pair_id"]).select("pair_id", "response")
+    return M.cut_response(output, I.vocab(spark, sf_dir)).select("pair_id", "response")
 
 
 def _successors(prepared: DataFrame) -> DataFrame:
@@ -636,8 +670,14 @@ def _successors(prepared: DataFrame) -> DataFrame:
 
 @query
 def generate_bigram(spark, sf_dir):
-    """Greedy generation with a table of successors as the model, which has a row per vocabulary entry at most."""
+    """Greedy generation from the formatted prompts of all pairs and of the default instructions, cut to the response.
+
+    The model is a table of successors with a row per vocabulary entry at most, so the option that bounds the
+    vocabulary bounds what is broadcast.
+    """
     specials = I.specials(spark, sf_dir)
+    if specials.vocab_size > I.SFT.vocab_size + 3:
+        raise ValueError("the vocabulary is larger than its option says")
     rows = _successors(I.prepared(spark, sf_dir)).toPandas()
     following = np.full(specials.vocab_size, specials.eos_id)
     following[rows["prev"]] = rows["next"]
@@ -652,11 +692,13 @@ def generate_bigram(spark, sf_dir):
         return scorer
 
     vocab = I.vocab(spark, sf_dir)
-    asked = I.pairs(spark, sf_dir).select(F.col("pair_id").alias("request_id"), "instruction")
-    requests = P.encode_text(asked, {"instruction": "ids"}, vocab, ["request_id"]).select("request_id", "ids")
-    made = G.generate(requests, make_scorer, specials.eos_id, DecodeOptions(max_new_tokens=12))
-    shown = P.decode(made, {"new_ids": "response"}, vocab, ["request_id"], skip_special=True)
-    return shown.select("request_id", *texts("new_ids"), "response")
+    own = I.pairs(spark, sf_dir).select(F.col("pair_id").alias("prompt_id"), "instruction")
+    fixed = M.default_prompts(spark).select(F.concat(F.lit("default-"), F.col("prompt_id").cast("string")).alias("prompt_id"), "instruction")
+    asked = M.prompts(own.unionByName(fixed)).select(F.col("prompt_id").alias("request_id"), "prompt")
+    requests = P.encode_text(asked, {"prompt": "ids"}, vocab).select("request_id", "ids")
+    made = G.generate(requests, make_scorer, specials.eos_id, DecodeOptions())
+    whole = made.select("request_id", "new_ids", F.size("ids").alias("n_prompt"), F.concat("ids", "new_ids").alias("output_ids"))
+    return M.cut_response(whole, vocab).select("request_id", *texts("new_ids"), "response")
 
 
 # -- training logs --------------------------------------------------------------------------------------------------
@@ -693,8 +735,9 @@ def run_windows(spark, sf_dir):
 def metric_sink(spark, sf_dir):
     """Log records are appended to the metric table of all runs and read back."""
     folder = I.new_folder(spark, "metrics")
-    H.append_records(H.run_windows(I.steps(spark, sf_dir), I.LOG), folder)
-    return _window_rows(spark.read.parquet(folder))
+    for _ in range(2):  # a retry replaces what it wrote before
+        H.append_records(H.run_windows(I.steps(spark, sf_dir), I.LOG), folder, "all")
+    return _window_rows(spark.read.parquet(folder).drop("batch"))
 
 
 def _step_options(spark, sf_dir):
@@ -704,8 +747,8 @@ def _step_options(spark, sf_dir):
 
 
 def _planned_batches(spark, sf_dir):
-    first_rows = (F.col("split") == "train") & (F.col("rank") == 0) & (F.col("slot") == 0)
-    return I.plan(spark, sf_dir).where(first_rows).select("epoch", "batch")
+    opts = _step_options(spark, sf_dir)
+    return epochs.batch_numbers(spark, opts.batches, opts.num_epochs)
 
 
 @query
@@ -727,39 +770,71 @@ def run_record(spark, sf_dir):
     sizes = epochs.split_sizes(I.split_rows(spark, sf_dir))
     train_rows = sizes.where(F.col("split") == "train").first()["rows"]
     opts = _step_options(spark, sf_dir)
+    whole = epochs.batch_counts(sizes, I.SINGLE).where(F.col("split") == "train").first()["batches"]
     multi = H.run_record(spark, "sharded", opts, train_rows, False)
-    single = H.run_record(spark, "single", opts, train_rows, True, single_process=True)
+    single = H.run_record(spark, "single", replace(opts, batches=whole, world_size=1), train_rows, True, single_process=True)
     return multi.unionByName(single).select("run_id", "training_rows", "num_batches", "world_size", "resumed")
 
 
 @query
 def resume_state(spark, sf_dir):
     """Saved states of all runs are written, read back, and the furthest of each run is taken."""
+    return _resumed(spark, I.steps(spark, sf_dir))
+
+
+def _resumed(spark, steps):
     folder = I.new_folder(spark, "run-state")
-    H.append_state(H.saved_states(I.steps(spark, sf_dir), I.LOG), folder)
-    states = spark.read.schema(H.STATE_SCHEMA).parquet(folder)
+    H.append_state(H.saved_states(steps, I.LOG), folder, "all")
+    states = spark.read.schema(f"{H.STATE_SCHEMA}, batch STRING").parquet(folder).drop("batch")
     return H.latest_state(states).select("run_id", "epoch", "global_step", "epoch_step", *rounded("running_loss"))
 
 
+@query
+def resume_state_phases(spark, sf_dir):
+    """The same for steps of four phases each."""
+    return _resumed(spark, I.phase_steps(spark, sf_dir))
+
+
+@query
+def run_windows_phases(spark, sf_dir):
+    return _window_rows(H.run_windows(I.phase_steps(spark, sf_dir), I.PHASE_LOG))
+
+
 # -- streams --------------------------------------------------------------------------------------------------------
 
 
 @query
-def stream_prepare(spark, sf_dir):
+def stream_prepare(spark, sf_dir, **bound):
     folder = I.new_folder(spark, "stream-prepare")
     schema = I.table(spark, sf_dir, "documents").schema
     arriving = adapters.document_pairs(jobs.read_stream(spark, sf_dir, schema, files="documents.parquet"))
-    opts = SftOptions(vocab_size=8192, max_length=1024)
-    run = jobs.prepare_stream(arriving, I.vocab(spark, sf_dir), opts, f"{folder}/rows", f"{folder}/checkpoint")
+    run = jobs.prepare_stream(arriving, I.vocab(spark, sf_dir), I.SFT, f"{folder}/rows", f"{folder}/checkpoint", **bound)
     run.awaitTermination()
     return spark.read.parquet(f"{folder}/rows").select("pair_id", "n_tokens", "n_prompt", *texts("input_ids"))
 
 
+@query
+def stream_prepare_joined(spark, sf_dir):
+    """The same for a vocabulary that is too large to broadcast."""
+    return stream_prepare(spark, sf_dir, bound=0)
+
+
 @query
 def stream_windows(spark, sf_dir):
     folder = I.new_folder(spark, "stream-windows")
-    steps = I.steps(spark, sf_dir)
+    return _streamed_windows(spark, I.steps(spark, sf_dir), folder, I.LOG)
+
+
+def _streamed_windows(spark, steps, folder, opts):
     source = steps.inputFiles()[0].rsplit("/", 1)[0]
     arriving = jobs.read_stream(spark, source, steps.schema, files_per_batch=4)
-    jobs.window_stream(arriving, I.LOG, f"{folder}/parts", f"{folder}/checkpoint").awaitTermination()
-    return _window_rows(jobs.read_windows(spark, I.LOG, f"{folder}/parts"))
+    jobs.window_stream(arriving, opts, f"{folder}/parts", f"{folder}/checkpoint").awaitTermination()
+    return _window_rows(jobs.read_windows(spark, opts, f"{folder}/parts"))
+
+
+@query
+def stream_windows_phases(spark, sf_dir):
+    """Steps of four phases in files that arrive in no order of steps, so that phases of a step come late."""
+    folder = I.new_folder(spark, "stream-phases")
+    I.phase_steps(spark, sf_dir).repartition(8, "phase", "run_id").write.parquet(f"{folder}/source")
+    return _streamed_windows(spark, spark.read.parquet(f"{folder}/source"), folder, I.PHASE_LOG)

@@ -79,6 +79,25 @@ def stack(examples: DataFrame) -> DataFrame:
     )
 
 
+def stacked(plan: DataFrame, prepared: DataFrame, specials: Specials, opts: SftOptions) -> DataFrame:
+    """The same as ``stack(collate(...))``; the ids move to their batch as they are, and are padded there."""
+    row = F.struct("slot", "n_prompt", "input_ids")
+    grouped = (
+        plan.join(prepared.select("pair_id", "n_prompt", "input_ids"), "pair_id")
+        .groupBy(*reversed(BATCH_KEY))
+        .agg(F.array_sort(F.collect_list(row)).alias("_rows"), F.max("width").alias("_width"))
+    )
+
+    def rows(side: Callable[[Column, Column], Column]) -> Column:
+        return F.transform("_rows", lambda r: side(padded(r["input_ids"], F.col("_width"), specials.pad_id), r["n_prompt"]))
+
+    return grouped.select(
+        *BATCH_KEY,
+        rows(lambda ids, _: input_side(ids, opts)).alias("inputs"),
+        rows(lambda ids, n_prompt: label_side(ids, n_prompt, specials.pad_id, opts)).alias("labels"),
+    )
+
+
 def collate_with(examples: DataFrame, collator: Callable, schema: str) -> DataFrame:
     """Hand each batch to a collator of the user's: a function from a pandas frame to a pandas frame."""
     ship_package(examples.sparkSession)
@@ -92,7 +111,6 @@ def readable(examples: DataFrame, vocab: DataFrame, specials: Specials) -> DataF
         examples.withColumn("_shown", shown),
         {"inputs": "input_text", "_shown": "label_text"},
         vocab,
-        [*BATCH_KEY, "slot"],
     ).drop("_shown")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sftframe.functions import text as X
 from sftframe.operators.prepare import decode
+from sftframe.session import ship_package
 
 # The instructions that a training run is checked with.
 EVALUATION_INSTRUCTIONS = (
@@ -38,19 +39,22 @@ def respond(prompt_table: DataFrame, model: str, make_model: Callable[[], Callab
     ``make_model`` runs once per task, so a large model is loaded once and not per batch.
     """
 
+    ship_package(prompt_table.sparkSession)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         answer = make_model()
         for frame in frames:
             yield pd.DataFrame({"prompt_id": frame["prompt_id"], "model": model, "response": answer(frame["prompt"])})
 
-    return prompt_table.select("prompt_id", "prompt").mapInPandas(run, "prompt_id BIGINT, model STRING, response STRING")
+    asked = prompt_table.select("prompt_id", "prompt")
+    return asked.mapInPandas(run, f"prompt_id {dict(asked.dtypes)['prompt_id']}, model STRING, response STRING")
 
 
-def cut_response(generated: DataFrame, vocab: DataFrame, row_key: list[str], skip_special: bool = True) -> DataFrame:
+def cut_response(generated: DataFrame, vocab: DataFrame, skip_special: bool = True) -> DataFrame:
     """Add ``response``: the text of ``output_ids`` after the first ``n_prompt`` ids."""
     rest = F.slice("output_ids", F.col("n_prompt") + 1, F.greatest(F.size("output_ids") - F.col("n_prompt"), F.lit(0)))
     cut = generated.withColumn("_response_ids", rest)
-    return decode(cut, {"_response_ids": "response"}, vocab, row_key, skip_special).drop("_response_ids")
+    return decode(cut, {"_response_ids": "response"}, vocab, skip_special).drop("_response_ids")
 
 
 def compare(prompt_table: DataFrame, tuned: DataFrame, base: DataFrame | None = None) -> DataFrame:

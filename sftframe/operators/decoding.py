@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,15 +26,20 @@ def crop(ids: Column, context_size: int) -> Column:
 
 
 def repetition_penalty(logits: Column, history: Column, penalty: float) -> Column:
-    """Make the scores of tokens that were already used less likely."""
+    """Make the scores of tokens that were already used less likely.  The work is the scores plus the history."""
 
-    def lowered(v: Column) -> Column:
-        return F.when(v > 0, v / penalty).otherwise(v * penalty)
+    @F.arrow_udf("array<double>")
+    def penalised(scores: pa.Array, used: pa.Array) -> pa.Array:
+        starts = scores.offsets.to_numpy() - scores.offsets[0].as_py()
+        flat = scores.flatten().to_numpy(zero_copy_only=False).copy()
+        row = np.repeat(np.arange(len(used)), np.nan_to_num(used.value_lengths().to_numpy(zero_copy_only=False)).astype(int))
+        token = used.flatten().to_numpy(zero_copy_only=False)
+        known = (token >= 0) & (token < np.diff(starts)[row])
+        at = np.unique(starts[row[known]] + token[known].astype(np.int64))
+        flat[at] = np.where(flat[at] > 0, flat[at] / penalty, flat[at] * penalty)
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat), mask=scores.is_null() if scores.null_count else None)
 
-    def penalised(used: Column) -> Column:
-        return F.transform(logits, lambda v, token: F.when(F.array_contains(used, token), lowered(v)).otherwise(v))
-
-    return let(F.array_distinct(history), penalised)
+    return penalised(logits.cast("array<double>"), history.cast("array<bigint>"))
 
 
 def top_k(logits: Column, k: int) -> Column:
@@ -62,10 +69,12 @@ def uniform(seed: Column, *parts: Column) -> Column:
 
 def sample(logits: Column, temperature: float, seed: int, *request: Column) -> Column:
     """Draw one token: the largest of ``logit / T + g`` with Gumbel noise ``g`` follows the softmax of ``logit / T``."""
-    noisy = F.transform(
-        logits, lambda v, token: v / temperature - F.log(-F.log(uniform(F.lit(str(seed)), *request, token)))
-    )
-    return greedy(noisy)
+
+    def noisy(v: Column, token: Column) -> Column:
+        drawn = v / temperature - F.log(-F.log(uniform(F.lit(str(seed)), *request, token)))
+        return F.when(v == float("-inf"), v).otherwise(drawn)
+
+    return greedy(F.transform(logits, noisy))
 
 
 def next_token(logits: Column, opts: DecodeOptions, *request: Column, history: Column | None = None) -> Column:
@@ -119,7 +128,13 @@ def long_repetition_penalty(scores: DataFrame, history: DataFrame, step: list[st
 Scorer = Callable[[list[list[int]]], np.ndarray]
 
 
-def _choose(scores: np.ndarray, used: list[list[int]], draws: list[tuple[int, ...]], opts: DecodeOptions) -> np.ndarray:
+def _uniform(*parts: object) -> float:
+    """The number that ``uniform`` gives for the same parts."""
+    digits = hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()[:13]
+    return (int(digits, 16) + 0.5) / 2**52
+
+
+def _choose(scores: np.ndarray, used: list[list[int]], draws: list[tuple], opts: DecodeOptions) -> np.ndarray:
     scores = scores.astype(np.float64, copy=True)
     if opts.repetition_penalty != 1.0:
         for row, ids in zip(scores, used):
@@ -129,13 +144,15 @@ def _choose(scores: np.ndarray, used: list[list[int]], draws: list[tuple[int, ..
         kth = np.partition(scores, -opts.top_k, axis=1)[:, -opts.top_k]
         scores[scores < kth[:, None]] = -np.inf
     if opts.temperature > 0:
-        noise = [np.random.default_rng(draw).gumbel(size=scores.shape[1]) for draw in draws]
-        scores = scores / opts.temperature + np.stack(noise)
+        scores /= opts.temperature
+        for row, draw in zip(scores, draws):
+            open_ = np.flatnonzero(np.isfinite(row))
+            row[open_] -= np.log(-np.log([_uniform(*draw, token) for token in open_]))
     return scores.argmax(axis=1)
 
 
 def _continue(
-    prompts: list[list[int]], requests: list[int], scorer: Scorer, eos_id: int, opts: DecodeOptions
+    prompts: list[list[int]], requests: list, scorer: Scorer, eos_id: int, opts: DecodeOptions
 ) -> list[list[int]]:
     new: list[list[int]] = [[] for _ in prompts]
     active = list(range(len(prompts)))

@@ -57,15 +57,17 @@ def long_label_scores(scores: DataFrame, place: list[str]) -> DataFrame:
 
 
 def realigned(places: DataFrame, key: list[str]) -> DataFrame:
-    """Add ``realigned_logp``: the masked log-probability of the place before, 0 at the first place.
+    """Add ``realigned_logp``: the masked log-probability of the place before, at the first place that of the last.
 
     The policy weight subtracts ``lse2`` of a place from the log-probability that stands there after scores have
-    been moved one place on.  Without this step the weight uses the place's own log-probability.
+    been rolled one place on.  Without this step the weight uses the place's own log-probability.
     """
     in_pair = Window.partitionBy(*key).orderBy("side", "pos")
     masked = F.when(F.col("mask") == 1, F.col("logp")).otherwise(0.0)
     same_side = F.lag("side").over(in_pair) == F.col("side")
-    return places.withColumn("realigned_logp", F.when(same_side, F.lag(masked).over(in_pair)).otherwise(0.0))
+    before = places.withColumn("_before", F.when(same_side, F.lag(masked).over(in_pair)))
+    last = F.max_by(masked, F.col("pos")).over(Window.partitionBy(*key, "side"))
+    return before.withColumn("realigned_logp", F.coalesce("_before", last)).drop("_before")
 
 
 def _sums(places: DataFrame, opts: PreferenceOptions, rows: Column) -> dict[str, Column]:
@@ -105,7 +107,7 @@ def sequence_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | N
 def pair_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | None = None) -> DataFrame:
     """The same sums with one row per pair: ``chosen_*`` and ``rejected_*``, in one shuffle and without a self-join.
 
-    Pairs that lack a side are left out.
+    A pair that lacks a side fails the job.
     """
     opts = opts or PreferenceOptions()
     columns = [
@@ -115,9 +117,9 @@ def pair_sums(places: DataFrame, key: list[str], opts: PreferenceOptions | None
     ]
     both = [F.count_if(F.col("side") == side).alias(f"_{side}_places") for side in SIDES]
     summed = places.groupBy(*key).agg(*columns, *both)
-    return summed.where((F.col("_chosen_places") > 0) & (F.col("_rejected_places") > 0)).drop(
-        "_chosen_places", "_rejected_places"
-    )
+    whole = (F.col("_chosen_places") > 0) & (F.col("_rejected_places") > 0)
+    lacking = F.raise_error(F.concat(F.lit("a pair lacks a side: "), F.concat_ws(",", *[F.col(k).cast("string") for k in key])))
+    return summed.where(F.when(whole, True).otherwise(lacking.cast("boolean"))).drop("_chosen_places", "_rejected_places")
 
 
 def token_arrays(scores: DataFrame, key: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ SEQUENCE = ("attention_mask", "input_ids", "loss_mask")
 def encode_pairs(prefs: DataFrame, vocab: DataFrame, specials: Specials) -> DataFrame:
     """``p, pair_id, prompt_ids, chosen_ids, rejected_ids``; both completions end with EOS."""
     columns = {"prompt": "prompt_ids", "chosen": "chosen_ids", "rejected": "rejected_ids"}
-    encoded = encode_text(prefs, columns, vocab, ["pair_id"])
+    encoded = encode_text(prefs, columns, vocab)
     eos = F.array(F.lit(specials.eos_id))
     return encoded.select(
         "p",

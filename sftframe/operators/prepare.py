@@ -34,21 +34,21 @@ def _unknown_id(vocab: DataFrame) -> int | None:
 
 
 def encode(
-    df: DataFrame, columns: dict[str, str], vocab: DataFrame, row_key: list[str], bound: int = BROADCAST_ROWS
+    df: DataFrame, columns: dict[str, str], vocab: DataFrame, bound: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Add id arrays for token arrays; ``columns`` maps a token column to the new id column."""
     unknown = _unknown_id(vocab)
     return lookup_arrays(
-        df, vocab, "token", [(tokens, "id", ids, unknown) for tokens, ids in columns.items()], row_key, bound
+        df, vocab, "token", [(tokens, "id", ids, unknown) for tokens, ids in columns.items()], bound
     )
 
 
 def encode_text(
-    df: DataFrame, columns: dict[str, str], vocab: DataFrame, row_key: list[str], eos: str = EOS_TOKEN
+    df: DataFrame, columns: dict[str, str], vocab: DataFrame, eos: str = EOS_TOKEN
 ) -> DataFrame:
     """Add id arrays for text columns."""
     pieces = {f"_pieces_{ids}": X.pre_tokens(F.col(text), eos) for text, ids in columns.items()}
-    encoded = encode(df.withColumns(pieces), {f"_pieces_{ids}": ids for ids in columns.values()}, vocab, row_key)
+    encoded = encode(df.withColumns(pieces), {f"_pieces_{ids}": ids for ids in columns.values()}, vocab)
     return encoded.drop(*pieces)
 
 
@@ -56,20 +56,22 @@ def decode(
     df: DataFrame,
     columns: dict[str, str],
     vocab: DataFrame,
-    row_key: list[str],
     skip_special: bool = False,
     bound: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Add text columns for id arrays; ``columns`` maps an id column to the new text column."""
+    """Add text columns for id arrays; ``columns`` maps an id column to the new text column.
+
+    An id that the vocabulary lacks fails the job.
+    """
     shown = vocab.select("id", F.when(F.lit(skip_special) & F.col("special"), "").otherwise(F.col("token")).alias("piece"))
-    pieces = [(ids, "piece", f"_pieces_{text}", "") for ids, text in columns.items()]
-    found = lookup_arrays(df, shown, "id", pieces, row_key, bound)
+    pieces = [(ids, "piece", f"_pieces_{text}", None) for ids, text in columns.items()]
+    found = lookup_arrays(df, shown, "id", pieces, bound)
     return found.withColumns({text: F.array_join(f"_pieces_{text}", "") for text in columns.values()}).drop(
         *[name for _, _, name, _ in pieces]
     )
 
 
-def prepare(pairs: DataFrame, vocab: DataFrame, opts: SftOptions) -> DataFrame:
+def prepare(pairs: DataFrame, vocab: DataFrame, opts: SftOptions, bound: int = BROADCAST_ROWS) -> DataFrame:
     """``pair_id, n_tokens, n_prompt, input_ids``: encoded rows within the context.
 
     ``n_prompt`` is the token count of the text up to the end of the response marker, encoded on its own; 0 when
@@ -78,6 +80,6 @@ def prepare(pairs: DataFrame, vocab: DataFrame, opts: SftOptions) -> DataFrame:
     kept = within_context(tokenised(pairs, opts), opts.max_length)
     n_prompt = F.size(X.pre_tokens(X.instruction_part(F.col("full_text")), opts.eos_token))
     rows = kept.select("pair_id", "n_tokens", n_prompt.alias("n_prompt"), "tokens")
-    return encode(rows, {"tokens": "input_ids"}, vocab, ["pair_id"]).select(
+    return encode(rows, {"tokens": "input_ids"}, vocab, bound).select(
         "pair_id", "n_tokens", "n_prompt", "input_ids"
     )

@@ -25,7 +25,8 @@ def log_window(opts: LogOptions) -> Column:
 def window_parts(steps: DataFrame, opts: LogOptions) -> DataFrame:
     """Sums and counts per run and window that can be added up over any division of the steps.
 
-    Failed phases are not timed.  The key includes the window, so a long run spreads over many tasks.
+    Failed phases are not timed.  The key includes the window, so a long run spreads over many tasks.  ``steps``
+    lists the steps that are there, at most ``log_freq``.
     """
     sums = []
     for phase in PHASES:
@@ -33,17 +34,18 @@ def window_parts(steps: DataFrame, opts: LogOptions) -> DataFrame:
         sums.append(F.coalesce(F.sum(F.when(timed, F.col("elapsed_s"))), F.lit(0.0)).alias(f"{phase}_s"))
         sums.append(F.count(F.when(timed, F.col("elapsed_s"))).alias(f"{phase}_n"))
     return steps.groupBy("run_id", log_window(opts).alias("window")).agg(
-        F.max("global_step").alias("last_step"), F.coalesce(F.sum("loss"), F.lit(0.0)).alias("loss_sum"), *sums
+        F.max("global_step").alias("last_step"), F.collect_set("global_step").alias("steps"), F.coalesce(F.sum("loss"), F.lit(0.0)).alias("loss_sum"), *sums
     )
 
 
 def merge_parts(parts: DataFrame) -> DataFrame:
-    added = [F.sum(name).alias(name) for name in parts.columns if name not in (*WINDOW_KEY, "last_step")]
-    return parts.groupBy(*WINDOW_KEY).agg(F.max("last_step").alias("last_step"), *added)
+    added = [F.sum(name).alias(name) for name in parts.columns if name not in (*WINDOW_KEY, "last_step", "steps")]
+    steps = F.array_distinct(F.flatten(F.collect_list("steps"))).alias("steps")
+    return parts.groupBy(*WINDOW_KEY).agg(F.max("last_step").alias("last_step"), steps, *added)
 
 
 def log_records(parts: DataFrame, opts: LogOptions) -> DataFrame:
-    """One record per full window; a window whose last step is missing is never logged.
+    """One record per full window; a window is not logged as long as one of its steps is missing.
 
     ``ms_per_step`` adds up the phase averages and is null when a phase was not timed.  ``tokens_per_step`` is
     nominal.  ``batches_remaining`` counts from the zero-based number of the last step, hence is one higher than
@@ -54,7 +56,7 @@ def log_records(parts: DataFrame, opts: LogOptions) -> DataFrame:
     ms = sum(average.values(), F.lit(0.0))
     tokens = opts.world_size * opts.batch_size * opts.max_length
     epoch_step = F.pmod(step - 1, F.lit(opts.batches)) + 1
-    return parts.where(step == (F.col("window") + 1) * opts.log_freq).select(
+    return parts.where(F.size("steps") == opts.log_freq).select(
         "run_id",
         step.alias("global_step"),
         learning_rate(step, opts).alias("lr"),
@@ -88,14 +90,8 @@ def step_plan(batches: DataFrame, opts: LogOptions, end_of: str = "epoch") -> Da
     ``end_of`` says when a run saves besides every ``checkp_freq`` steps: at the end of each epoch, of the run, or
     ``none``.
     """
-    if end_of not in ("epoch", "run", "none"):
-        raise ValueError(f"end_of must be 'epoch', 'run' or 'none', not {end_of!r}")
     step, epoch_step = F.col("global_step"), F.col("epoch_step")
-    saves = F.pmod(step, F.lit(opts.checkp_freq)) == 0
-    if end_of == "epoch":
-        saves = saves | (epoch_step == opts.batches)
-    if end_of == "run":
-        saves = saves | (step == opts.batches * opts.num_epochs)
+    saves = _saves(step, epoch_step, opts, end_of)
     return (
         batches.select("epoch", "batch")
         .withColumn("epoch_step", (F.col("batch") + 1).cast("int"))
@@ -109,10 +105,13 @@ def step_plan(batches: DataFrame, opts: LogOptions, end_of: str = "epoch") -> Da
 # -- sinks ----------------------------------------------------------------------------------------------------------
 
 
-def append_records(records: DataFrame, folder: str, by_run: bool = False) -> None:
-    """Append log records to the metric table of all runs; a folder per run suits few and long runs only."""
-    writer = records.write.mode("append")
-    (writer.partitionBy("run_id") if by_run else writer).parquet(folder)
+def append_records(records: DataFrame, folder: str, batch: str, by_run: bool = False) -> None:
+    """Add log records to the metric table of all runs as the part ``batch``; the same part again replaces it.
+
+    A folder per run suits few and long runs only.  Read the table without its ``batch`` column.
+    """
+    writer = records.write.mode("overwrite")
+    (writer.partitionBy("run_id") if by_run else writer).parquet(f"{folder}/batch={batch}")
 
 
 def run_record(
@@ -126,8 +125,10 @@ def run_record(
 ) -> DataFrame:
     """One row: options and sizes of a run; ``options`` is any further options object, kept as JSON.
 
-    A single process counts whole batches only; several processes count rows, and batches of all ranks.
+    A single process (world size 1) counts whole batches only; several processes count rows, and batches of all ranks.
     """
+    if single_process and opts.world_size != 1:
+        raise ValueError("a single process has world_size 1")
     size = opts.batches * opts.batch_size if single_process else train_rows
     row = (run_id, opts.lr, opts.weight_decay, opts.batch_size, opts.max_length, opts.num_epochs, size)
     return spark.createDataFrame(
@@ -137,11 +138,23 @@ def run_record(
     )
 
 
-def saved_states(steps: DataFrame, opts: LogOptions) -> DataFrame:
-    """The state (``STATE_SCHEMA``) that a run saves every ``checkp_freq`` steps.
+def _saves(step: Column, epoch_step: Column, opts: LogOptions, end_of: str) -> Column:
+    if end_of not in ("epoch", "run", "none"):
+        raise ValueError(f"end_of must be 'epoch', 'run' or 'none', not {end_of!r}")
+    saves = F.pmod(step, F.lit(opts.checkp_freq)) == 0
+    if end_of == "epoch":
+        return saves | (epoch_step == opts.batches)
+    return saves | (step == opts.batches * opts.num_epochs) if end_of == "run" else saves
+
+
+def saved_states(steps: DataFrame, opts: LogOptions, end_of: str = "epoch") -> DataFrame:
+    """The states (``STATE_SCHEMA``) that a run saves: every ``checkp_freq`` steps, and at the end of each epoch or
+    of the run.
 
-    The running loss adds up the steps since the last log record, which comes before the save.
+    The running loss adds up the steps since the last log record, which comes before the save.  A step may have
+    several rows, one per phase; their losses are added.
     """
+    steps = steps.groupBy("run_id", "global_step").agg(F.sum("loss").alias("loss"))
     step = F.col("global_step")
     since = Window.partitionBy("run_id", log_window(opts)).orderBy("global_step")
     loss = F.when(F.pmod(step, F.lit(opts.log_freq)) == 0, 0.0).otherwise(F.sum("loss").over(since))
@@ -154,13 +167,13 @@ def saved_states(steps: DataFrame, opts: LogOptions) -> DataFrame:
             epoch_step.cast("int").alias("epoch_step"),
             loss.alias("running_loss"),
         )
-        .where(F.pmod(step, F.lit(opts.checkp_freq)) == 0)
+        .where(_saves(step, F.col("epoch_step"), opts, end_of))
     )
 
 
-def append_state(states: DataFrame, folder: str) -> None:
-    """Append saved states (``STATE_SCHEMA``) of runs."""
-    states.write.mode("append").parquet(folder)
+def append_state(states: DataFrame, folder: str, batch: str) -> None:
+    """Add saved states (``STATE_SCHEMA``) of runs as the part ``batch``; the same part again replaces it."""
+    states.write.mode("overwrite").parquet(f"{folder}/batch={batch}")
 
 
 def latest_state(states: DataFrame) -> DataFrame:

@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sftframe.options import EOS_TOKEN, IGNORE_ID, PAD_TOKEN, UNK_TOKEN
+from sftframe.plans.index import ranged_positions
 from sftframe.sources.tables import require_columns
 
-MAX_VOCAB = 2_000_000
-
-
 @dataclass(frozen=True)
 class Specials:
     """Ids that collation and decoding need."""
@@ -35,25 +33,15 @@ def build_vocab(
 ) -> DataFrame:
     """``token, id, n, special``: the ``size`` most frequent tokens, then UNK, EOS and PAD.
 
-    Only the top rows are ranked, so the window that numbers them sees ``size`` rows, not the whole table.
+    Tokens are numbered where they lie after a range partitioning by rank, so no task sees the whole vocabulary.
     """
-    if size > MAX_VOCAB:
-        raise ValueError(f"a vocabulary may have at most {MAX_VOCAB} ranked tokens")
-    top = (
-        token_counts(df, tokens_col)
-        .where(~F.col("token").isin(eos, unk, pad))
-        .orderBy(F.desc("n"), "token")
-        .limit(size)
-        .withColumn("_class", F.lit(0))
-    )
-    added = df.sparkSession.range(1).select(F.posexplode(F.array(F.lit(unk), F.lit(eos), F.lit(pad))))
-    specials = added.select(
-        F.col("col").alias("token"), F.lit(0).cast("bigint").alias("n"), (F.col("pos") + 1).alias("_class")
-    )
-    place = F.row_number().over(Window.orderBy("_class", F.desc("n"), "token"))
-    return top.unionByName(specials).select(
-        "token", (place - 1).cast("int").alias("id"), "n", (F.col("_class") > 0).alias("special")
-    )
+    counts = token_counts(df, tokens_col).where(~F.col("token").isin(eos, unk, pad))
+    ranked = ranged_positions(counts.withColumns({"_all": F.lit(0), "_down": -F.col("n")}), "_all", ["_down", "token"], "_at")
+    top = ranked.where(F.col("_at") < size).select("token", F.col("_at").cast("int").alias("id"), "n", F.lit(False).alias("special"))
+    after = top.agg(F.count("*").cast("int").alias("_size"))
+    added = after.select(F.posexplode(F.array(F.lit(unk), F.lit(eos), F.lit(pad))).alias("_at", "token"), "_size")
+    specials = added.select("token", (F.col("_size") + F.col("_at")).alias("id"), F.lit(0).cast("bigint").alias("n"), F.lit(True).alias("special"))
+    return top.unionByName(specials)
 
 
 def use_vocab(table: DataFrame, specials: list[str], pad: str = PAD_TOKEN) -> tuple[DataFrame, bool]:

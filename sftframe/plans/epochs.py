@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sftframe.options import SftOptions
@@ -60,10 +60,19 @@ def _is_used(opts: SftOptions) -> Column:
     return full(opts.world_size)
 
 
-def shard_report(plan: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Rows that each rank handles in an epoch, next to the rows of the split."""
-    handled = plan.where(F.col("epoch") == 0).groupBy("split", "rank").agg(F.count("*").alias("handled"))
-    return handled.join(F.broadcast(sizes), "split")
+def shard_report(sizes: DataFrame, opts: SftOptions) -> DataFrame:
+    """Rows that each rank handles in an epoch, next to the rows of the split, straight from the split sizes."""
+    ranks = F.explode(F.sequence(F.lit(0), F.lit(opts.world_size - 1))).alias("rank")
+    handled = F.floor(F.col("rows") / opts.world_size)
+    if opts.single_process:
+        handled = F.when(F.col("split") == "train", F.floor(F.col("rows") / opts.batch_size) * opts.batch_size).otherwise(F.col("rows"))
+    return sizes.select("split", ranks, handled.alias("handled"), "rows").where("handled > 0")
+
+
+def batch_numbers(spark: SparkSession, batches: int, num_epochs: int) -> DataFrame:
+    """``epoch, batch`` of every step of a run."""
+    step = F.col("id")
+    return spark.range(batches * num_epochs).select(F.floor(step / batches).cast("int").alias("epoch"), F.pmod(step, F.lit(batches)).alias("batch"))
 
 
 def batch_counts(sizes: DataFrame, opts: SftOptions) -> DataFrame:

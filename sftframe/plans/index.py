@@ -105,7 +105,7 @@ def ranged_positions(df: DataFrame, group: str, order: list[str], position: str)
     The table is range-partitioned by ``group, order``, so that a hot group spreads over many partitions.  The
     checkpoint fixes which partition a row is in.  Only the first group of a partition can have begun in an
     earlier one, so the table of carried counts has at most one row per partition and is safe to broadcast.
-    ``group, order`` must identify a row, and ``group`` must not be null.
+    ``group, order`` must identify a row; a null group is a group like any other.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(parts, group, *order).withColumn("_part", F.spark_partition_id()))
@@ -120,7 +120,11 @@ def ranged_positions(df: DataFrame, group: str, order: list[str], position: str)
     in_part = Window.partitionBy("_part", group).orderBy(*order)
     return (
         ranged.withColumn("_in_part", F.row_number().over(in_part) - 1)
-        .join(F.broadcast(carried), [group, "_part"], "left")
+        .join(
+            F.broadcast(carried.select(F.col(group).alias("_group"), F.col("_part").alias("_in"), "_carried")),
+            F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_in")),
+            "left",
+        )
         .withColumn(position, (F.coalesce("_carried", F.lit(0)) + F.col("_in_part")).cast("bigint"))
-        .drop("_part", "_in_part", "_carried")
+        .drop("_part", "_in_part", "_carried", "_group", "_in")
     )

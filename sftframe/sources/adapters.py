@@ -12,15 +12,12 @@ from sftframe.operators.vocab import token_counts
 from sftframe.plans.index import bucket_digits, hashed_positions, ranged_positions, seeded_key
 
 
-TURNS = 1_000_000_000
-
-
 def conversation_pairs(conversations: DataFrame) -> DataFrame:
     """``pair_id, instruction, response``: a user turn and the assistant turn that follows it.
 
     Turns of a conversation are numbered without gaps, so the reply is the row with the next number.  The join key
-    (conversation, turn) is unique; a very long conversation spreads over all tasks.  A pair is named by
-    conversation and turn, and more than ``TURNS`` turns fail the job rather than give two pairs one name.
+    (conversation, turn) is unique; a very long conversation spreads over all tasks.  A pair is named by the
+    conversation and the turn, with a hyphen between them.
     """
     asked = conversations.where(F.col("role") == "user").select(
         "conv_id", (F.col("turn") + 1).alias("reply_turn"), F.col("text").alias("instruction")
@@ -28,20 +25,18 @@ def conversation_pairs(conversations: DataFrame) -> DataFrame:
     replies = conversations.where(F.col("role") == "assistant").select(
         "conv_id", F.col("turn").alias("reply_turn"), F.col("text").alias("response")
     )
-    turn = F.col("reply_turn") - 1
-    named = F.when(turn < TURNS, F.col("conv_id") * TURNS + turn).otherwise(
-        F.raise_error(F.lit("a conversation has too many turns"))
-    )
+    named = F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("reply_turn") - 1).cast("string"))
     return asked.join(replies, ["conv_id", "reply_turn"]).select(named.alias("pair_id"), "instruction", "response")
 
 
 def document_pairs(documents: DataFrame) -> DataFrame:
-    """``pair_id, instruction, response``: first line and the text after it, of documents with a line break."""
-    at = F.instr("text", F.lit("\n"))
-    return documents.where(F.contains("text", F.lit("\n"))).select(
+    """``pair_id, instruction, response``: first line and the text after it; a text of one line has an empty response."""
+    text = F.coalesce("text", F.lit(""))
+    at = F.instr(text, F.lit("\n"))
+    return documents.select(
         F.col("doc_id").alias("pair_id"),
-        F.substr("text", F.lit(1), at - 1).alias("instruction"),
-        F.substr("text", at + 1).alias("response"),
+        F.when(at > 0, F.substr(text, F.lit(1), at - 1)).otherwise(text).alias("instruction"),
+        F.when(at > 0, F.substr(text, at + 1)).otherwise("").alias("response"),
     )
 
 
@@ -96,7 +91,7 @@ def score_pairs(prefs: DataFrame, scores: DataFrame) -> DataFrame:
         ("_chosen", "reference", "ref_chosen_logps", None),
         ("_rejected", "reference", "ref_rejected_logps", None),
     ]
-    return lookup_arrays(cut, scores, "token", wanted, ["pair_id"]).drop("_chosen", "_rejected")
+    return lookup_arrays(cut, scores, "token", wanted).drop("_chosen", "_rejected")
 
 
 def embedding_logits(embeddings: DataFrame, scale: float = 10.0) -> DataFrame:

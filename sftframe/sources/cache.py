@@ -26,13 +26,16 @@ def _located(spark: SparkSession, text: str):
     return path, path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
-def source_state(spark: SparkSession, paths: list[str]) -> dict[str, list[int]]:
-    """Number of files, bytes and change time of each path: a few calls to the file system, whatever the size."""
+def source_state(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """A hash over name, size and change time of every file of each path, so that a replaced file is noticed."""
     state = {}
     for text in paths:
         path, files = _located(spark, text)
-        summary = files.getContentSummary(path)
-        state[text] = [summary.getFileCount(), summary.getLength(), files.getFileStatus(path).getModificationTime()]
+        found, listed = files.listFiles(path, True), []
+        while found.hasNext():
+            one = found.next()
+            listed.append((one.getPath().toString(), one.getLen(), one.getModificationTime()))
+        state[text] = hashlib.sha256(json.dumps(sorted(listed)).encode()).hexdigest()
     return state
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from sftframe.operators.lookup import BROADCAST_ROWS
 from sftframe.operators.prepare import prepare
 from sftframe.operators.telemetry import log_records, merge_parts, window_parts
 from sftframe.options import LogOptions, SftOptions
@@ -22,14 +23,22 @@ def read_stream(
     return reader.parquet(folder)
 
 
-def prepare_stream(pairs: DataFrame, vocab: DataFrame, opts: SftOptions, out: str, checkpoint: str) -> StreamingQuery:
-    """Format, encode and filter arriving pairs; every step works row by row, so there is no state."""
+def prepare_stream(
+    pairs: DataFrame, vocab: DataFrame, opts: SftOptions, out: str, checkpoint: str, bound: int = BROADCAST_ROWS
+) -> StreamingQuery:
+    """Format, encode and filter arriving pairs, a micro-batch at a time, whatever the size of the vocabulary.
+
+    There is no state.  A micro-batch that runs again overwrites its own folder ``micro_batch=<number>``.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        prepare(batch, vocab, opts, bound).write.mode("overwrite").parquet(f"{out}/micro_batch={batch_id}")
+
     return (
-        prepare(pairs, vocab, opts)
-        .writeStream.format("parquet")
+        pairs.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(out)
+        .start()
     )
 
 
@@ -52,5 +61,5 @@ def window_stream(steps: DataFrame, opts: LogOptions, parts: str, checkpoint: st
 
 
 def read_windows(spark: SparkSession, opts: LogOptions, parts: str) -> DataFrame:
-    """Log records of the windows that are full by now."""
+    """Log records of the windows of which all steps are there by now."""
     return log_records(merge_parts(spark.read.parquet(parts).drop("micro_batch")), opts)

@@ -20,10 +20,10 @@ def test_encode_and_decode(spark, vocab, bound):
     df = spark.createDataFrame(
         [(1, ["a", "zz", "b", "a"]), (2, []), (3, ["<|endoftext|>"])], "k BIGINT, tokens ARRAY<STRING>"
     )
-    encoded = P.encode(df, {"tokens": "ids"}, vocab, ["k"], bound)
+    encoded = P.encode(df, {"tokens": "ids"}, vocab, bound)
     assert sorted(rows(encoded.select("k", "ids"))) == [(1, [0, 2, 1, 0]), (2, []), (3, [3])]
-    text = P.decode(encoded, {"ids": "text"}, vocab, ["k"], bound=bound)
-    plain = P.decode(text, {"ids": "plain"}, vocab, ["k"], skip_special=True, bound=bound)
+    text = P.decode(encoded, {"ids": "text"}, vocab, bound=bound)
+    plain = P.decode(text, {"ids": "plain"}, vocab, skip_special=True, bound=bound)
     assert sorted(rows(plain.select("k", "text", "plain"))) == [
         (1, "a[UNK]ba", "aba"),
         (2, "", ""),
@@ -65,7 +65,7 @@ def test_vocabulary_without_eos_is_refused(spark):
 
 def test_encode_text(spark, vocab):
     df = spark.createDataFrame([(1, "a"), (2, "ab")], "k BIGINT, t STRING")
-    assert sorted(rows(P.encode_text(df, {"t": "ids"}, vocab, ["k"]).select("k", "ids"))) == [(1, [0]), (2, [2])]
+    assert sorted(rows(P.encode_text(df, {"t": "ids"}, vocab).select("k", "ids"))) == [(1, [0]), (2, [2])]
 
 
 def test_counting_splits_each_text_once(spark):
@@ -80,4 +80,4 @@ def test_unknown_token_fails_without_an_unknown_id(spark, bound):
     vocab = spark.createDataFrame([("a", 0)], "token STRING, id INT")
     df = spark.createDataFrame([(1, ["a", "zz"])], "k BIGINT, tokens ARRAY<STRING>")
     with pytest.raises(Exception, match="lookup table lacks"):
-        P.encode(df, {"tokens": "ids"}, vocab, ["k"], bound).collect()
+        P.encode(df, {"tokens": "ids"}, vocab, bound).collect()

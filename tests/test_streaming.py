@@ -1,9 +1,11 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from sftframe.operators import telemetry as H
 from sftframe.operators import prepare as P
 from sftframe.operators import vocab as V
+from sftframe.operators.lookup import BROADCAST_ROWS
 from sftframe.options import LogOptions, SftOptions
 from sftframe.streaming import jobs
 
@@ -11,16 +13,17 @@ STEPS = "run_id BIGINT, global_step BIGINT, phase STRING, elapsed_s DOUBLE, ok B
 OPTS = LogOptions(log_freq=3, batches=4)
 
 
-def test_prepared_stream_is_the_prepared_batch(spark, tmp_path):
+@pytest.mark.parametrize("bound", [BROADCAST_ROWS, 0])
+def test_prepared_stream_is_the_prepared_batch(spark, tmp_path, bound):
     opts = SftOptions(max_length=30)
     pairs = spark.range(20).selectExpr("id as pair_id", "repeat('word ', cast(id as int)) as instruction", "'yes' as response")
     vocab = V.build_vocab(P.tokenised(pairs, opts), "tokens", 50).persist()
     pairs.repartition(4).write.parquet(str(tmp_path / "in"))
     arriving = jobs.read_stream(spark, str(tmp_path / "in"), pairs.schema, files_per_batch=1)
-    run = jobs.prepare_stream(arriving, vocab, opts, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    run = jobs.prepare_stream(arriving, vocab, opts, str(tmp_path / "out"), str(tmp_path / "checkpoint"), bound)
     run.awaitTermination()
     batch = P.prepare(pairs, vocab, opts)
-    assert sorted(rows(spark.read.parquet(str(tmp_path / "out")))) == sorted(rows(batch))
+    assert sorted(rows(spark.read.parquet(str(tmp_path / "out")).drop("micro_batch"))) == sorted(rows(batch))
     assert 0 < batch.count() < 20
 
 
@@ -41,6 +44,6 @@ def test_windows_over_late_and_split_steps(spark, tmp_path):
     late = (F.col("global_step") == 2) & (F.col("run_id") == 1)
     steps.where(~late).repartition(3).write.parquet(str(tmp_path / "in"))
     first = drain(spark, tmp_path)
-    assert len(first) == 6
+    assert len(first) == 5 and (1, 3) not in [r[:2] for r in first]
     steps.where(late).write.mode("append").parquet(str(tmp_path / "in"))
     assert drain(spark, tmp_path) == sorted(rows(H.run_windows(steps, OPTS)))

@@ -81,17 +81,20 @@ def test_step_plan(spark):
 def test_saved_states_and_resume(spark, tmp_path):
     opts = LogOptions(log_freq=4, checkp_freq=3, batches=5)
     losses = [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0]
-    states = H.saved_states(steps(spark, losses), opts).distinct()
-    H.append_state(states, str(tmp_path / "states"))
-    kept = spark.read.schema(H.STATE_SCHEMA).parquet(str(tmp_path / "states"))
+    states = H.saved_states(steps(spark, losses), opts, "none")
+    for _ in range(2):
+        H.append_state(states, str(tmp_path / "states"), "first")
+    kept = spark.read.schema(f"{H.STATE_SCHEMA}, batch STRING").parquet(str(tmp_path / "states")).drop("batch")
     assert sorted(rows(kept)) == [("1", 0, 3, 3, 6.0), ("1", 1, 6, 1, 11.0)]
+    at_ends = H.saved_states(steps(spark, losses), opts)
+    assert sorted(r["global_step"] for r in at_ends.collect()) == [3, 5, 6]
     assert rows(H.latest_state(kept)) == [("1", 1, 6, 1, 11.0)]
 
 
 def test_record_sinks(spark, tmp_path):
     opts = LogOptions(log_freq=2, batches=10)
-    for _ in range(2):
-        H.append_records(H.run_windows(steps(spark, [1.0, 3.0]), opts), str(tmp_path / "metrics"))
+    for batch in ("a", "a", "b"):
+        H.append_records(H.run_windows(steps(spark, [1.0, 3.0]), opts), str(tmp_path / "metrics"), batch)
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 2
 
 
@@ -99,5 +102,7 @@ def test_run_record(spark):
     opts = LogOptions(batches=7, batch_size=4, world_size=3)
     row = H.run_record(spark, "a", opts, 85, False, options=opts).first()
     assert row[6:10] == (85, 21, 3, False) and json.loads(row["options"])["world_size"] == 3
+    with pytest.raises(ValueError):
+        H.run_record(spark, "a", opts, 85, True, single_process=True)
     alone = LogOptions(batches=7, batch_size=4)
     assert H.run_record(spark, "a", alone, 85, True, single_process=True).first()[6:10] == (28, 7, 1, True)
