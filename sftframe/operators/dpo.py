@@ -41,15 +41,23 @@ def label_scores(df: DataFrame, logits: str = "logits", label: str = "label_id",
 def long_label_scores(scores: DataFrame, place: list[str]) -> DataFrame:
     """``place, logp, logit_sum, logit_count`` from a long table ``place, token_id, logit, label_id``.
 
-    Rows are shuffled once, by place; a group is the vocabulary of one place.
+    Every task adds up the exponentials of a place by whole numbers of the logit, so what is shuffled is a few rows
+    per place and task, and not the vocabulary.
     """
-    topped = scores.withColumn("_top", F.max("logit").over(Window.partitionBy(*place)))
-    of_label = F.max(F.when(F.col("token_id") == F.col("label_id"), F.col("logit")))
-    mass = F.sum(F.exp(F.col("logit") - F.col("_top")))
+    # A score of minus infinity has no mass; it goes to the lowest number.
+    whole = F.floor(F.greatest("logit", F.lit(-1e15)))
+    parts = scores.withColumn("_whole", whole).groupBy(*place, "_whole").agg(
+        F.sum(F.exp(F.col("logit") - F.col("_whole"))).alias("_mass"),
+        F.max(F.when(F.col("token_id") == F.col("label_id"), F.col("logit"))).alias("_label"),
+        F.sum("logit").alias("_sum"),
+        F.count("*").alias("_count"),
+    )
+    topped = parts.withColumn("_top", F.max("_whole").over(Window.partitionBy(*place)))
+    mass = F.sum(F.col("_mass") * F.exp((F.col("_whole") - F.col("_top")).cast("double")))
     return topped.groupBy(*place).agg(
-        (of_label - F.max("_top") - F.log(mass)).alias("logp"),
-        F.sum("logit").alias("logit_sum"),
-        F.count("*").alias("logit_count"),
+        (F.max("_label") - F.max("_top") - F.log(mass)).alias("logp"),
+        F.sum("_sum").alias("logit_sum"),
+        F.sum("_count").alias("logit_count"),
     )
 
 

@@ -139,3 +139,12 @@ def test_response_is_cut_after_the_prompt(spark):
     whole = rows(M.cut_response(df, vocab, skip_special=False).orderBy("k").select("response"))
     assert plain == [("ba",), ("",), ("",)]
     assert whole == [("ba<eos>",), ("",), ("",)]
+
+
+def test_generation_and_columns_draw_the_same_tokens(spark):
+    scores = np.random.default_rng(1).normal(size=(1, 12))
+    opts = DecodeOptions(top_k=6, temperature=0.9, max_new_tokens=1, seed=7)
+    made = G.generate(requests(spark, [1], [1], [1]), lambda: lambda contexts: np.repeat(scores, len(contexts), 0), -1, opts)
+    df = made.select("request_id", "new_ids", F.array(*[F.lit(float(s)) for s in scores[0]]).alias("logits"))
+    drawn = df.select("new_ids", G.next_token(F.col("logits"), opts, F.col("request_id"), F.lit(0)).alias("token"))
+    assert all(r["new_ids"] == [r["token"]] for r in drawn.collect())

@@ -180,3 +180,13 @@ def test_ld_needs_token_scores(spark):
     df = spark.createDataFrame([(1, 0, -10.0, -12.0, -11.0, -11.0, 5, 3)], PAIR)
     with pytest.raises(ValueError, match="ld strategy"):
         D.score(df, PreferenceOptions(strategy="ld"), ["batch"])
+
+
+def test_scores_wrap_around_and_one_sided_pairs_fail(spark):
+    places = [(1, side, pos, 1, pos == 3, 2, -float(pos + 1)) for side in D.SIDES for pos in range(4)]
+    df = spark.createDataFrame(places, "pair_id BIGINT, side STRING, pos BIGINT, mask INT, is_last BOOLEAN, label_id INT, logp DOUBLE")
+    moved = rows(D.realigned(df, ["pair_id"]).where("side = 'chosen'").orderBy("pos").select("realigned_logp"))
+    assert moved == [(-4.0,), (-1.0,), (-2.0,), (-3.0,)]
+    assert D.pair_sums(df, ["pair_id"]).count() == 1
+    with pytest.raises(Exception, match="lacks a side"):
+        D.pair_sums(df.where("side = 'chosen'"), ["pair_id"]).collect()

@@ -81,3 +81,24 @@ def test_unknown_token_fails_without_an_unknown_id(spark, bound):
     df = spark.createDataFrame([(1, ["a", "zz"])], "k BIGINT, tokens ARRAY<STRING>")
     with pytest.raises(Exception, match="lookup table lacks"):
         P.encode(df, {"tokens": "ids"}, vocab, bound).collect()
+
+
+@pytest.mark.parametrize("bound", [BROADCAST_ROWS, 0])
+def test_repeated_rows_stay_apart_and_repeated_keys_fail(spark, vocab, bound):
+    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["a"]), (1, ["a"])], "k BIGINT, tokens ARRAY<STRING>")
+    made = sorted(rows(P.encode(df, {"tokens": "ids"}, vocab, bound).select("k", "ids")))
+    assert made == [(1, [0]), (1, [0]), (1, [0, 1])]
+    twice = vocab.unionByName(vocab.where("token = 'a'"))
+    with pytest.raises(Exception, match="twice"):
+        P.encode(df, {"tokens": "ids"}, twice, bound).collect()
+
+
+@pytest.mark.parametrize("bound", [BROADCAST_ROWS, 0])
+def test_unknown_ids_are_not_decoded(spark, vocab, bound):
+    df = spark.createDataFrame([(1, [0, 55, 1])], "k BIGINT, ids ARRAY<INT>")
+    with pytest.raises(Exception, match="lacks 55"):
+        P.decode(df, {"ids": "text"}, vocab, bound=bound).collect()
+
+
+def test_long_entries_are_not_small(spark):
+    assert not is_small(spark.sql("select repeat('x', 1000) as token"), 10, most_bytes=900)
