@@ -1,3 +1,6 @@
+from functools import reduce
+from operator import add
+
 import numpy as np
 import pytest
 
@@ -11,7 +14,7 @@ def brute(rows, asked, k):
         own = min((tuple(v) for i, v in usable if i == q), default=None)
         if own is None:
             continue
-        near = sorted((float(np.sqrt(sum((a - b) ** 2 for a, b in zip(own, v)))), i) for i, v in usable if i != q and len(v) == len(own))
+        near = sorted((float(np.sqrt(reduce(add, ((a - b) * (a - b) for a, b in zip(own, v))))), i) for i, v in usable if i != q and len(v) == len(own))
         result += [(q, rank, i, d) for rank, (d, i) in enumerate(near[:k], 1)]
     return result
 
@@ -21,7 +24,7 @@ def vectors(spark):
     rng = np.random.default_rng(8)
     rows = [(i, rng.normal(size=6).astype(np.float32).astype(float).tolist()) for i in range(900)]
     rows += [(1000 + i, [0.5] * 6) for i in range(400)]
-    rows += [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 0, 0, 0, 0]), (2003, [float("nan")] * 6), (2004, [float("inf")] * 6), (2005, []), (2006, [1.0, 2.0]), (2007, [1.0, 3.0]), (None, [1.0] * 6), (3, rows[3][1])]
+    rows += [(2000, None), (2001, [0.0] * 6), (2002, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2003, [float("nan")] * 6), (2004, [float("inf")] * 6), (2005, []), (2006, [1.0, 2.0]), (2007, [1.0, 3.0]), (None, [1.0] * 6), (3, rows[3][1])]
     return rows, spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>").repartition(3)
 
 
