@@ -214,6 +214,7 @@ PARTS: dict[str, tuple[list[str], str]] = {
         """select scale, pair_id, side, coalesce(sum(logp) filter (pos < 4), 0) as logp, count(*) as length,
                   coalesce(sum(-logp) filter (label_id <> 0 and pos < 4), 0) as nll_sum,
                   count(*) filter (label_id <> 0 and pos < 4) as nll_count,
+                  coalesce(sum(-logp) filter (label_id <> 0), 0) as nll_sum_all, count(*) filter (label_id <> 0) as nll_count_all,
                   sum(logit_sum) as logit_sum, sum(logit_count) as logit_count, sum(before - lse2) as weight_sum
            from (select *, coalesce(lag(mlogp) over (partition by scale, pair_id, side order by pos),
                                     max_by(mlogp, pos) over (partition by scale, pair_id, side)) as before
@@ -557,6 +558,12 @@ oracle(
     f"""select pair_id, case side when 0 then 'chosen' else 'rejected' end as side, length, nll_count,
                {r4("logp")} as logp, {r4("coalesce(nll_sum, 0)")} as nll_sum from place_sums where scale = 10""",
 )
+oracle(
+    "sequence_logp_encoder",
+    "place_sums",
+    f"""select pair_id, case side when 0 then 'chosen' else 'rejected' end as side, length, nll_count_all as nll_count,
+               {r4("logp")} as logp, {r4("nll_sum_all")} as nll_sum from place_sums where scale = 10""",
+)
 oracle(
     "dpo_rpo",
     "logit_losses",

@@ -536,6 +536,13 @@ def sequence_logp(spark, sf_dir):
     return sums.select("pair_id", "side", "length", "nll_count", *rounded("logp", "nll_sum"))
 
 
+@query
+def sequence_logp_encoder(spark, sf_dir):
+    """Sums for an encoder-decoder model, whose last place counts for the negative log-likelihood."""
+    sums = D.sequence_sums(_places(spark, sf_dir, 10.0), ["pair_id"], PreferenceOptions(encoder_decoder=True))
+    return sums.select("pair_id", "side", "length", "nll_count", *rounded("logp", "nll_sum"))
+
+
 @query
 def dpo_rpo(spark, sf_dir):
     scored = D.score(_logit_pairs(spark, sf_dir), PreferenceOptions(rpo_alpha=0.5), ["batch"]).pairs

@@ -81,7 +81,10 @@ def realigned(places: DataFrame, key: list[str]) -> DataFrame:
 def _sums(places: DataFrame, opts: PreferenceOptions, rows: Column) -> dict[str, Column]:
     masked = rows & (F.col("mask") == 1)
     scored = masked & ~F.col("is_last")
-    counted = scored if opts.nll_mask == "loss_mask" else scored & (F.col("label_id") != 0)
+    # The labels of an encoder-decoder model are not moved, so its last place has a score, too.
+    counted = masked if opts.encoder_decoder else scored
+    if opts.nll_mask != "loss_mask":
+        counted = counted & (F.col("label_id") != 0)
 
     def over(some: Column, value: Column) -> Column:
         return F.coalesce(F.sum(F.when(some, value)), F.lit(0.0))

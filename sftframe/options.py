@@ -82,6 +82,7 @@ class PreferenceOptions:
     aux_loss_coef: float | None = None
     nll_mask: str = "label"
     report_nll: bool = False
+    encoder_decoder: bool = False
     max_length: int | None = None
     truncation_mode: str = "keep_end"
     batch_size: int = 8
