@@ -97,7 +97,7 @@ def features_of(column: pa.Array) -> np.ndarray:
                 share(_PIPES) / some,
                 share(_BEYOND) / some,
                 n_lines / np.maximum(n_words, 1),
-                1 - distinct_lines / np.maximum(n_lines, 1),
+                (n_lines - distinct_lines) / np.maximum(n_lines, 1),
                 distinct / np.maximum(n_words, 1),
                 distinct_3 / np.maximum(n_words - 2, 1),
                 per_word(same),
