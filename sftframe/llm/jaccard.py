@@ -12,9 +12,10 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
 3. Documents with equal sets are one class.  Of each prefix shingle of the first order, every class is paired with
    the smallest class that has it, so pairs grow with the postings, however long they are.  Pairs that pass the
    filters of all orders are verified by their exact common shingles, and linked ones form components.
-4. What remains are shingles whose classes lie in several components.  For those, pairs across components are made
-   (with bounds on sizes and on positions in the prefix), filtered and verified the same way.  Two classes of one
-   component need no pair, so no link between components is lost.
+4. What remains are shingles whose classes lie in several components.  Rounds pair those classes with a pivot of
+   each such shingle, drawn anew; when few pairs across components are left, or a round links few of its pairs, all
+   of them are made, each at the first shingle that both prefixes have.  Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two
+   classes of one component need no pair, so no link between components is lost.
 
 Counts of common shingles use the 48-bit numbers; two shingles of a compared pair differ in them but for one chance
 in 2^48.  Ids may be null or repeated: rows are told apart by a number of their own.  Names of other columns do not
@@ -36,6 +37,7 @@ from sftframe.llm.graph import components
 SIZE = 5
 PERCENT = 75
 BITS = 48
+WORTHWHILE = 0.05
 UNIT = 2_000_000
 SLICES_PER_TASK = 4
 _ROW_BITS = 24
@@ -221,6 +223,59 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_verify(percent), "a long, b long")
 
 
+def _possible(percent: int):
+    """Whether the bounds on sizes and places let rows x and y of one token link at all."""
+    after = F.least(F.col("n_shingles_x") - F.col("before_x"), F.col("n_shingles_y") - F.col("before_y"))
+    # Before the token they share at most the shared shingles that either has there, then at most what either has left.
+    common = after + F.least("at_x", "at_y")
+    sizes = 100 * F.least("n_shingles_x", "n_shingles_y") >= percent * F.greatest("n_shingles_x", "n_shingles_y")
+    return sizes & ((100 + percent) * common >= percent * (F.col("n_shingles_x") + F.col("n_shingles_y")))
+
+
+def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """Components after the pairs across components that share a token have been tested, too.
+
+    A round pairs the rows of each open token with a pivot of the token's own, so pairs grow with the postings; a
+    row meets as many pivots as it has open tokens.  When few pairs are left, or a round has linked less than
+    ``WORTHWHILE`` of its pairs, all that are left are tested at once.
+    """
+    number, progress = 0, True
+    label = components(edges)
+    while True:
+        labelled = postings.join(label, F.col("rid") == F.col("vertex"), "left").withColumn("c", F.coalesce("component", "rid"))
+        labelled = X.stored(labelled.select("token", "rid", "n_shingles", "at", "before", "c"), "jaccard-labels")
+        open_tokens = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
+        left = X.stored(labelled.join(X.stored(open_tokens, "jaccard-open"), "token"), "jaccard-left")
+        parts = left.groupBy("token", "c").agg(F.count("*").cast("double").alias("n"))
+        by_token = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
+        rows, pairs = by_token.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
+        if not rows:
+            return label
+        number += 1
+        last = pairs <= rows or not progress
+        side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *more)))
+        if last:
+            # A pair is made at the first token that both prefixes have, hence once.
+            prefixed = left.join(sets.select("rid", "first"), "rid")
+            x, y = (side(prefixed, s, "first") for s in "xy")
+            once = F.get(F.array_intersect("first_x", "first_y"), F.lit(0)) == F.col("token")
+            joined = x.join(y, "token").where((F.col("c_x") < F.col("c_y")) & _possible(percent) & once)
+        else:
+            drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
+            pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
+            pivots = X.stored(drawn.join(pivots, ["token", "draw"]).drop("draw"), "jaccard-pivots")
+            joined = side(left, "x").join(side(pivots, "y"), "token").where(F.col("c_x") != F.col("c_y"))
+        found = joined.where(_possible(percent)).select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
+        new = X.stored(found.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+        more = X.stored(_linked(new, sets, percent), "jaccard-more")
+        links = more.count()
+        # What is known so far is a star per component, so only the new links have to be worked in.
+        label = components(label.unionAll(more)) if links else label
+        if last:
+            return label
+        tested, progress = tested.unionAll(new), links >= WORTHWHILE * new.count()
+
+
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, rid`` and ``component``, the smallest row number that it reaches."""
     spark = docs.sparkSession
@@ -249,28 +304,12 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
         "token", "rid", "n_shingles", "at", (F.col("own") + F.col("at")).alias("before")
     )
     ends = postings.groupBy("token").agg(F.min("rid").alias("least"), F.max("rid").alias("most")).where("least <> most")
-    postings = X.stored(postings.join(ends.select("token", "least"), "token"), "jaccard-postings")
+    # Stored, so that the join can split a token that many classes have.
+    ends = X.stored(ends.select("token", "least"), "jaccard-tokens")
+    postings = X.stored(postings.join(ends, "token"), "jaccard-postings")
     stars = X.stored(postings.where("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b")).distinct(), "jaccard-stars")
     edges = X.stored(_linked(stars, sets, percent), "jaccard-edges")
-    label = components(edges)
-
-    labelled = X.stored(
-        postings.join(label, F.col("rid") == F.col("vertex"), "left").select("token", "rid", "n_shingles", "at", "before", F.coalesce("component", "rid").alias("c")),
-        "jaccard-labels",
-    )
-    open_tokens = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-    left = labelled.join(open_tokens, "token")
-    x, y = (left.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c"))) for s in "xy")
-    bound = 1 + F.least(F.col("n_shingles_x") - F.col("before_x") - 1, F.col("n_shingles_y") - F.col("before_y") - 1) + F.least("at_x", "at_y")
-    # Before the token they share at most the shared shingles that either has there, after it what either has left.
-    across = (
-        (F.col("c_x") < F.col("c_y"))
-        & (100 * F.least("n_shingles_x", "n_shingles_y") >= percent * F.greatest("n_shingles_x", "n_shingles_y"))
-        & ((100 + percent) * bound >= percent * (F.col("n_shingles_x") + F.col("n_shingles_y")))
-    )
-    rest = x.join(y, (x["token"] == y["token"]) & across).select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
-    more = X.stored(_linked(rest.join(stars, ["a", "b"], "left_anti"), sets, percent), "jaccard-more")
-    merged = components(edges.unionAll(more))
+    merged = _across(postings, sets, edges, stars, percent)
     return members.join(merged, F.col("class") == F.col("vertex"), "left").select("doc_id", "n_shingles", "rid", F.coalesce("component", "class").alias("component"))
 
 
