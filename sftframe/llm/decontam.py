@@ -28,7 +28,7 @@ from sftframe.llm.suffix import suffix_array
 WINDOW = 13
 BLOCK_BYTES = 8 << 20
 SAMPLE = 8
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 
 
 class WaveletMatrix:

@@ -33,7 +33,7 @@ from sftframe.llm.suffix import permuted_lcp, suffix_array
 LENGTH = 400
 GRAM = 48
 BLOCKS = 2
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 
 
 def _slide(values: np.ndarray, width: int) -> np.ndarray:
@@ -235,7 +235,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("rid", "copies", *(F.col(f"b.{n}").alias(n[:-1]) for n, _ in _NUMBERS))
     )
     place = F.xxhash64("rid", "low")
-    cores = blocks.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a <> z").select("core")
+    cores = X.stored(blocks.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("z")).where("a <> z").select("core"), "dedup-cores")
     blocks = X.stored(blocks.join(cores, "core"), "dedup-blocks")
 
     pieces = blocks.groupBy("core", "whole", "count").agg(

@@ -38,7 +38,7 @@ SIZE = 5
 PERCENT = 75
 BITS = 48
 WORTHWHILE = 0.05
-UNIT = 2_000_000
+UNIT = 1_000_000
 SLICES_PER_TASK = 4
 _ROW_BITS = 24
 _UNIT_BITS = 12

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from sftframe.llm import textcore as X
 
-UNIT = 1_500_000
+UNIT = 800_000
 SLICES_PER_TASK = 4
 FILTER_BYTES = 96 << 20
 BITS_PER_ENTRY = 12

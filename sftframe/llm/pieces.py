@@ -101,7 +101,8 @@ class Lattices:
         place = np.arange(len(data))
         follower = np.append(data[1:], np.uint8(0)).astype(np.int64)
         reach = vocabulary.longest[data.astype(np.int64) * 256 + follower]
-        begins, ends, ids, scores = [], [], [], []
+        unit_begin = np.repeat(starts[:-1], sizes)
+        begins, ends, ids, scores, offsets = [], [], [], [], []
         whole = np.where(data < 0x80, 1, np.where(data >= 0xF0, 4, np.where(data >= 0xE0, 3, 2)))
         head = (data & 0xC0) != 0x80
         whole = np.minimum(whole, unit_end - place)
@@ -116,6 +117,7 @@ class Lattices:
             fits, at = fits[found], at[found]
             begins.append(fits + shift[fits])
             ends.append(fits + shift[fits] + length)
+            offsets.append(fits + length - unit_begin[fits])
             ids.append(numbers[at])
             scores.append(values[at])
             single[fits[whole[fits] == length]] = True
@@ -126,11 +128,12 @@ class Lattices:
             after_head[covered] = True
         lone = np.flatnonzero(~single & (head | ~after_head))
         begins.append(lone + shift[lone])
-        ends.append(lone + shift[lone] + np.where(head[lone], whole[lone], 1))
+        size = np.where(head[lone], whole[lone], 1)
+        ends.append(lone + shift[lone] + size)
+        offsets.append(lone + size - unit_begin[lone])
         ids.append(-1 - lone)
         scores.append(np.full(len(lone), vocabulary.unknown))
-        begin, end, number, score = (np.concatenate(x) for x in (begins, ends, ids, scores))
-        offset = end - self.first[np.searchsorted(self.first, end, "right") - 1]
+        begin, end, number, score, offset = (np.concatenate(x) for x in (begins, ends, ids, scores, offsets))
         order = np.lexsort((begin, end, offset))
         self.begin, self.end, self.id, self.score = begin[order], end[order], number[order], score[order]
         self._forward(offset[order])

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sftframe.session import shared_folder, ship_package
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
