@@ -2,10 +2,10 @@
 
 Training texts give counts of words (with one end after each text) and of neighbouring words.  They are summed by
 slices of the 64-bit hash.  A slice puts its bigrams into a filter of its own: a bigram of count ``c`` is entered
-with every level from 1 to ``1 + floor(log2 c)``; a query probes the levels upwards until one is missing.  The
-slices together are one filter, broadcast to the workers.  It has ``BITS_PER_ENTRY`` bits an entry up to
-``FILTER_BYTES`` in all; beyond that bound nothing is left out, but false positives rise as the filter fills.
-Word counts stay exact: each unit of texts asks the slices for the counts of its distinct words.
+with every level from 1 to ``1 + floor(log2 c)``; a query probes the levels upwards until one is missing.  Each
+unit of texts asks the slices for the exact counts of its distinct words and for the levels of its distinct bigrams,
+so filters stay in the tasks of their slices.  A filter has ``BITS_PER_ENTRY`` bits an entry at every size: where the
+filters of all slices would exceed ``FILTER_BYTES``, a slice makes several, one after the other, by ranges of the hash.
 
 ``log10 p(w | u)`` mixes the bigram share with the add-one share of the word, by a weight that grows with the
 count of ``u``; a text's score sums over its words and its end, the first word following an end.  A filter answer
@@ -86,7 +86,7 @@ def _before(tokens: np.ndarray) -> np.ndarray:
 
 
 def _ask(slices: int, size: int):
-    """Per unit and slice: all distinct words with their training counts, and the training bigrams with theirs."""
+    """Per unit and slice: all distinct words and bigrams with their training counts."""
 
     def run(batches):
         for unit, tokens, sizes, marks in _units(batches, size):
@@ -94,9 +94,10 @@ def _ask(slices: int, size: int):
             taught = np.repeat(train, sizes)
             words, at = np.unique(tokens, return_inverse=True)
             counts = np.bincount(at[taught], minlength=len(words)).astype(np.uint32)
-            pairs, times = np.unique(bigrams(_before(tokens), tokens)[taught], return_counts=True)
+            pairs, at = np.unique(bigrams(_before(tokens), tokens), return_inverse=True)
+            times = np.bincount(at[taught], minlength=len(pairs)).astype(np.uint32)
             rows = []
-            for kind, keys, n in (("word", words, counts), ("pair", pairs, times.astype(np.uint32))):
+            for kind, keys, n in (("word", words, counts), ("pair", pairs, times)):
                 cuts = _cuts(keys, slices)
                 for k in np.flatnonzero(np.diff(cuts)):
                     part = slice(cuts[k], cuts[k + 1])
@@ -122,10 +123,11 @@ def _probes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return first, X.mix(first ^ np.uint64(0xA5A5A5A5A5A5A5A5)) | np.uint64(1)
 
 
-def filter_of(keys: np.ndarray, counts: np.ndarray, most_bytes: int) -> np.ndarray:
+def filter_of(keys: np.ndarray, counts: np.ndarray, most_bytes: int | None = None) -> np.ndarray:
     """Filter bytes with every key entered at all levels of its count."""
     level = levels(counts)
-    size = int(min(max(64, BITS_PER_ENTRY * level.sum()), 8 * most_bytes)) // 8
+    size = int(max(64, BITS_PER_ENTRY * level.sum())) // 8
+    size = size if most_bytes is None else min(size, most_bytes)
     bits = np.zeros(8 * size, np.uint8)
     for at in range(1, int(level.max(initial=0)) + 1):
         first, step = _probes(keys[level >= at], at)
@@ -145,8 +147,21 @@ def _sum(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.add.reduceat(counts, first)
 
 
+def slice_levels(keys: np.ndarray, counts: np.ndarray, most_bytes: int) -> np.ndarray:
+    """The level of each of a slice's sorted keys by filters of about ``most_bytes``; keys of count 0 are not entered."""
+    result = np.zeros(len(keys), np.uint8)
+    entries = np.cumsum(levels(counts))
+    part = np.maximum(entries - 1, 0) // max(MOST_LEVELS, 8 * most_bytes // BITS_PER_ENTRY)
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(keys))
+    for first, last in zip(cuts[:-1], cuts[1:]):
+        own, times = keys[first:last], counts[first:last]
+        found = filter_of(own[times > 0], times[times > 0])
+        result[first:last] = Model(1, found, np.array([0, len(found)]), 0, 0).quantised(own)
+    return result
+
+
 def _answer(most_bytes: int):
-    """Per slice: total counts, the counts of each unit's words, and the filter of the bigrams."""
+    """Per slice: total counts, the counts of each unit's words, and the levels of each unit's bigrams."""
 
     def slice_rows(asked):
         for r in asked:
@@ -162,8 +177,9 @@ def _answer(most_bytes: int):
                 yield (k, r["unit"], "answer", r["n"], None, X.pack(counts[np.searchsorted(keys, r["keys"])]), None)
         if pairs:
             keys, counts = _sum(pairs)
-            found = filter_of(keys, counts, most_bytes)
-            yield (k, 0, "filter", len(found), None, None, found.tobytes())
+            found = slice_levels(keys, counts, most_bytes)
+            for r in pairs:
+                yield (k, r["unit"], "level", r["n"], None, X.pack(found[np.searchsorted(keys, r["keys"])]), None)
 
     def run(batches):
         asked: list[dict] = []
@@ -245,33 +261,36 @@ def _sequences(size: int):
     return run
 
 
-def _scorer(shared):
+def _answers(rows: list[dict], kind: str, dtype, size: int) -> np.ndarray:
+    """A unit's answers of a kind, in the order of its sorted distinct keys."""
+    answers = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["slice"])
+    if sum(r["n"] for r in answers) != size:
+        raise RuntimeError("the documents were read in another order than before; store them first")
+    return np.concatenate([X.unpack(r["counts"], dtype, r["n"]) for r in answers])
+
+
+def _scorer(all_tokens: int, distinct: int):
     def unit_rows(rows):
-        model = shared.value
         words, text = (next(r for r in rows if r["kind"] == kind) for kind in ("words", "text"))
-        answers = sorted((r for r in rows if r["kind"] == "answer"), key=lambda r: r["slice"])
         keys = np.frombuffer(words["tokens"], np.uint64)
-        if sum(r["n"] for r in answers) != len(keys):
-            raise RuntimeError("the documents were read in another order than before; store them first")
         counts = np.empty(len(keys), np.float64)
-        counts[np.argsort(keys)] = np.concatenate([X.unpack(r["counts"], np.int64, r["n"]) for r in answers])
+        counts[np.argsort(keys)] = _answers(rows, "answer", np.int64, len(keys))
         table = pa.ipc.open_stream(text["info"]).read_next_batch()
         at = X.unpack(text["tokens"], np.uint32, text["n"]).astype(np.int64)
         tokens, own = keys[at], counts[at]
-        previous = _before(tokens)
         # The word before a text's first one is an end, also at the start of the unit.
         ends = counts[np.flatnonzero(keys == _END)[0]]
         before = np.concatenate([[ends], own[:-1]])
-        known = np.flatnonzero((own > 0) & (before > 0))
-        pair = np.zeros(len(at))
-        pair[known] = value_of(model.quantised(bigrams(previous[known], tokens[known])))
-        total = float(model.tokens + model.distinct + 1)
+        pairs, which = np.unique(bigrams(_before(tokens), tokens), return_inverse=True)
+        pair = value_of(_answers(rows, "level", np.uint8, len(pairs)).astype(np.int64))[which]
+        pair[(own == 0) | (before == 0)] = 0
+        total = float(all_tokens + distinct + 1)
         first = np.cumsum(table.column("sizes").to_numpy()) - table.column("sizes").to_numpy()
         base = np.add.reduceat(np.log10((own + 1) / total), first)
-        score = np.add.reduceat(log_share(before, own, pair, model.tokens, model.distinct), first)
+        score = np.add.reduceat(log_share(before, own, pair, all_tokens, distinct), first)
         n_known = np.add.reduceat((own > 0).astype(np.int64), first)
         size = table.num_rows
-        columns = [*table.columns, pa.array(n_known), pa.array(np.full(size, model.tokens, np.int64)), pa.array(base), pa.array(score)]
+        columns = [*table.columns, pa.array(n_known), pa.array(np.full(size, all_tokens, np.int64)), pa.array(base), pa.array(score)]
         names = ["held_out", "doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         columns[0] = pc.invert(columns[0])
         return pa.RecordBatch.from_arrays(columns, names)
@@ -294,6 +313,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     """Per row: ``held_out`` (not in training), ``doc_id``, token counts, ``base_score`` and the model's ``score``.
 
     ``docs`` is read twice and must give the same rows in the same partitions, as a stored table does.
+    ``filter_bytes`` bounds the filters held at once over all slices; it does not change the bits an entry has.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -305,19 +325,13 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
         asked.repartition(parts, "slice").sortWithinPartitions("slice").mapInArrow(_answer(max(1, filter_bytes // slices)), _SQL), "lm-answers"
     )
     totals = answered.where("kind = 'total'").agg(F.sum("n").alias("n"), F.sum(F.col("info").cast("string").cast("long")).alias("v")).first()
-    found = {r["slice"]: r["info"] for r in answered.where("kind = 'filter'").select("slice", "info").toLocalIterator()}
-    pieces = [np.frombuffer(found.get(k, b""), np.uint8) for k in range(slices)]
-    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-    model = Model(slices, np.concatenate(pieces), starts, totals["n"] or 0, totals["v"] or 0)
-    shared = spark.sparkContext.broadcast(model)
-    del found, pieces
-    answers = answered.where("kind = 'answer'")
+    answers = answered.where("kind <> 'total'")
     units = plain.mapInArrow(_sequences(UNIT), _SQL).unionAll(answers)
     id_type = docs.select(doc_id).schema.fields[0].dataType.simpleString()
     return (
         units.repartition(parts, "unit")
         .sortWithinPartitions("unit", "slice")
-        .mapInArrow(_scorer(shared), f"held_out boolean, doc_id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        .mapInArrow(_scorer(totals["n"] or 0, totals["v"] or 0), f"held_out boolean, doc_id {id_type}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     )
 
 

@@ -62,3 +62,31 @@ def test_empty_table_and_no_training(docs, no_docs):
 
     rows = L.score(docs, F.lit(False)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["held_out"] for r in rows)
+
+
+def test_scores_do_not_fill_up_with_the_filter(docs):
+    """Filters of a few bytes at once give the scores that exact levels of all bigrams give."""
+    from pyspark.sql import functions as F
+
+    rows = docs.select("doc_id", "text").collect()
+    held = [r["doc_id"] is None or r["doc_id"] % 2 for r in rows]
+    own = [words(r["text"]) for r in rows]
+    counts = Counter(w for t, h in zip(own, held) if not h for w in t)
+    pairs = Counter(p for t, h in zip(own, held) if not h for p in zip([None, *t], t))
+    n, v = sum(counts.values()), len(counts)
+    wanted = []
+    for r, t in zip(rows, own):
+        before, word = (np.array([counts[w] for w in s], float) for s in ([None, *t[:-1]], t))
+        level = np.frexp(np.array([pairs[p] for p in zip([None, *t[:-1]], t)], float))[1]
+        wanted.append((str(r["doc_id"]), len(t), L.log_share(before, word, L.value_of(level), n, v).sum()))
+    train = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
+    found = [(str(r["doc_id"]), r["n_tokens"], r["score"]) for r in L.score(docs, train, filter_bytes=64).collect()]
+    off = [abs(a[2] - b[2]) for a, b in zip(sorted(found), sorted(wanted))]
+    assert len(found) == len(wanted) and sum(off) < 0.01 * sum(abs(w[2]) for w in wanted)
+
+
+def test_slices_with_several_filters_still_tell_unseen_keys_apart():
+    keys = np.sort(np.random.default_rng(3).integers(0, 2**64, 6000, dtype=np.uint64))
+    counts = np.where(np.arange(6000) % 2, np.arange(6000) % 9 + 1, 0)
+    found = L.slice_levels(keys, counts, 256)
+    assert (found >= L.levels(counts)).all() and (found[counts == 0] > 0).mean() < 0.05
