@@ -10,6 +10,10 @@ as numbers only.  Where a core occurs twice or more, each distinct block is cut
 number of places, and the blocks are dealt out by core.  A shard builds one suffix array over its blocks: windows
 are equal if their suffixes stand together with common prefixes of ``LENGTH`` or more.
 
+A short passage with different text around it gives a core that very many distinct blocks share.  Where they have
+more than ``SHARD_BYTES``, the blocks are cut into parts of one window each, whose core is the window itself: they
+are dealt out and counted by a 128-bit digest of the window, and no task sees all blocks of the core.
+
 Copies of whole texts are counted by digest and stand for one text; every window of a text with a copy is
 repeated.  A hot passage is thus one block with a count, whatever its number of places.
 
@@ -181,6 +185,49 @@ def _match(length: int):
     return run
 
 
+def _windows(length: int):
+    """Every window of the pieces by its digest."""
+    schema = pa.schema([("core", pa.int64()), ("whole", pa.int64()), ("places", pa.int64()), ("at", pa.int32()), ("window", pa.binary())])
+
+    def run(batches):
+        for batch in batches:
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                buffer, starts = X.text_bytes(part.column(3))
+                data = buffer.tobytes()
+                count = np.diff(starts) - length + 1
+                at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+                begin = np.repeat(starts[:-1], count) + at
+                windows = [hashlib.blake2b(data[a : a + length], digest_size=16).digest() for a in begin.tolist()]
+                numbers = [np.repeat(part.column(k).to_numpy(), count) for k in range(3)]
+                yield pa.record_batch([*numbers, at.astype(np.int32), pa.array(windows, pa.binary())], schema=schema)
+
+    return run
+
+
+def _runs(batches):
+    """Ranges of the repeated windows of each piece."""
+    schema = pa.schema([("core", pa.int64()), ("whole", pa.int64()), ("begins", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32()))])
+    for batch in batches:
+        begins, ends = [], []
+        for places in batch.column(2).to_pylist():
+            at = np.unique(places)
+            cuts = np.flatnonzero(np.diff(at) > 1)
+            begins.append(at[np.append(0, cuts + 1)].tolist())
+            ends.append((at[np.append(cuts, len(at) - 1)] + 1).tolist())
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(begins, schema.field(2).type), pa.array(ends, schema.field(3).type)], schema=schema)
+
+
+def _by_window(cut: DataFrame, length: int) -> DataFrame:
+    """What ``_match`` finds, with a shuffle by window in place of one by core."""
+    windows = cut.mapInArrow(_windows(length), "core long, whole long, places long, at int, window binary")
+    windows = X.stored(windows, "dedup-windows")
+    # Stored, so that the join can split a window that very many blocks have.
+    repeated = X.stored(windows.groupBy("window").agg(F.sum("places").alias("n")).where("n > 1").select("window"), "dedup-repeated")
+    found = windows.join(repeated, "window").groupBy("core", "whole").agg(F.collect_list("at").alias("at"))
+    return found.mapInArrow(_runs, "core long, whole long, begins array<int>, ends array<int>")
+
+
 def merged(begins, ends) -> list[tuple[int, int]]:
     """Ranges joined where they overlap or touch."""
     result: list[tuple[int, int]] = []
@@ -241,23 +288,32 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pieces = blocks.groupBy("core", "whole", "count").agg(
         F.min(F.struct("rid", "low")).alias("at"), F.count("*").alias("places")
     )
-    wanted = pieces.groupBy("at.rid").agg(
-        F.collect_list(F.struct("core", "whole", "places", F.col("at.low").alias("low"), "count")).alias("wanted")
-    )
+    pieces = X.stored(pieces, "dedup-pieces")
+    wide = pieces.groupBy("core").agg(F.sum(F.col("count") - 1 + length).alias("n")).where(F.col("n") > SHARD_BYTES)
+    wide = X.stored(wide.select("core"), "dedup-wide")
     keys = index.select("rid", "doc_id", "digest").join(blocks.select("rid").distinct(), "rid")
     named = docs.select(F.col(f"`{doc_id}`").alias("_id"), body.alias("body")).withColumn("_digest", F.md5("body"))
     chosen = X.stored(
         named.join(keys, F.col("_id").eqNullSafe(F.col("doc_id")) & (F.col("_digest") == F.col("digest"))).select("rid", "body"),
         "dedup-texts",
     )
-    cut = chosen.join(wanted, "rid").select("body", "wanted").mapInArrow(
-        _cut(length), "core long, whole long, places long, piece binary"
-    )
+
+    def cut(some: DataFrame) -> DataFrame:
+        wanted = some.groupBy("at.rid").agg(
+            F.collect_list(F.struct("core", "whole", "places", F.col("at.low").alias("low"), "count")).alias("wanted")
+        )
+        return chosen.join(wanted, "rid").select("body", "wanted").mapInArrow(
+            _cut(length), "core long, whole long, places long, piece binary"
+        )
+
+    # A wide core has SHARD_BYTES or more of distinct blocks, so there are few.
     found = (
-        cut.repartition("core")
+        cut(pieces.join(F.broadcast(wide), "core", "left_anti")).repartition("core")
         .sortWithinPartitions("core", "whole")
         .mapInArrow(_match(length), "core long, whole long, begins array<int>, ends array<int>")
     )
+    if not wide.isEmpty():
+        found = found.unionAll(_by_window(cut(pieces.join(F.broadcast(wide), "core", "left_semi")), length))
     spans = (
         blocks.where("copies = 1")
         .select("core", "whole", "rid", "low")

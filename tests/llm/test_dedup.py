@@ -65,3 +65,38 @@ def test_anchors_do_not_depend_on_what_stands_around():
 
 def test_ranges_that_touch_are_one():
     assert dedup.merged([5, 0, 10], [10, 3, 12]) == [(0, 3), (5, 12)]
+
+
+def test_no_shard_holds_all_blocks_of_a_core_that_many_texts_share(spark, monkeypatch):
+    """Headers of 300, 405 and 520 bytes with different text around them, under a small ``SHARD_BYTES``."""
+    rng = np.random.default_rng(7)
+    letters = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+    headers = [letters(300), letters(405), letters(520)]
+    texts = [letters(150 + k) + headers[k % 3] + letters(400 - k) for k in range(60)]
+    texts += [letters(200) + texts[5][100:700] + letters(50), texts[7]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(3)
+    match, most = dedup._match, 4000
+
+    def guarded(length):
+        run = match(length)
+
+        def checked(batches):
+            sizes = {}
+
+            def seen():
+                for batch in batches:
+                    for core, piece in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
+                        sizes[core] = sizes.get(core, 0) + len(piece)
+                        if sizes[core] > most:
+                            raise RuntimeError("all blocks of a core came to one shard")
+                    yield batch
+
+            yield from run(seen())
+
+        return checked
+
+    monkeypatch.setattr(dedup, "SHARD_BYTES", most)
+    monkeypatch.setattr(dedup, "_match", guarded)
+    found = sorted(tuple(r) for r in dedup.digest(docs).collect())
+    assert found == [(k, *e) for k, e in enumerate(expected(texts))]
+    assert sum(1 for f in found if f[2]) > 30
