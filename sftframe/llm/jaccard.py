@@ -321,15 +321,25 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component; rows that repeat id and text stay once.
+    """One row of ``docs`` per component: the smallest id (null last), then the smallest digest of the text.
 
-    Rows with a null id or without words are no one's copies and stay.
+    Rows are told apart by a 64-bit hash of id and text.  Those that repeat both stay once.  Rows without words are
+    no one's copies and stay, also all of those with a null id.
     """
-    found = digest(docs)
-    kept = X.stored(found.where("doc_id <=> component_id or n_shingles = 0 or doc_id is null").groupBy("doc_id").agg(F.count("*").alias("_rows")), "jaccard-kept")
-    ids = kept.select(F.col("doc_id").alias("_kept"), "_rows")
-    left = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_kept")))
-    once = left.where("_rows = 1 or _kept is null").select(*(docs[c] for c in docs.columns))
-    if kept.where("_rows > 1 and doc_id is not null").isEmpty():
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    number = F.xxhash64("doc_id", text)
+    found = X.stored(similar(docs.select(number.alias("doc_id"), "text")), "jaccard-similar")
+    rows = found.groupBy(F.col("doc_id").alias("number")).agg(
+        F.count("*").alias("_rows"), F.min("n_shingles").alias("n_shingles"), F.min("component").alias("component")
+    )
+    named = docs.select(number.alias("number"), "doc_id", text.alias("digest")).distinct()
+    rows = X.stored(rows.join(named, "number"), "jaccard-named")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "number", "_rows")).alias("first")
+    best = rows.where("n_shingles > 0").groupBy("component").agg(first).select("first.number", "first._rows")
+    empty = rows.where("n_shingles = 0").select("number", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("_rows")).alias("_rows"))
+    kept = X.stored(best.unionAll(empty).withColumnRenamed("number", "_number"), "jaccard-kept")
+    left = docs.join(kept, number == F.col("_number"))
+    once = left.where("_rows = 1").select(*(docs[c] for c in docs.columns))
+    if kept.where("_rows > 1").isEmpty():
         return once
-    return once.unionAll(left.where("_rows > 1 and _kept is not null").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"]))
+    return once.unionAll(left.where("_rows > 1").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"]))

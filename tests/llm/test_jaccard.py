@@ -77,3 +77,13 @@ def test_components_of_a_path_and_a_star(spark):
     found = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(path, "x BIGINT, y BIGINT")).collect()}
     assert found == {**{k: 0 for k in range(1, 41)}, **{100 + k: 100 for k in range(1, 30)}}
     assert components(spark.createDataFrame([], "x BIGINT, y BIGINT")).collect() == []
+
+
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (5, c), (5, c + " more"), (None, a), (None, d), (None, d), (None, ""), (None, " "), (9, "")]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    found = [tuple(r) for r in J.one_of_each(docs).collect()]
+    five = [t for n, t in found if n == 5]
+    assert len(five) == 1 and five[0] in (c, c + " more")
+    assert sorted((r for r in found if r[0] != 5), key=str) == sorted([(1, a), (2, b), (None, d), (None, ""), (None, " "), (9, "")], key=str)
