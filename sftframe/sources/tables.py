@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from sftframe.options import SftOptions
 
-#: Bytes of a table that make a split by default.
-SPLIT_BYTES = 128 << 20
 FORMATS = ("parquet", "json", "csv", "orc")
 
 
@@ -58,14 +56,10 @@ def _by_name(df: DataFrame, schema: T.StructType, path: str) -> DataFrame:
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Give every core a share of a small table before costly work on its rows.
 
-    A table with a split per core or more, by its number of files or by its size, is returned as it is.
+    A table whose scan has a split per core or more is returned as it is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    files = len(scan.inputFiles())
-    if not files:
-        return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-    size = int(scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    return scan if max(files, size // SPLIT_BYTES) >= cores else scan.repartition(cores, key)
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
 
 
 def instruction_table(df: DataFrame, opts: SftOptions) -> DataFrame:
