@@ -14,8 +14,13 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    filters of all orders are verified by their exact common shingles, and linked ones form components.
 4. What remains are shingles whose classes lie in several components.  Rounds pair those classes with a pivot of
    each such shingle, drawn anew; when few pairs across components are left, or a round links few of its pairs, all
-   of them are made, each at the first shingle that both prefixes have.  Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two
-   classes of one component need no pair, so no link between components is lost.
+   of them are made, each at the first shingle that both prefixes have and only between sizes that can link.
+   Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two classes of one
+   component need no pair, so no link between components is lost.
+
+Rounds end: a round pairs classes of different components only, and one after which there is another has linked at
+least one pair, so the number of components falls with each; there are at most as many rounds as classes.  The
+number of slices and of tasks follows the bytes of the texts (``TASK_BYTES``), so what a task holds does not grow.
 
 Counts of common shingles use the 48-bit numbers; two shingles of a compared pair differ in them but for one chance
 in 2^48.  Ids may be null or repeated: rows are told apart by a number of their own.  Names of other columns do not
@@ -38,8 +43,11 @@ SIZE = 5
 PERCENT = 75
 BITS = 48
 WORTHWHILE = 0.05
-UNIT = 1_000_000
-SLICES_PER_TASK = 4
+#: Shingles of a unit of documents at least, and for each slice, so that rows between tasks do not become tiny.
+UNIT, UNIT_PER_SLICE = 1_000_000, 512
+#: Bytes of text whose shingles a task counts, in ``SLICES_PER_TASK`` slices held one at a time.
+TASK_BYTES = 16 << 20
+SLICES_PER_TASK = 2
 _ROW_BITS = 24
 _UNIT_BITS = 12
 
@@ -67,6 +75,8 @@ def _units(size: int, percent: int, slices: int):
     def batch_of(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
 
+    full = max(UNIT, UNIT_PER_SLICE * slices)
+
     def run(batches):
         number = TaskContext.get().partitionId() << _UNIT_BITS
         tokens, owners, sizes, ids, n_rows, n_tokens = [], [], ([], [], []), [], 0, 0
@@ -74,7 +84,7 @@ def _units(size: int, percent: int, slices: int):
             buffer, starts = X.text_bytes(batch.column(1))
             names = batch.column(0).to_numpy(zero_copy_only=False)
             for first, last, data, at in X.chunks(buffer, starts):
-                if n_tokens >= UNIT or n_rows + last - first >= 1 << _ROW_BITS:
+                if n_tokens >= full or n_rows + last - first >= 1 << _ROW_BITS:
                     yield batch_of(list(emit(number, tokens, owners, sizes, ids)))
                     number += 1
                     tokens, owners, sizes, ids, n_rows, n_tokens = [], [], ([], [], []), [], 0, 0
@@ -93,6 +103,7 @@ def _units(size: int, percent: int, slices: int):
                 n_tokens += len(values)
         if n_rows:
             yield batch_of(list(emit(number, tokens, owners, sizes, ids)))
+        X.give_back()
 
     return run
 
@@ -135,6 +146,7 @@ def _count(batches):
                 asked = []
             asked.append(row)
     yield from answer(asked)
+    X.give_back()
 
 
 def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -185,6 +197,7 @@ def _prefixes(percent: int):
                 rows.append(row)
         if rows:
             yield from documents(rows)
+        X.give_back()
 
     return run
 
@@ -232,6 +245,11 @@ def _possible(percent: int):
     return sizes & ((100 + percent) * common >= percent * (F.col("n_shingles_x") + F.col("n_shingles_y")))
 
 
+def _size_class(column: str, percent: int):
+    """Sizes by powers of what two linked sets can differ by at most."""
+    return F.floor(F.log(F.col(column).cast("double")) / float(np.log(100 / percent) * (1 + 1e-9)))
+
+
 def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
     """Components after the pairs across components that share a token have been tested, too.
 
@@ -255,11 +273,14 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         last = pairs <= rows or not progress
         side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *more)))
         if last:
-            # A pair is made at the first token that both prefixes have, hence once.
-            prefixed = left.join(sets.select("rid", "first"), "rid")
-            x, y = (side(prefixed, s, "first") for s in "xy")
+            # A pair is made at the first token that both prefixes have, hence once.  Linked sizes lie in one size
+            # class or in neighbouring ones, so the token is joined on together with the class.
+            prefixed = left.join(sets.select("rid", "first"), "rid").withColumn("size", _size_class("n_shingles", percent))
+            x = side(prefixed, "x", "first", "size").withColumnRenamed("size_x", "size")
+            y = side(prefixed, "y", "first", "size")
+            y = y.withColumn("size", F.explode(F.array(*(F.col("size_y") + k for k in (-1, 0, 1)))))
             once = F.get(F.array_intersect("first_x", "first_y"), F.lit(0)) == F.col("token")
-            joined = x.join(y, "token").where((F.col("c_x") < F.col("c_y")) & _possible(percent) & once)
+            joined = x.join(y, ["token", "size"]).where((F.col("c_x") < F.col("c_y")) & _possible(percent) & once)
         else:
             drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
             pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
@@ -273,20 +294,20 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         label = components(label.unionAll(more)) if links else label
         if last:
             return label
-        tested, progress = tested.unionAll(new), links >= WORTHWHILE * new.count()
+        tested, progress = tested.unionAll(new), links > 0 and links >= WORTHWHILE * new.count()
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
     """Per row of ``docs``: ``doc_id, n_shingles, rid`` and ``component``, the smallest row number that it reaches."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = SLICES_PER_TASK * parts
     # A null id travels as the largest number that no row of a table of numbers would use for an id.
     ids = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(2**63 - 1))
     plain = docs.select(ids.alias("id"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("body"))
+    tasks = X.task_count(spark, X.volume(plain, "body"), TASK_BYTES)
+    slices = SLICES_PER_TASK * tasks
     asked = plain.mapInArrow(_units(size, percent, slices), _SENT_SQL)
-    counted = asked.repartition(parts, "slice").sortWithinPartitions("slice", "unit").mapInArrow(_count, _SENT_SQL)
-    found = counted.repartition(parts, "unit").sortWithinPartitions("unit", "slice").mapInArrow(_prefixes(percent), _FIRST_COLUMNS + ", doc_id long")
+    counted = asked.repartition(tasks, "slice").sortWithinPartitions("slice", "unit").mapInArrow(_count, _SENT_SQL)
+    found = counted.repartition(tasks, "unit").sortWithinPartitions("unit", "slice").mapInArrow(_prefixes(percent), _FIRST_COLUMNS + ", doc_id long")
     rows = X.stored(found.withColumn("doc_id", F.when(F.col("doc_id") < 2**63 - 1, F.col("doc_id"))), "jaccard-rows")
 
     some = rows.where("n_shingles > 0")
@@ -314,10 +335,19 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    """Per row its number of shingles and the smallest id of its component."""
+    """Per row its number of shingles and the smallest id of its component.
+
+    Components that hold a task's share of all rows or more are at most as many as there are tasks; their smallest
+    ids are broadcast, so their rows stay where they are.
+    """
     rows = X.stored(similar(docs), "jaccard-similar")
-    least = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "component").select("doc_id", "n_shingles", "component_id")
+    parts, total = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count()
+    least = X.stored(rows.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n")), "jaccard-least")
+    large = F.broadcast(least.where(F.col("n") * parts >= total).select("component", F.col("n").alias("large"), F.col("component_id").alias("id")))
+    split = rows.join(large, "component", "left")
+    many = split.where("large is not null").select("doc_id", "n_shingles", F.col("id").alias("component_id"))
+    few = split.where("large is null").select("doc_id", "n_shingles", "component").join(least.where(F.col("n") * parts < total), "component")
+    return many.unionAll(few.select("doc_id", "n_shingles", "component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ one longer text is a chunk of its own, so memory follows the longest text and ne
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
 
 import numpy as np
@@ -17,6 +19,7 @@ from sftframe.session import shared_folder, ship_package
 
 CHUNK_BYTES = 1 << 20
 
+_LIBC = ctypes.CDLL("libc.so.6") if sys.platform == "linux" else None
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -33,6 +36,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def volume(texts: DataFrame, column: str) -> int:
+    """Bytes of a text column, one pass in the JVM: what numbers of slices and of tasks are made from."""
+    return texts.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0
+
+
+def task_count(spark: SparkSession, size: int, per_task: int) -> int:
+    """Tasks for ``size`` bytes, so that a task's share stays the same however much there is."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-size // per_task))
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after their task."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def remainder(doc_id: Column | str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % divisor
