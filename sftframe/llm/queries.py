@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import decontam, dedup, jaccard, langid, lmscore, pieces, pii, quality, vptree, warc
+from sftframe.llm import align, decontam, dedup, jaccard, langid, lmscore, pieces, pii, quality, sketch, vptree, warc
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +50,14 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, factor=1.0)
 
 
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_dedup": op1_dedup,
     "op2_warc": op2_warc,
@@ -61,6 +69,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_nearest": op10_nearest,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE = {
