@@ -273,14 +273,17 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         last = pairs <= rows or not progress
         side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *more)))
         if last:
-            # A pair is made at the first token that both prefixes have, hence once.  Linked sizes lie in one size
-            # class or in neighbouring ones, so the token is joined on together with the class.
-            prefixed = left.join(sets.select("rid", "first"), "rid").withColumn("size", _size_class("n_shingles", percent))
-            x = side(prefixed, "x", "first", "size").withColumnRenamed("size_x", "size")
-            y = side(prefixed, "y", "first", "size")
-            y = y.withColumn("size", F.explode(F.array(*(F.col("size_y") + k for k in (-1, 0, 1)))))
-            once = F.get(F.array_intersect("first_x", "first_y"), F.lit(0)) == F.col("token")
-            joined = x.join(y, ["token", "size"]).where((F.col("c_x") < F.col("c_y")) & _possible(percent) & once)
+            # A pair is made at the first token that both prefixes have, hence once: no earlier one is common.  The
+            # larger set lies in the size class of the smaller one or in the next, so the class is joined on, too.
+            prefixed = left.join(sets.select("rid", "first"), "rid").withColumns(
+                {"size": _size_class("n_shingles", percent), "earlier": F.slice("first", F.lit(1), F.col("at"))}
+            )
+            x = side(prefixed, "x", "earlier", "size")
+            x = x.withColumn("size", F.explode(F.array("size_x", F.col("size_x") + 1)))
+            y = side(prefixed, "y", "earlier", "size").withColumnRenamed("size_y", "size")
+            smaller = (F.col("n_shingles_x") < F.col("n_shingles_y")) | ((F.col("n_shingles_x") == F.col("n_shingles_y")) & (F.col("c_x") < F.col("c_y")))
+            once = ~F.arrays_overlap("earlier_x", "earlier_y")
+            joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & once)
         else:
             drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
             pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
