@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sftframe.llm import align, decontam, dedup, jaccard, langid, lmscore, pieces, pii, quality, sketch, vptree, warc
+from sftframe.llm import align, decontam, dedup, jaccard, langid, lmscore, pieces, pii, quality, sketch, trie, vptree, warc
 from sftframe.llm.textcore import table
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,6 +50,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10, factor=1.0)
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.digest(table(spark, sf_dir, "conversations"))
+
+
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.digest(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_language": op9_language,
     "op10_nearest": op10_nearest,
+    "op11_trie": op11_trie,
     "op12_fingerprints": op12_fingerprints,
     "op13_alignment": op13_alignment,
 }
@@ -102,4 +107,49 @@ ORACLE = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM pairs QUALIFY rank <= 10
     """,
+    # The CRC-32 of an id is worked out bit by bit; a prefix is named by the hashes of all its turns; sums over
+    # subtrees run along each node's smallest member, from its end.
+    "op11_trie": """
+        WITH turns AS (
+            SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS p,
+                   coalesce(role, '') AS r, coalesce(text, '') AS t
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), own AS (
+            SELECT c, count(*) AS n, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+                lambda crc, b: list_reduce(
+                    list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                    lambda v, zero: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295::BIGINT) % 6 AS h
+            FROM turns GROUP BY c
+        ), convs AS (
+            SELECT o.c, o.c - o.c % 100 AS base, o.h, least(o.h, coalesce(b.n, 0)) AS taken,
+                   least(o.h, coalesce(b.n, 0)) + greatest(o.n - o.h, 0) AS total
+            FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 100
+        ), rebuilt AS (
+            SELECT v.c, t.p AS q, t.r, t.t FROM convs v JOIN turns t ON t.c = v.base AND t.p < v.taken
+            UNION ALL SELECT v.c, v.taken + t.p - v.h, t.r, t.t FROM convs v JOIN turns t ON t.c = v.c AND t.p >= v.h
+        ), prefixes AS (
+            SELECT c, 0 AS d, 'root' AS k, 0 AS size FROM convs
+            UNION ALL SELECT c, q + 1, md5(string_agg(md5(r || chr(1) || t), '') OVER (PARTITION BY c ORDER BY q)), length(t) FROM rebuilt
+        ), nodes AS (
+            SELECT k, d, min(c) AS conv, count(*) AS n, max(size) AS size FROM prefixes GROUP BY k, d
+        ), parents AS (
+            SELECT n.*, p.k AS up FROM nodes n LEFT JOIN prefixes p ON p.c = n.conv AND p.d = n.d - 1
+        ), kids AS (
+            SELECT up, count(*) AS kids FROM parents WHERE up IS NOT NULL GROUP BY up
+        ), counted AS (
+            SELECT n.*, coalesce(kids, 0) AS kids FROM parents n LEFT JOIN kids ON kids.up = n.k
+        ), along AS (
+            SELECT p.c, p.k, sum(CASE WHEN n.k IS NOT NULL AND n.kids = 0 THEN 1 ELSE 0 END) OVER w AS leaves,
+                   sum(CASE WHEN n.k IS NOT NULL THEN (n.n - 1) * n.size ELSE 0 END) OVER w AS saved
+            FROM prefixes p LEFT JOIN counted n ON n.k = p.k AND n.conv = p.c WINDOW w AS (PARTITION BY p.c ORDER BY p.d DESC)
+        ), sums AS (
+            SELECT k, sum(leaves) AS leaves, sum(saved) AS saved FROM along GROUP BY k
+        ), ended AS (
+            SELECT p.k, string_agg(p.c::VARCHAR, ',' ORDER BY p.c) AS ids FROM prefixes p JOIN convs v ON v.c = p.c AND v.total = p.d GROUP BY p.k
+        )
+        SELECT n.conv AS conv_id, n.d::BIGINT AS depth, up.conv AS parent_conv_id, n.n AS n_convs, n.kids AS n_children,
+               s.leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+        FROM counted n JOIN sums s ON s.k = n.k LEFT JOIN nodes up ON up.k = n.up LEFT JOIN ended e ON e.k = n.k
+    """,
 }
