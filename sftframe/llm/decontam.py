@@ -6,14 +6,16 @@ word numbers: words that no item has become separators, and runs of known words
 loses no occurrence.  The FM-index of the string is a wavelet matrix over its Burrows-Wheeler transform with sampled
 suffix places; all windows are searched backwards together, and occurrences are located by walking to a sample.
 
-Items go out in blocks of at most ``BLOCK_BYTES`` of text, each broadcast on its own; a document passes the blocks
-one after the other in one stage, and the spans found are merged.  Null texts and texts without words hit nothing and
+Distinct pairs of a window and an item are made in Spark and written to the shared folder in blocks, one for each
+``BLOCK_BYTES`` of items' text; a task takes a group of shards through the blocks one after the other, and a word is
+hit if a window of any block hits it.  The driver sees neither items nor windows.  Null texts and texts without words hit nothing and
 are hit by nothing.  Repeated item rows count once; an item without id marks words and is listed as an empty string.
 Columns of the documents pass through unchanged; names that clash with the new ones raise ``ValueError``.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +28,9 @@ from sftframe.llm import textcore as X
 from sftframe.llm.suffix import suffix_array
 
 WINDOW = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+#: Shards that a task takes through the blocks together.
+GROUP = 8
 SAMPLE = 8
 SHARD_BYTES = 1 << 20
 
@@ -107,28 +111,54 @@ class Windows:
     items: tuple[tuple[str, ...], ...]
 
 
-def windows_of(items: list[tuple[str, str]], size: int = WINDOW) -> Windows:
-    buffer, starts = X.text_bytes(pa.array([text or "" for _, text in items], pa.string()))
-    _, _, hashes, rows = X.words(buffer, starts, X.ALPHANUMERIC)
-    vocabulary = np.unique(hashes)
-    numbers = np.searchsorted(vocabulary, hashes) + 2
-    found: dict[tuple[int, ...], set[str]] = {}
-    for k, (name, _) in enumerate(items):
-        own = numbers[rows[k] : rows[k + 1]].tolist()
-        for at in range(max(len(own) - size + 1, 1 if own else 0)):
-            found.setdefault(tuple(own[at : at + size]), set()).add(name)
-    ordered = sorted(found)
-    patterns = np.zeros((len(ordered), size), np.int64)
-    for k, window in enumerate(ordered):
-        patterns[k, : len(window)] = window
-    return Windows(vocabulary, patterns, np.array([len(w) for w in ordered], np.int64), tuple(tuple(sorted(found[w])) for w in ordered))
-
-
-def hits_of(data: np.ndarray, starts: np.ndarray, windows: Windows):
-    """Words of a chunk (begin, end, first word per row), whether each is hit, and the (row, window) pairs found."""
-    begin, end, hashes, rows = X.words(data, starts, X.ALPHANUMERIC)
-    hit = np.zeros(len(hashes), bool)
-    none = (begin, end, rows, hit, np.zeros((0, 2), np.int64))
+def _pairs(size: int):
+    """Windows of items as the bytes of their word hashes, with the item's id."""
+
+    def run(batches):
+        for batch in batches:
+            buffer, starts = X.text_bytes(batch.column(1))
+            _, _, hashes, rows = X.words(buffer, starts, X.ALPHANUMERIC)
+            data, windows, owners = hashes.tobytes(), [], []
+            for k in range(len(rows) - 1):
+                first, last = int(rows[k]), int(rows[k + 1])
+                for at in range(first, max(last - size + 1, first + 1) if last > first else first):
+                    windows.append(data[8 * at : 8 * min(at + size, last)])
+                    owners.append(k)
+            yield pa.RecordBatch.from_arrays([pa.array(windows, pa.binary()), batch.column(0).take(pa.array(owners, pa.int64()))], ["words", "item"])
+
+    return run
+
+
+def stored_windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> tuple[str, int]:
+    """The folder of the windows' blocks, and how many there are."""
+    plain = items.select(F.coalesce(F.col(f"`{item_id}`").cast("string"), F.lit("")).alias("id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
+    blocks = max(1, -(-X.volume(plain, "text") // block_bytes))
+    pairs = plain.mapInArrow(_pairs(size), "words binary, item string").distinct().withColumn("block", F.pmod(F.xxhash64("words"), F.lit(blocks)))
+    return X.stored_blocks(pairs.repartition(blocks, "block").sortWithinPartitions("block", "words", "item"), "block", "decontam-windows"), blocks
+
+
+def windows_of(pairs: pa.Table | None) -> Windows:
+    """The distinct windows of a block's sorted pairs."""
+    words = pairs.column("words").to_pylist() if pairs is not None else []
+    items = pairs.column("item").to_pylist() if pairs is not None else []
+    found: dict[bytes, list[str]] = {}
+    for window, item in zip(words, items):
+        found.setdefault(window, []).append(item)
+    lengths = np.array([len(w) // 8 for w in found], np.int64)
+    vocabulary, numbers = np.unique(np.frombuffer(b"".join(found), np.uint64), return_inverse=True)
+    patterns = np.zeros((len(found), int(lengths.max(initial=0))), np.int64)
+    patterns[np.arange(patterns.shape[1]) < lengths[:, None]] = numbers + 2
+    return Windows(vocabulary, patterns, lengths, tuple(map(tuple, found.values())))
+
+
+@functools.lru_cache(1)
+def _block(folder: str, number: int) -> Windows:
+    return windows_of(X.read_block(folder, "block", number))
+
+
+def hits_of(hashes: np.ndarray, rows: np.ndarray, windows: Windows):
+    """Whether each word of a chunk (hashes, first word per row) is hit, and the (row, window) pairs found."""
+    none = np.zeros(len(hashes), bool), np.zeros((0, 2), np.int64)
     if not len(hashes) or not len(windows.lengths):
         return none
     at = np.minimum(np.searchsorted(windows.vocabulary, hashes), len(windows.vocabulary) - 1)
@@ -155,76 +185,59 @@ def hits_of(data: np.ndarray, starts: np.ndarray, windows: Windows):
     np.add.at(change, place + windows.lengths[which], -1)
     hit = np.cumsum(change[:-1]) > 0
     owner = np.searchsorted(rows, place, "right") - 1
-    return begin, end, rows, hit, np.unique(np.stack([owner, which], 1), axis=0)
+    return hit, np.unique(np.stack([owner, which], 1), axis=0)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32()), ("first", pa.int32())])
 
 
-def _joined(old: list[dict], new: list[dict]) -> list[dict]:
-    """Word runs of two lists in one, joined where they overlap or touch."""
-    runs: list[dict] = []
-    for span in sorted([*old, *new], key=lambda s: s["first"]):
-        if runs and span["first"] <= runs[-1]["first"] + runs[-1]["words"]:
-            last = runs[-1]
-            last["words"] = max(last["words"], span["first"] + span["words"] - last["first"])
-            last["end"] = max(last["end"], span["end"])
-        else:
-            runs.append(dict(span))
-    return runs
-
+def _marker(folder: str, blocks: int, at_text: int):
+    def group_rows(chunks):
+        """``chunks`` are ``(columns, bytes, starts)``; their words meet the blocks one after the other."""
+        worded = [X.words(data, at, X.ALPHANUMERIC) for _, data, at in chunks]
+        hits = [np.zeros(len(hashes), bool) for _, _, hashes, _ in worded]
+        items: list[list[set]] = [[set() for _ in range(len(rows) - 1)] for *_, rows in worded]
+        for number in range(blocks):
+            windows = _block(folder, number)
+            for k, (_, _, hashes, rows) in enumerate(worded):
+                hit, pairs = hits_of(hashes, rows, windows)
+                hits[k] |= hit
+                for row, window in pairs.tolist():
+                    items[k][row].update(windows.items[window])
+        for (columns, _, at), (begin, end, _, rows), hit, own in zip(chunks, worded, hits, items):
+            a, b, owner = X.spans(hit, rows)
+            row = np.repeat(np.arange(len(rows) - 1), np.diff(owner))
+            fields = (begin[a] - at[row], end[b - 1] - at[row], b - a, a - rows[row])
+            spans = pa.StructArray.from_arrays([pa.array(f, pa.int32()) for f in fields], fields=list(_SPAN))
+            lists = pa.ListArray.from_arrays(pa.array(owner, pa.int32()), spans)
+            yield [*columns, pa.array(np.diff(rows)), lists, pa.array([sorted(i) for i in own], pa.list_(pa.string()))]
 
-def _marker(shared, at_text: int):
     def run(batches):
-        windows = shared.value
         for batch in batches:
-            n_words, spans, items = [], [], []
-            *kept, _, old_spans, old_items = batch.columns
             buffer, starts = X.text_bytes(batch.column(at_text))
-            for _, _, data, at in X.chunks(buffer, starts, SHARD_BYTES):
-                begin, end, rows, hit, pairs = hits_of(data, at, windows)
-                a, b, owner = X.spans(hit, rows)
-                n_words += np.diff(rows).tolist()
-                cuts = np.searchsorted(pairs[:, 0], np.arange(len(rows)))
-                for k in range(len(rows) - 1):
-                    own = range(owner[k], owner[k + 1])
-                    spans.append([{"start": int(begin[a[i]] - at[k]), "end": int(end[b[i] - 1] - at[k]), "words": int(b[i] - a[i]), "first": int(a[i] - rows[k])} for i in own])
-                    items.append(sorted({n for w in pairs[cuts[k] : cuts[k + 1], 1] for n in windows.items[w]}))
-            before, names = old_spans.to_pylist(), old_items.to_pylist()
-            spans = [_joined(o, s) if o and s else o or s for o, s in zip(before, spans)]
-            items = [sorted({*o, *i}) if o else i for o, i in zip(names, items)]
-            columns = [*kept, pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(_SPAN)), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+            names, group = [*batch.schema.names, "n_words", "spans", "items"], []
+            for first, last, data, at in X.chunks(buffer, starts, SHARD_BYTES):
+                group.append(([c.slice(first, last - first) for c in batch.columns], data, at))
+                if len(group) == GROUP:
+                    yield from (pa.RecordBatch.from_arrays(c, names) for c in group_rows(group))
+                    group = []
+            if group:
+                yield from (pa.RecordBatch.from_arrays(c, names) for c in group_rows(group))
+        X.give_back()
 
     return run
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, limit: int):
-    """Items in blocks of up to ``limit`` bytes of text (one longer item is a block of its own)."""
-    block, size = [], 0
-    plain = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("id"), F.col(text).cast("string").alias("text"))
-    for row in plain.where("text is not null").distinct().toLocalIterator():
-        if block and size + len(row["text"]) > limit:
-            yield block
-            block, size = [], 0
-        block.append((row["id"], row["text"]))
-        size += len(row["text"])
-    yield block
-
-
 def marked(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Add ``n_words``, the hit ``spans`` (bytes ``start`` to ``end``, number of ``words``, ``first`` word) and the ``items`` found."""
     new = {"n_words": "long", "spans": "array<struct<start:int,end:int,words:int,first:int>>", "items": "array<string>"}
     clash = set(new) & {c.lower() for c in docs.columns}
     if clash:
         raise ValueError(f"the input has columns {sorted(clash)} already")
-    result = docs.withColumns({n: F.lit(0).cast("long") if n == "n_words" else F.array().cast(kind) for n, kind in new.items()})
-    # The new columns may hold nothing yet; the schema allows for it.
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in result.schema])
-    for block in _blocks(items, item_id, item_text, block_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(windows_of(block, window))
-        result = result.mapInArrow(_marker(shared, docs.columns.index(text)), schema)
-    return result
+    folder, blocks = stored_windows(items, item_id, item_text, window, block_bytes)
+    added = T.StructType.fromDDL(", ".join(f"{n} {k}" for n, k in new.items()))
+    schema = T.StructType([*docs.schema.fields, *added.fields])
+    return docs.mapInArrow(_marker(folder, blocks, docs.columns.index(text)), schema)
 
 
 def n_hit():
@@ -250,8 +263,10 @@ def digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with their own columns."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
-    return marked(rows, items).where(~contaminated()).select("row.*")
+    others = [c for c in docs.columns if c != "text"]
+    rows = docs.select(F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("row"), "text")
+    kept = marked(rows, items).where(~contaminated())
+    return kept.select(*(F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns))
 
 
 def cut(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:

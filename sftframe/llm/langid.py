@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import itertools
 import math
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +27,6 @@ from sftframe.llm import textcore as X
 ORDERS = (2, 4)
 BUCKETS = 1 << 15
 AMBIGUOUS = 0.2
-_LETTER = re.compile(r"[^\W\d_]")
 _COUNTS = pa.schema([("lang", pa.string()), ("bucket", pa.int32()), ("n", pa.int64())])
 
 
@@ -168,13 +166,14 @@ def margins(model: LanguageModel, column: pa.Array) -> np.ndarray:
 
 
 def has_letter(column: pa.Array) -> np.ndarray:
+    """Whether each text has a sign of one of Unicode's letter categories; digits and fractions are none."""
     buffer, starts = X.text_bytes(column)
     lower = X.lower_table()[buffer]
     letter = (lower >= 97) & (lower <= 122)
     sums = np.concatenate([[0], np.cumsum(letter)])
     found = sums[starts[1:]] > sums[starts[:-1]]
     for row in np.flatnonzero(~found):
-        found[row] = bool(_LETTER.search(column[int(row)].as_py() or ""))
+        found[row] = any(sign.isalpha() for sign in column[int(row)].as_py() or "")
     return found
 
 

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sftframe.llm import textcore as X
 
@@ -345,21 +346,33 @@ def encode_best(docs: DataFrame, text: str = "text", n: int = BEST, path: str =
     if clash:
         raise ValueError(f"the input has columns {sorted(clash)} already")
     shared = _vocabulary(docs, path)
-    kind = pa.struct([("pieces", pa.list_(pa.int32())), ("scores", pa.list_(pa.float64()))])
+    rows = docs if docs.schema[text].dataType == T.StringType() else docs.withColumn(text, F.col(f"`{text}`").cast("string"))
+    at_text = rows.columns.index(text)
+    lists = [T.StructField("pieces", T.ArrayType(T.IntegerType())), T.StructField("scores", T.ArrayType(T.DoubleType()))]
 
-    @F.arrow_udf("struct<pieces:array<int>,scores:array<double>>")
-    def run(texts: pa.Array) -> pa.Array:
-        buffer, starts = X.text_bytes(texts)
-        pieces, scores = [], []
-        for _, _, data, at in X.chunks(buffer, starts):
-            for found in segment(data, at, shared.value, n):
-                pieces.append(found[0][1])
-                scores.append([s for s, _ in found])
-        parts = [pa.array(pieces, kind[0].type), pa.array(scores, kind[1].type)]
-        return pa.StructArray.from_arrays(parts, fields=list(kind), mask=texts.is_null())
+    def listed(values: list[np.ndarray], kind: pa.DataType, missing: np.ndarray) -> pa.Array:
+        offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+        flat = pa.array(np.concatenate(values) if values else np.zeros(0), kind)
+        return pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(missing, False)), flat)
 
-    found = docs.withColumn("_found", run(F.col(f"`{text}`").cast("string")))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_found.pieces").alias("pieces"), F.col("_found.scores").alias("scores"))
+    def run(batches):
+        for batch in batches:
+            buffer, starts = X.text_bytes(batch.column(at_text))
+            missing = batch.column(at_text).is_null().to_numpy(zero_copy_only=False)
+            # A chunk of texts goes out before the next one is begun.
+            for first, last, data, at in X.chunks(buffer, starts):
+                pieces, scores = [], []
+                for found in segment(data, at, shared.value, n):
+                    pieces.append(found[0][1])
+                    scores.append(np.array([s for s, _ in found]))
+                own = missing[first:last]
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(first, last - first) for c in batch.columns), listed(pieces, pa.int32(), own), listed(scores, pa.float64(), own)],
+                    [*batch.schema.names, "pieces", "scores"],
+                )
+        X.give_back()
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *lists]))
 
 
 def decode(rows: DataFrame, pieces: str = "pieces", out: str = "text", path: str = MODEL) -> DataFrame:
@@ -402,6 +415,7 @@ def digest(docs: DataFrame, n: int = BEST, path: str = MODEL) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()), pa.list_(pa.int64()), pa.string(), pa.bool_())
             names = ["doc_id", "n_bytes", "n_pieces", "score", "nbest_scores", "nbest_pieces", "ids_sha256", "decoded"]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
+        X.give_back()
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, _DIGEST.format(rows.schema[0].dataType.simpleString()))

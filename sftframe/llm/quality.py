@@ -285,7 +285,6 @@ def digest(docs: DataFrame, labels: DataFrame, divisor: int = 5, held: int = 0)
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with their own columns."""
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id"), F.col("text"))
     held_out = F.coalesce(X.remainder("doc_id", 5) == 0, F.lit(False))
     features = with_features(docs.select("doc_id", held_out.alias("held_out"), "text"))
     model = train(features.where(~F.col("held_out")), labels)
@@ -295,4 +294,4 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     def score(texts: pa.Array) -> pa.Array:
         return pa.array(shared.value.scores(features_of(texts)))
 
-    return named.where(score(F.col("text").cast("string")) >= threshold).select("row.*")
+    return docs.where(score(F.col("text").cast("string")) >= threshold)

@@ -12,6 +12,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_blocks(df: DataFrame, block: str, name: str) -> str:
+    """Write a table by the values of ``block`` and return its folder; tasks read it block by block."""
+    path = f"{shared_folder(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(block).parquet(path)
+    return path
+
+
+def read_block(folder: str, block: str, number: int) -> pa.Table | None:
+    """A block of ``stored_blocks``, read by a task; None if it has no rows."""
+    store, root = pafs.FileSystem.from_uri(folder)
+    path = f"{root}/{block}={number}"
+    if store.get_file_info(path).type == pafs.FileType.NotFound:
+        return None
+    return pq.read_table(path, filesystem=store, partitioning=None)
+
+
 def volume(texts: DataFrame, column: str) -> int:
     """Bytes of a text column, one pass in the JVM: what numbers of slices and of tasks are made from."""
     return texts.agg(F.sum(F.octet_length(F.col(column)))).first()[0] or 0

@@ -3,16 +3,19 @@
 A node holds a vantage point and the median distance to it; inside and outside are its halves.  A query walks to
 its nearer half first and enters the other only if the triangle inequality allows a neighbour there:
 ``|d - median| <= factor * (distance of the k-th found)``.  Factor 1 is exact, smaller ones prune more.  All
-queries of a block walk a tree together.  Shards hold at most ``SHARD`` vectors; queries go out in blocks of at
-most ``BLOCK`` vectors, each broadcast on its own, so neither grows with the table.
+queries of a block walk a tree together.  Shards hold at most ``SHARD`` vectors.  Queries are written to the shared
+folder in blocks of about ``BLOCK`` vectors; a task builds the tree of a shard once and reads the blocks one after the
+other, so neither grows with the table and the driver sees no vector.
 
 Vectors that are null, zero, or hold null or non-finite components, and rows without id, take no part.  Vectors
 of another length than the query's are no candidates.  Rows with the query's id are its own and are left out.
-Other repeated rows stand for themselves; ties go to the smaller id.
+Query rows that share an id all ask: the id's ranks run over the neighbours of each of them.  Other repeated rows
+stand for themselves; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sftframe.llm import textcore as X
+
 SHARD = 16_384
 BLOCK = 8_192
 LEAF = 256
@@ -107,10 +112,10 @@ class Search:
             self.walk(second, active[mine][np.abs(to[mine] - tree.median) <= reach * (1 + 1e-12) + 1e-12])
 
 
-def search_shard(points, ids, queries, query_ids, k, factor):
+def search_shard(tree, points, ids, queries, query_ids, k, factor):
     """``(query row, id, distance)`` of the k nearest that the shard has for every query."""
     run = Search(points, ids, queries, query_ids, k, factor)
-    run.walk(build(points), np.arange(len(queries)))
+    run.walk(tree, np.arange(len(queries)))
     row, rank = np.nonzero(np.isfinite(run.far))
     return row, run.found[row, rank], run.far[row, rank]
 
@@ -119,16 +124,33 @@ def _matrix(column: pa.Array, length: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, length)
 
 
-def _searcher(shared, k: int, factor: float):
+@functools.lru_cache(1)
+def _queries(folder: str, number: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of a stored block by the vectors' length; the last block read stays with the worker."""
+    table = X.read_block(folder, "block", number)
+    if table is None:
+        return {}
+    ids, lists = table.column("vec_id").combine_chunks(), table.column("vector").combine_chunks()
+    lengths, found = lists.value_lengths().to_numpy(zero_copy_only=False), {}
+    for length in np.unique(lengths):
+        rows = pa.array(np.flatnonzero(lengths == length))
+        found[int(length)] = ids.take(rows).to_numpy(), _matrix(lists.take(rows), int(length))
+    return found
+
+
+def _searcher(folder: str, blocks: int, k: int, factor: float):
     def run(batches):
         ids: dict[int, list] = {}
         kept: dict[int, list] = {}
 
         def flush(length):
             points, names = np.concatenate(kept.pop(length)), np.concatenate(ids.pop(length))
-            for query_ids, queries in shared.value.get(length, []):
-                row, found, far = search_shard(points, names, queries, query_ids, k, factor)
-                yield pa.record_batch([query_ids[row], found, far], names=["query_id", "vec_id", "score"])
+            tree = build(points)
+            for number in range(blocks):
+                query_ids, queries = _queries(folder, number).get(length, (None, None))
+                if query_ids is not None:
+                    row, found, far = search_shard(tree, points, names, queries, query_ids, k, factor)
+                    yield pa.record_batch([query_ids[row], found, far], names=["query_id", "vec_id", "score"])
 
         for batch in batches:
             lists = batch.column(1)
@@ -143,39 +165,19 @@ def _searcher(shared, k: int, factor: float):
                         yield from flush(length)
         for length in list(ids):
             yield from flush(length)
+        X.give_back()
 
     return run
 
 
-def _blocks(queries: DataFrame, block: int):
-    """Query rows in blocks for broadcasting, as ``{length: [(ids, vectors)]}``."""
-    rows = []
-    for row in queries.toLocalIterator():
-        rows.append(row)
-        if len(rows) == block:
-            yield rows
-            rows = []
-    if rows:
-        yield rows
-
-
 def nearest(points: DataFrame, queries: DataFrame, k: int = 10, factor: float = 1.0, vec_id: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the k nearest ``points`` of each of ``queries``."""
     if k < 1 or factor <= 0:
         raise ValueError("k and factor must be positive")
-    spark = points.sparkSession
     plain = lambda df: df.where(F.col(vec_id).isNotNull() & usable(F.col(vector))).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector"))
-    rows = plain(points)
-    asked = plain(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    parts = []
-    for part in _blocks(asked, block):
-        by_length: dict[int, list] = {}
-        for length in sorted({len(r["vector"]) for r in part}):
-            own = [r for r in part if len(r["vector"]) == length]
-            by_length[length] = [(np.array([r["vec_id"] for r in own]), np.array([r["vector"] for r in own], np.float64))]
-        parts.append(rows.mapInArrow(_searcher(spark.sparkContext.broadcast(by_length), k, factor), _FOUND))
-    found = spark.createDataFrame([], _FOUND)
-    for part in parts:
-        found = found.unionAll(part)
+    asked = plain(queries)
+    blocks = max(1, -(-asked.count() // block))
+    folder = X.stored_blocks(asked.repartition(blocks).withColumn("block", F.spark_partition_id()), "block", "vptree-queries")
+    found = plain(points).mapInArrow(_searcher(folder, blocks, k, factor), _FOUND)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -113,6 +113,10 @@ def _writer(folder: str):
     return run
 
 
+#: Bytes of archive that a reading task is given.
+TASK_BYTES = 32 << 20
+
+
 def write_archive(pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = REVISIT_BYTES) -> DataFrame:
     """Write a record per page below ``folder`` and return the stored index."""
     body = F.coalesce(F.col(f"`{html}`").cast("string"), F.lit(""))
@@ -169,8 +173,15 @@ def _reader(folder: str, payloads: bool):
 
 
 def read_archive(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
-    """Read the records that the rows of ``index`` name, in order of their place."""
-    places = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    """Read the records that the rows of ``index`` name, in order of their place within a stretch of a file.
+
+    Stretches of ``TASK_BYTES`` are dealt out over as many tasks as the records' bytes ask for: an index row is small,
+    what it stands for is not.
+    """
+    places = index.select("file", "offset", "length", F.floor(F.col("offset") / TASK_BYTES).alias("stretch"))
+    size = places.agg(F.sum("length")).first()[0] or 0
+    tasks = X.task_count(index.sparkSession, size, TASK_BYTES)
+    places = places.repartition(tasks, "file", "stretch").sortWithinPartitions("file", "offset").drop("stretch")
     return places.mapInArrow(_reader(folder, payloads), _RECORD)
 
 

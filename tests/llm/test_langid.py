@@ -1,4 +1,10 @@
+import itertools
+import math
+import zlib
+from collections import defaultdict
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sftframe.llm import langid as G
@@ -42,3 +48,7 @@ def test_margins_do_not_cross_rows():
     model = G.model_of(("a", "b"), np.random.default_rng(0).random((2, G.BUCKETS)) * 100)
     alone = [G.margins(model, pa.array([t]))[0] for t in ("hello there", "x", "", "général")]
     assert np.allclose(G.margins(model, pa.array(["hello there", "x", "", "général"])), alone)
+
+
+def test_digits_and_fractions_are_no_letters():
+    assert G.has_letter(pa.array(["²½", "Ⅷ ٣", "123", "ª", "x²", "梦", None, ""])).tolist() == [False, False, False, True, True, True, False, False]

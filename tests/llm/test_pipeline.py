@@ -50,5 +50,5 @@ def test_query_agrees_with_sql(spark, name):
 
 
 def test_names():
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(QUERIES) and decontam.WINDOW == 13

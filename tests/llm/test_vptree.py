@@ -8,13 +8,12 @@ from sftframe.llm import vptree as N
 
 
 def brute(rows, asked, k):
+    """Every row with a query's id asks; the ranks of an id run over the pairs of all of them."""
     usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)]
     result = []
     for q in asked:
-        own = min((tuple(v) for i, v in usable if i == q), default=None)
-        if own is None:
-            continue
-        near = sorted((float(np.sqrt(reduce(add, ((a - b) * (a - b) for a, b in zip(own, v))))), i) for i, v in usable if i != q and len(v) == len(own))
+        asking = [v for i, v in usable if i == q]
+        near = sorted((float(np.sqrt(reduce(add, ((a - b) * (a - b) for a, b in zip(own, v))))), i) for own in asking for i, v in usable if i != q and len(v) == len(own))
         result += [(q, rank, i, d) for rank, (d, i) in enumerate(near[:k], 1)]
     return result
 
@@ -49,3 +48,18 @@ def test_few_candidates_and_empty_tables(spark, vectors):
     assert N.nearest(table.where("false"), table).collect() == [] and N.nearest(table, table.where("false")).collect() == []
     with pytest.raises(ValueError):
         N.nearest(table, table, factor=0)
+
+
+def test_unequal_rows_of_one_query_id_all_ask(spark, vectors):
+    rows, table = vectors
+    more = [(100, rows[7][1]), (100, rows[8][1]), (100, rows[8][1])]
+    both = table.unionByName(spark.createDataFrame(more, "vec_id BIGINT, embedding ARRAY<DOUBLE>"))
+    found = sorted(tuple(r) for r in N.nearest(both, both.where("vec_id = 100"), k=7, block=2).collect())
+    assert found == brute([*rows, *more], [100], 7)
+
+
+def test_clashing_column_names(vectors):
+    rows, table = vectors
+    named = table.withColumnsRenamed({"vec_id": "vector", "embedding": "block"})
+    found = N.nearest(named, named.where("vector = 100"), k=3, vec_id="vector", vector="block").collect()
+    assert sorted(tuple(r) for r in found) == brute(rows, [100], 3)

@@ -54,3 +54,14 @@ def test_a_changed_payload_is_noticed():
 
 def test_empty_table(spark, pages):
     assert warc.digest(spark, pages.where("false")).collect() == []
+
+
+def test_reading_is_dealt_out_by_bytes(spark, pages, monkeypatch):
+    monkeypatch.setattr(warc, "TASK_BYTES", 150)
+    folder = f"{shared_folder(spark)}/warc-bytes"
+    index = warc.write_archive(pages, folder).persist()
+    found = warc.read_archive(index, folder)
+    size = index.agg({"length": "sum"}).first()[0]
+    assert found.rdd.getNumPartitions() >= size / 150 and found.count() == 14
+    stretches = index.selectExpr("file", "floor(offset / 150) s", "length").groupBy("file", "s").agg({"length": "sum"}).collect()
+    assert max(r[2] for r in stretches) < 150 + max(r["length"] for r in index.collect())
