@@ -3,7 +3,7 @@
 Both tokenizers work on a text with a space in front: A is a byte-level BPE (``tokenizers``), B a BPE with byte
 fallback (``sentencepiece``, which adds that space itself).  Byte offsets where tokens of both end cut a document into
 groups.  The ends of a chunk of documents are one rising list per tokenizer; the shorter list searches the longer one
-by galloping: from the place of the head of its block in doubling steps, then by halving.  Where it finds itself, a
+by galloping: from the place of the head of its block in doubling steps, then by halving, heads of blocks first.  Where it finds itself, a
 group ends; the tokens of the longer list that a token overlaps lie between the ranks of its two ends.
 
 Tokens never cross the words that both tokenizers cut a text into first, so each distinct word is encoded once per
@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import json
+import math
 import re
 
 import numpy as np
@@ -40,7 +42,7 @@ TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 UNIT_LINKS = 2_000_000
 MOST_WORDS = 400_000
 TASK_BYTES = 24 << 20
-BLOCK = 64
+BLOCK = 8
 
 #: The word rule of the byte-level BPE.
 WORDS_A = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -58,35 +60,51 @@ _UNIT_SCHEMA = pa.schema(
 class _Words:
     """Ids of words seen so far, one flat array with offsets; a word whose tokens' bytes are not its own is marked."""
 
-    def __init__(self, encode, sizes: np.ndarray, content: list[bytes]):
-        self.encode, self.sizes, self.content = encode, sizes, content
+    def __init__(self, encode, content: list[bytes]):
+        self.encode, self.content = encode, content
+        self.sizes = np.array([len(c) for c in content])
         self.clear()
 
     def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.ids, self.offsets, self.good, self.used = np.zeros(1 << 16, np.int32), [0], [], 0
+        self.ids, self.ends, self.good = np.zeros(1 << 16, np.int32), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, bool)
+
+    def add(self, words: list[str]) -> None:
+        lists = self.encode(words)
+        count = np.fromiter(map(len, lists), np.int64, len(lists))
+        flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(count.sum()))
+        known = len(self.number)
+        first = int(self.ends[known - 1]) if known else 0
+        ends = first + np.cumsum(count)
+        self.ids = _with_room(self.ids, int(ends[-1]))
+        self.ids[first : ends[-1]] = flat
+        self.ends, self.good = _with_room(self.ends, known + len(words)), _with_room(self.good, known + len(words))
+        self.ends[known : known + len(words)] = ends
+        plain = [w.encode() for w in words]
+        bytes_of = np.concatenate([[0], np.cumsum(self.sizes[flat])])[np.concatenate([[0], ends - first])]
+        right = np.diff(bytes_of) == np.fromiter(map(len, plain), np.int64, len(plain))
+        if not right.all() or b"".join(map(self.content.__getitem__, flat.tolist())) != b"".join(plain):
+            right = np.array([b"".join(map(self.content.__getitem__, ids)) == w for ids, w in zip(lists, plain)])
+        self.good[known : known + len(words)] = right
+        self.number.update(zip(words, range(known, known + len(words))))
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """Numbers of words; new ones are encoded in one batch."""
-        known = self.number
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new = list(set(words).difference(self.number))
         if new:
-            for word, ids in zip(new, self.encode(new)):
-                known[word] = len(self.good)
-                self.good.append(b"".join([self.content[i] for i in ids]) == word.encode())
-                if self.used + len(ids) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(len(self.ids) + len(ids), np.int32)])
-                self.ids[self.used : self.used + len(ids)] = ids
-                self.used += len(ids)
-                self.offsets.append(self.used)
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+            self.add(new)
+        return np.array(list(map(self.number.__getitem__, words)), np.int64)
 
     def tokens(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of words one after the other, and how many each word has."""
-        offsets = np.array(self.offsets)
-        count = offsets[numbers + 1] - offsets[numbers]
+        begin = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        count = self.ends[numbers] - begin
         first = np.cumsum(count) - count
-        return self.ids[np.repeat(offsets[numbers] - first, count) + np.arange(int(count.sum()))], count
+        return self.ids[np.repeat(begin - first, count) + np.arange(int(count.sum()))], count
+
+
+def _with_room(values: np.ndarray, size: int) -> np.ndarray:
+    return values if size <= len(values) else np.concatenate([values, np.zeros(max(size, 2 * len(values)) - len(values), values.dtype)])
 
 
 def _byte_of_sign() -> dict[str, int]:
@@ -124,8 +142,7 @@ class Tokenizers:
             # The space that stands in front is the word itself here.
             return [ids if len(w) > 1 else [lone] for w, ids in zip(words, found)]
 
-        sizes = [np.array([len(c) for c in content]) for content in (content_a, content_b)]
-        self.words = _Words(encode_a, sizes[0], content_a), _Words(encode_b, sizes[1], content_b)
+        self.words = _Words(encode_a, content_a), _Words(encode_b, content_b)
 
 
 @functools.lru_cache(1)
@@ -157,8 +174,12 @@ def gallop(short: np.ndarray, long: np.ndarray, block: int = BLOCK) -> tuple[np.
     """For two strictly rising lists: the rank of each element of the shorter in the longer, and whether it is there."""
     if not len(short) or not len(long):
         return np.zeros(len(short), np.int64), np.zeros(len(short), bool)
-    heads = _ranks(short[::block], long, np.zeros(-(-len(short) // block), np.int64))
-    rank = _ranks(short, long, np.repeat(heads, block)[: len(short)])
+    low = np.zeros(1, np.int64)
+    # Heads of blocks of blocks first; every element then starts from the place of the head of its own block.
+    for stride in (block**k for k in reversed(range(math.ceil(math.log(len(short), block)) if len(short) > 1 else 1))):
+        heads = short[::stride]
+        low = _ranks(heads, long, np.repeat(low, block)[: len(heads)])
+    rank = low
     return rank, (rank < len(long)) & (long[np.minimum(rank, len(long) - 1)] == short)
 
 
@@ -215,7 +236,7 @@ def _chunk(texts: list[str | None], both: Tokenizers):
     bodies = [" " + t if t else "" for t in texts]
     words_a, words_b = both.words
     for words in both.words:
-        if len(words.good) > MOST_WORDS:
+        if len(words.number) > MOST_WORDS:
             words.clear()
     rows_a = [[] if not t else WORDS_A.findall(t) if _SETTLED.fullmatch(t) else [t] for t in bodies]
     rows_b = [WORDS_B.findall(t) for t in bodies]
@@ -223,7 +244,7 @@ def _chunk(texts: list[str | None], both: Tokenizers):
     for words, rows in ((words_a, rows_a), (words_b, rows_b)):
         count = np.array([len(r) for r in rows])
         numbers = words.numbers([w for r in rows for w in r])
-        bad = np.bincount(np.repeat(np.arange(len(rows)), count), ~np.array(words.good, bool)[numbers] if len(numbers) else None, minlength=len(rows)) > 0
+        bad = np.bincount(np.repeat(np.arange(len(rows)), count), ~words.good[numbers], minlength=len(rows)) > 0
         found.append((numbers, count, bad))
     good = ~(found[0][2] | found[1][2])
     sides = []
