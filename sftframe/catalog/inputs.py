@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sftframe.operators import prepare as P
+from sftframe.operators import subword as B
 from sftframe.operators import vocab as V
 from sftframe.operators.preference import encode_pairs
 from sftframe.options import PHASES, LogOptions, PreferenceOptions, SftOptions
@@ -27,6 +28,8 @@ SFT = SftOptions(test_split=Decimal("0.2"), world_size=4, batch_size=8, num_epoc
 SINGLE = SftOptions(test_split=Decimal("0.2"), single_process=True, batch_size=8, num_epochs=3)
 #: Limits of the queries whose feature is a limit.
 CONTEXT, TOP_TOKENS = 256, 8192
+#: Size of the subword vocabulary of the queries, beyond bytes and special tokens.
+MERGES = 48
 PREF = PreferenceOptions(batch_size=8)
 PHASE_LOG = LogOptions(log_freq=5, checkp_freq=30, batch_size=8, max_length=256, world_size=4, batches=25, num_epochs=4)
 LOG = LogOptions(log_freq=20, checkp_freq=30, batch_size=8, max_length=256, world_size=4, batches=25, num_epochs=4)
@@ -67,6 +70,17 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@functools.cache
+def merges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merges trained on the pre-tokens of all formatted pairs; EOS is no word."""
+
+    def build():
+        words = V.token_counts(P.tokenised(kept_pairs(spark, sf_dir), SFT), "tokens")
+        return B.train(words.where(F.col("token") != SFT.eos_token), MERGES)
+
+    return _reused(spark, sf_dir, f"merges-{MERGES}", ["conversations"], build, SFT)
+
+
 @functools.cache
 def specials(spark: SparkSession, sf_dir: str) -> V.Specials:
     return V.special_ids(vocab(spark, sf_dir))

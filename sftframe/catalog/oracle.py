@@ -258,10 +258,11 @@ def sql(parts: str, select: str) -> str:
     order: list[str] = []
 
     def add(name: str) -> None:
+        if name in order:
+            return
         for needed in PARTS[name][0] + (["ordered"] if name == "prefs" else []):
             add(needed)
-        if name not in order:
-            order.append(name)
+        order.append(name)
 
     for name in parts.split():
         add(name)
@@ -269,6 +270,44 @@ def sql(parts: str, select: str) -> str:
     return f"with recursive {heads}\n{select}" if heads else select
 
 
+def merge_parts(merges: int) -> None:
+    """Words as bracketed bytes, and one best pair after the other merged in all of them."""
+    PARTS["bpe_words_0"] = (
+        ["counted"],
+        f"select token, n, regexp_replace(hex(encode(token)), '(..)', '<\\1>', 'g') as word from counted where token <> {EOS}",
+    )
+    PARTS["bpe_known_0"] = ([], "select '' as piece where false")
+    for k in range(merges):
+        PARTS[f"bpe_best_{k}"] = (
+            [f"bpe_words_{k}", f"bpe_known_{k}"],
+            f"""select p[1] as l, p[2] as r, p[1] || p[2] as piece, sum(n)::bigint as n
+                from (select n, unnest(list_zip(s[:-2], s[2:])) as p
+                      from (select n, string_split(word[2:-2], '><') as s from bpe_words_{k}) where len(s) > 1)
+                where p[1] || p[2] not in (select piece from bpe_known_{k})
+                group by all having sum(n) >= 2 order by n desc, l, r limit 1""",
+        )
+        PARTS[f"bpe_words_{k + 1}"] = (
+            [f"bpe_best_{k}"],
+            f"""select token, w.n, coalesce(replace(word, '<' || l || '><' || r || '>', '<' || piece || '>'), word) as word
+                from bpe_words_{k} w left join bpe_best_{k} on true""",
+        )
+        PARTS[f"bpe_known_{k + 1}"] = ([f"bpe_best_{k}"], f"select piece from bpe_known_{k} union all select piece from bpe_best_{k}")
+    every = " union all ".join(f"select {k} as rank, * from bpe_best_{k}" for k in range(merges))
+    PARTS["bpe_merged"] = ([f"bpe_best_{k}" for k in range(merges)], f'select rank, l as "left", r as "right", piece, n from ({every})')
+    PARTS["bpe_ids"] = (
+        ["tokens", "bpe_merged", f"bpe_words_{merges}"],
+        f"""select pair_id, place, nr, case when token = {EOS} then 256 + (select count(*) from bpe_merged)
+                   when m.piece is not null then 256 + m.rank else ('0x' || p.piece)::integer end as id
+            from (select pair_id, unnest(tokens) as token, generate_subscripts(tokens, 1) as place from tokens)
+            left join (select token, unnest(s) as piece, generate_subscripts(s, 1) as nr
+                       from (select token, string_split(word[2:-2], '><') as s from bpe_words_{merges})) p using (token)
+            left join bpe_merged m on m.piece = p.piece""",
+    )
+
+
+merge_parts(48)
+
+
 def oracle(name: str, parts: str, select: str) -> None:
     ORACLE[name] = sql(parts, select)
 
@@ -312,6 +351,18 @@ oracle(
        from (select pair_id, unnest(ids) as id, generate_subscripts(ids, 1) as nr from prepared) join vocab using (id)
        group by pair_id""",
 )
+oracle("bpe_merges", "bpe_merged", "select * from bpe_merged")
+oracle(
+    "bpe_encode",
+    "bpe_ids",
+    f"""select pair_id, count(*) as n_pieces, string_agg(id::varchar, ',' order by place, nr) as ids from bpe_ids group by pair_id""",
+)
+oracle(
+    "bpe_decode",
+    "tokens",
+    f"""select pair_id, array_to_string(tokens, '') as text,
+               array_to_string(list_filter(tokens, lambda t: t <> {EOS}), '') as plain_text from tokens""",
+)
 oracle("context_filter", "tokens", "select pair_id, len(tokens) as n_tokens from tokens where len(tokens) < 256")
 oracle(
     "context_filter_docs",

@@ -19,6 +19,7 @@ from sftframe.operators import decoding as G
 from sftframe.operators import dpo as D
 from sftframe.operators import preference as R
 from sftframe.operators import prepare as P
+from sftframe.operators import subword as B
 from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
@@ -146,6 +147,28 @@ def decode_text(spark, sf_dir):
     return P.decode(shown, {"input_ids": "plain_text"}, vocab, skip_special=True).drop("input_ids")
 
 
+@query
+def bpe_merges(spark, sf_dir):
+    return I.merges(spark, sf_dir)
+
+
+def _pieces(spark, sf_dir):
+    pairs = P.formatted(I.kept_pairs(spark, sf_dir), I.SFT)
+    return B.encode(pairs, {"full_text": "ids"}, I.merges(spark, sf_dir)).select("pair_id", "ids")
+
+
+@query
+def bpe_encode(spark, sf_dir):
+    return _pieces(spark, sf_dir).select("pair_id", F.size("ids").cast("bigint").alias("n_pieces"), *texts("ids"))
+
+
+@query
+def bpe_decode(spark, sf_dir):
+    vocab, ids = B.vocabulary(I.merges(spark, sf_dir)), _pieces(spark, sf_dir)
+    shown = B.decode(ids, {"ids": "text"}, vocab)
+    return B.decode(shown, {"ids": "plain_text"}, vocab, skip_special=True).drop("ids")
+
+
 @query
 def context_filter(spark, sf_dir):
     tokens = P.tokenised(I.pairs(spark, sf_dir), I.SFT)
