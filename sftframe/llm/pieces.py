@@ -340,6 +340,10 @@ def encode(docs: DataFrame, text: str = "text", out: str = "segmentations", n: i
     return docs.withColumn(out, run(F.col(f"`{text}`").cast("string")))
 
 
+#: Text that ``encode_best`` has lattices of at a time, besides other columns and what stages before it left behind.
+ENCODE_BYTES = 1 << 18
+
+
 def encode_best(docs: DataFrame, text: str = "text", n: int = BEST, path: str = MODEL) -> DataFrame:
     """Add the ``pieces`` of the best segmentation and the ``scores`` of the n best; null texts have neither."""
     clash = {"pieces", "scores"} & {c.lower() for c in docs.columns}
@@ -360,7 +364,7 @@ def encode_best(docs: DataFrame, text: str = "text", n: int = BEST, path: str =
             buffer, starts = X.text_bytes(batch.column(at_text))
             missing = batch.column(at_text).is_null().to_numpy(zero_copy_only=False)
             # A chunk of texts goes out before the next one is begun.
-            for first, last, data, at in X.chunks(buffer, starts):
+            for first, last, data, at in X.chunks(buffer, starts, ENCODE_BYTES):
                 pieces, scores = [], []
                 for found in segment(data, at, shared.value, n):
                     pieces.append(found[0][1])
@@ -370,7 +374,7 @@ def encode_best(docs: DataFrame, text: str = "text", n: int = BEST, path: str =
                     [*(c.slice(first, last - first) for c in batch.columns), listed(pieces, pa.int32(), own), listed(scores, pa.float64(), own)],
                     [*batch.schema.names, "pieces", "scores"],
                 )
-        X.give_back()
+            X.give_back()
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *lists]))
 

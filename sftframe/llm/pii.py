@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sftframe.llm import textcore as X
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "account")
 THRESHOLD = 0.5
@@ -128,7 +130,9 @@ def _redactor(threshold: float):
     @F.arrow_udf("string")
     def replace(texts: pa.Array) -> pa.Array:
         plain = (t.as_py() for t in texts)
-        return pa.array([t and redact(t, find(t, threshold)) for t in plain], pa.string())
+        found = pa.array([t and redact(t, find(t, threshold)) for t in plain], pa.string())
+        X.give_back()
+        return found
 
     return replace
 

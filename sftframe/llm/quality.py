@@ -292,6 +292,8 @@ def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        return pa.array(shared.value.scores(features_of(texts)))
+        scores = pa.array(shared.value.scores(features_of(texts)))
+        X.give_back()
+        return scores
 
     return docs.where(score(F.col("text").cast("string")) >= threshold)
