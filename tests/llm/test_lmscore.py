@@ -29,26 +29,15 @@ def test_counts_and_base_against_brute_force(docs):
     assert sum(r["score"] for r in held_out) > sum(r["base_score"] for r in held_out)
 
 
-def model(keys, counts, slices=3, most=1 << 16):
-    of = L._slice_of(keys, slices)
-    parts = [L.filter_of(keys[of == k], counts[of == k], most) if (of == k).any() else np.zeros(0, np.uint8) for k in range(slices)]
-    return L.Model(slices, np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])]), 0, 0)
-
-
 def test_the_filter_never_answers_below_the_level_that_was_entered():
     rng = np.random.default_rng(2)
-    keys = rng.integers(0, 2**64, 5000, dtype=np.uint64)
-    counts = rng.geometric(0.2, 5000)
-    found = model(keys, counts).quantised(keys)
-    assert (found >= L.levels(counts)).all() and (found == L.levels(counts)).mean() > 0.9
-    others = rng.integers(0, 2**64, 5000, dtype=np.uint64)
-    assert (model(keys, counts).quantised(others) > 0).mean() < 0.05
-
-
-def test_a_full_filter_still_answers_for_every_key():
-    keys = np.arange(1, 4000, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    found = model(keys, np.ones(len(keys), np.int64), most=64).quantised(keys[:50])
-    assert (found >= 1).all()
+    keys = rng.integers(0, 2**64, 20000, dtype=np.uint64)
+    counts = rng.geometric(0.2, 20000)
+    made = L.filter_of(keys, counts)
+    found = L.quantised(keys, made)
+    assert (found >= L.levels(counts)).all() and (found == L.levels(counts)).mean() > 0.99
+    others = rng.integers(0, 2**64, 20000, dtype=np.uint64)
+    assert (L.quantised(others, made) > 0).mean() < 0.005 and not L.quantised(keys, np.zeros(0, np.uint8)).any()
 
 
 def test_levels():
@@ -64,29 +53,52 @@ def test_empty_table_and_no_training(docs, no_docs):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["held_out"] for r in rows)
 
 
-def test_scores_do_not_fill_up_with_the_filter(docs):
-    """Filters of a few bytes at once give the scores that exact levels of all bigrams give."""
+def brute(rows, held):
+    """Scores of a dictionary of all n-grams with exact levels; ``rows`` are ``(id, text)``."""
+    own = [words(t) for _, t in rows]
+    grams = lambda t, k: list(zip(*([*[None] * j, *t] for j in reversed(range(k)))))
+    # Before a text's first word stand ends.
+    count = [Counter(g for t, h in zip(own, held) if not h for g in grams(t, k)) for k in (1, 2, 3)]
+    n, v = sum(count[0].values()), len(count[0])
+    level = lambda c: (3 * 2.0 ** (math.frexp(c)[1] - 1) - 1) / 2 if c else 0.0
+    result = []
+    for (name, _), t in zip(rows, own):
+        total = 0.0
+        for k, w in enumerate(t):
+            u, before = (t[k - 1] if k else None), (t[k - 2] if k > 1 else None)
+            one, word = float(count[0][(u,)]), float(count[0][(w,)])
+            pair = level(count[1][(u, w)]) if one and word else 0.0
+            both = (level(count[1][(before, u)]) if count[0][(before,)] and one else 0.0) if k else one
+            triple = level(count[2][(before, u, w)]) if pair else 0.0
+            total += float(L.log_share(*(np.array([x]) for x in (word, one, pair, both, triple)), n, v)[0])
+        result.append((str(name), len(t), total))
+    return result
+
+
+def test_scores_against_a_dictionary(docs):
     from pyspark.sql import functions as F
 
-    rows = docs.select("doc_id", "text").collect()
-    held = [r["doc_id"] is None or r["doc_id"] % 2 for r in rows]
-    own = [words(r["text"]) for r in rows]
-    counts = Counter(w for t, h in zip(own, held) if not h for w in t)
-    pairs = Counter(p for t, h in zip(own, held) if not h for p in zip([None, *t], t))
-    n, v = sum(counts.values()), len(counts)
-    wanted = []
-    for r, t in zip(rows, own):
-        before, word = (np.array([counts[w] for w in s], float) for s in ([None, *t[:-1]], t))
-        level = np.frexp(np.array([pairs[p] for p in zip([None, *t[:-1]], t)], float))[1]
-        wanted.append((str(r["doc_id"]), len(t), L.log_share(before, word, L.value_of(level), n, v).sum()))
-    train = F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))
-    found = [(str(r["doc_id"]), r["n_tokens"], r["score"]) for r in L.score(docs, train, filter_bytes=64).collect()]
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    wanted = brute(rows, [n is None or n % 2 for n, _ in rows])
+    found = [(str(r["doc_id"]), r["n_tokens"], r["score"]) for r in L.score(docs, F.coalesce(F.col("doc_id") % 2 == 0, F.lit(False))).collect()]
     off = [abs(a[2] - b[2]) for a, b in zip(sorted(found), sorted(wanted))]
-    assert len(found) == len(wanted) and sum(off) < 0.01 * sum(abs(w[2]) for w in wanted)
-
-
-def test_slices_with_several_filters_still_tell_unseen_keys_apart():
-    keys = np.sort(np.random.default_rng(3).integers(0, 2**64, 6000, dtype=np.uint64))
-    counts = np.where(np.arange(6000) % 2, np.arange(6000) % 9 + 1, 0)
-    found = L.slice_levels(keys, counts, 256)
-    assert (found >= L.levels(counts)).all() and (found[counts == 0] > 0).mean() < 0.05
+    assert len(found) == len(wanted) and [f[:2] for f in sorted(found)] == [w[:2] for w in sorted(wanted)]
+    assert sum(off) < 0.002 * sum(abs(w[2]) for w in wanted)
+
+
+def test_settings_and_divisions_leave_scores_alone(spark, docs, monkeypatch):
+    monkeypatch.setattr(L, "RANGE_BYTES", 5000)
+    first = sorted((tuple(r) for r in L.digest(docs).collect()), key=str)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "23")
+        monkeypatch.setattr(L, "UNIT", 900)
+        monkeypatch.setattr(L, "TASK_BYTES", 3000)
+        assert sorted((tuple(r) for r in L.digest(docs.repartition(7)).collect()), key=str) == first
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_another_order_is_noticed():
+    tokens = np.arange(1, 50, dtype=np.uint64)
+    assert L._checksum(tokens) != L._checksum(tokens[::-1].copy())
