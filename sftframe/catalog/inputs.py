@@ -18,7 +18,7 @@ from sftframe.operators import subword as B
 from sftframe.operators import vocab as V
 from sftframe.operators.preference import encode_pairs
 from sftframe.options import PHASES, LogOptions, PreferenceOptions, SftOptions
-from sftframe.plans import epochs
+from sftframe.plans import epochs, permuted
 from sftframe.session import shared_folder
 from sftframe.sources import adapters
 from sftframe.sources.cache import reuse
@@ -105,6 +105,12 @@ def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _reused(spark, sf_dir, "split", ["conversations"], lambda: epochs.assign_split(rows, SFT), SFT)
 
 
+@functools.cache
+def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split rows with their numbers, made once for all epochs."""
+    return _reused(spark, sf_dir, "numbered", ["conversations"], lambda: permuted.numbered(split_rows(spark, sf_dir)), SFT)
+
+
 def plan(spark: SparkSession, sf_dir: str, opts: SftOptions = SFT) -> DataFrame:
     return epochs.epoch_plan(split_rows(spark, sf_dir), opts)
 

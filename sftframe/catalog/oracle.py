@@ -266,7 +266,8 @@ def sql(parts: str, select: str) -> str:
 
     for name in parts.split():
         add(name)
-    heads = ",\n".join(f"{name} as materialized ({PARTS[name][1]})" for name in order)
+    # A part that reads itself is recursive and cannot be materialised.
+    heads = ",\n".join(f"{name} as {'' if f'from {name} ' in PARTS[name][1] else 'materialized '}({PARTS[name][1]})" for name in order)
     return f"with recursive {heads}\n{select}" if heads else select
 
 
@@ -403,6 +404,53 @@ oracle(
        where split = 'train' and (epoch > 1 or (epoch = 1 and batch >= 2))""",
 )
 
+# -- epoch order by arithmetic --------------------------------------------------------------------------------------
+
+
+def keyed(part: int) -> str:
+    """28 bits of a hash of seed, epoch, split, round and part."""
+    return f"('0x' || substr(md5('42|' || epoch || '|' || split || '|' || round || '|{part}'), 1, 7))::bigint"
+
+
+PARTS["numbered"] = (
+    ["splits", "prepared"],
+    """select split, pair_id, len(ids) as n_tokens, row_number() over (partition by split order by pair_id) - 1 as i,
+              count(*) over (partition by split) as n from splits join prepared using (pair_id)""",
+)
+PARTS["round_keys"] = (
+    ["numbered"],
+    f"""select split, epoch, n, a, (n + a - 1) // a as b, x, y, z from
+          (select *, floor(sqrt(n - 1))::bigint + 1 as a from (select distinct split, n from numbered) where n > 1
+           union all select *, 1 from (select distinct split, n from numbered) where n = 1),
+          (select split as s, epoch, list(kx order by round) as x, list(ky order by round) as y, list(kz order by round) as z
+           from (select split, epoch, round, {keyed(0)} as kx, {keyed(1)} + 1 as ky, {keyed(2)} as kz
+                 from (values ('train'), ('test')) s(split), range(3) e(epoch), range(8) r(round)) group by all) k
+        where s = split""",
+)
+
+
+def rounds(source: str) -> str:
+    """``source`` with place ``p`` moved on by eight rounds over its halves."""
+    inner = f"(select *, p // b as l, p % b as r from {source})"
+    for k in range(1, 9):
+        half, other, size = ("l", "r", "a") if k % 2 else ("r", "l", "b")
+        inner = f"(select * replace (({half} + (({other} + x[{k}]) * y[{k}] + z[{k}]) % 2147483647) % {size} as {half}) from {inner})"
+    return f"select split, epoch, n, a, b, x, y, z, pair_id, n_tokens, l * b + r as p from {inner}"
+
+
+PARTS["walks"] = (
+    ["numbered", "round_keys"],
+    f"""{rounds("(select m.split, epoch, m.n, a, b, x, y, z, pair_id, n_tokens, i as p from numbered m join round_keys k using (split))")}
+        union all {rounds("(select * from walks where p >= n)")}""",
+)
+PARTS["permuted"] = (
+    ["walks"],
+    """select split, epoch::integer as epoch, pair_id, n_tokens::integer as n_tokens, p, (p % 4)::integer as rank, p // 4 // 8 as batch, (p // 4 % 8)::integer as slot
+       from walks where p < n // 4 * 4""",
+)
+oracle("epoch_order", "permuted", "select * from permuted")
+oracle("rank_slots", "permuted", "select batch, slot, pair_id from permuted where split = 'train' and epoch = 2 and rank = 1 and batch >= 1")
+
 # -- batches --------------------------------------------------------------------------------------------------------
 
 KEY = "split, epoch, rank, batch"
@@ -737,7 +785,7 @@ def averages(aggregate) -> str:
     return ", ".join(f"{aggregate(phase)} as ms_{phase}" for phase in phases)
 
 
-def windows(steps: str, freq: int) -> str:
+def windows(steps: str, freq: int, rows: str = "count(distinct global_step)", times: int = 1) -> str:
     return f"""select run_id, step as global_step, floor((step - 1) / 25)::integer as epoch,
     25 - ((step - 1) % 25 + 1) + 1 as batches_remaining, 4 * 8 * 256::bigint as tokens_per_step,
     round(1e9 * (1e-6 + 9e-6 * (1 + cos(pi() * step / 100)) / 2), 4) as lr_e9,
@@ -746,7 +794,7 @@ def windows(steps: str, freq: int) -> str:
   from (select *, ms_forward + ms_backward + ms_build_batch + ms_optimizer_step as ms from (
     select run_id, (global_step - 1) // {freq} as w, max(global_step) as step, sum(loss) as loss,
            {averages(lambda phase: f"1000 * avg(elapsed_s) filter (ok and phase = '{phase}')")}
-    from {steps} group by run_id, w having count(distinct global_step) = {freq}))"""
+    from {steps} group by run_id, w having {rows} = {freq * times}))"""
 
 oracle("run_steps", "steps", "select * from steps")
 for name in ("run_windows", "metric_sink", "stream_windows"):
@@ -754,6 +802,8 @@ for name in ("run_windows", "metric_sink", "stream_windows"):
 for name in ("run_windows_phases", "stream_windows_phases"):
     oracle(name, "phase_steps", windows("phase_steps", 5))
 
+oracle("stream_windows_live", "phase_steps", windows("phase_steps", 5, "count(*)", 4))
+
 STEPS = """select epoch, batch, (batch + 1)::integer as epoch_step, epoch * batches + batch + 1 as global_step, batches
     from (select distinct epoch, batch from plan where split = 'train' and rank = 0),
          (select count(distinct batch) as batches from plan where split = 'train' and rank = 0)"""

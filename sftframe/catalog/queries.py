@@ -23,7 +23,7 @@ from sftframe.operators import subword as B
 from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
-from sftframe.plans import epochs
+from sftframe.plans import epochs, permuted
 from sftframe.sources import adapters
 from sftframe.sources.tables import instruction_table, named_turn, preference_table, read_table
 from sftframe.streaming import jobs
@@ -868,3 +868,29 @@ def stream_windows_phases(spark, sf_dir):
     folder = I.new_folder(spark, "stream-phases")
     I.phase_steps(spark, sf_dir).repartition(8, "phase", "run_id").write.parquet(f"{folder}/source")
     return _streamed_windows(spark, spark.read.parquet(f"{folder}/source"), folder, I.PHASE_LOG)
+
+
+@query
+def stream_windows_live(spark, sf_dir):
+    """Each record once, from files in no order of steps, with a restart and rows that come twice."""
+    folder = I.new_folder(spark, "stream-live")
+    steps = I.phase_steps(spark, sf_dir)
+    for part in (F.col("phase") != "forward", (F.col("phase") == "forward") | (F.col("global_step") == 3)):
+        steps.where(part).repartition(4, "phase", "run_id").write.mode("append").parquet(f"{folder}/source")
+        arriving = jobs.read_stream(spark, f"{folder}/source", steps.schema, files="*.parquet", files_per_batch=4)
+        jobs.live_window_stream(arriving, I.PHASE_LOG, f"{folder}/records", f"{folder}/checkpoint", rows_per_step=4).awaitTermination()
+    return _window_rows(spark.read.parquet(f"{folder}/records"))
+
+
+@query
+def epoch_order(spark, sf_dir):
+    """An epoch order by arithmetic alone, over rows that were numbered once."""
+    return permuted.epoch_order(I.numbered(spark, sf_dir), I.SFT)
+
+
+@query
+def rank_slots(spark, sf_dir):
+    """What one rank reads from its second batch of the last epoch on, from the split sizes alone."""
+    rows = I.numbered(spark, sf_dir)
+    mine = permuted.row_numbers(spark, permuted.split_counts(rows), I.SFT, "train", I.SFT.num_epochs - 1, 1, first_batch=1)
+    return mine.join(rows.where(F.col("split") == "train"), "i").select("batch", "slot", "pair_id")

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import math
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from sftframe.operators.lookup import BROADCAST_ROWS
 from sftframe.operators.prepare import prepare
-from sftframe.operators.telemetry import log_records, merge_parts, window_parts
-from sftframe.options import LogOptions, SftOptions
+from sftframe.operators.telemetry import log_records, log_window, merge_parts, window_parts
+from sftframe.options import PHASES, LogOptions, SftOptions
+from sftframe.session import ship_package
 
 
 def read_stream(
@@ -63,3 +69,68 @@ def window_stream(steps: DataFrame, opts: LogOptions, parts: str, checkpoint: st
 def read_windows(spark: SparkSession, opts: LogOptions, parts: str) -> DataFrame:
     """Log records of the windows of which all steps are there by now."""
     return log_records(merge_parts(spark.read.parquet(parts).drop("micro_batch")), opts)
+
+
+# -- windows emitted once -------------------------------------------------------------------------------------------
+
+_PART = ", ".join(["run_id {}", "window LONG", "last_step LONG", "steps ARRAY<LONG>", "loss_sum DOUBLE", *(f"{p}_s DOUBLE, {p}_n LONG" for p in PHASES)])
+
+
+def _window_part(key: tuple, rows: list) -> dict:
+    """The sums of a full window from its ``(step, phase, seconds, ok, loss)`` rows, the same in any order of arrival."""
+    part = {"run_id": key[0], "window": key[1], "last_step": max(r[0] for r in rows), "steps": sorted({r[0] for r in rows})}
+    part["loss_sum"] = math.fsum(r[4] for r in rows if r[4] is not None)
+    for phase in PHASES:
+        timed = [r[2] for r in rows if r[1] == phase and r[3] and r[2] is not None]
+        part |= {f"{phase}_s": math.fsum(timed), f"{phase}_n": len(timed)}
+    return part
+
+
+def _plain(value):
+    return None if value is None or value != value else value
+
+
+def live_windows(steps: DataFrame, opts: LogOptions, rows_per_step: int = 1, keep_ms: int = 24 * 3_600_000) -> DataFrame:
+    """Log records of a stream of steps, each the moment the last row of its window has come.
+
+    State is kept by run and window: the rows so far, at most ``log_freq * rows_per_step``, and once the record is out
+    only a mark.  A step and phase that has come before, or comes after the record, is refused, so rows that are
+    delivered twice change nothing.  What has heard nothing for ``keep_ms`` is dropped: the mark of a window that is
+    out, or a window that will not be complete any more.
+    """
+    ship_package(steps.sparkSession)
+    whole = opts.log_freq * rows_per_step
+
+    def arrived(key: tuple, frames, state: GroupState):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        done, text = state.get if state.exists else (False, "[]")
+        rows = {(r[0], r[1]): r for r in json.loads(text)}
+        for frame in frames:
+            for step, phase, seconds, ok, loss in zip(*(frame[c] for c in ("global_step", "phase", "elapsed_s", "ok", "loss"))):
+                rows.setdefault((int(step), phase), [int(step), phase, _plain(seconds), bool(ok), _plain(loss)])
+        full = not done and len(rows) == whole
+        if full:
+            yield pd.DataFrame([_window_part(key, sorted(rows.values(), key=lambda r: (r[0], str(r[1]))))])
+        done = done or full
+        state.update((done, "[]" if done else json.dumps(list(rows.values()))))
+        state.setTimeoutDuration(keep_ms)
+
+    kind = steps.schema["run_id"].dataType.simpleString()
+    keyed = steps.withColumn("window", log_window(opts)).groupBy("run_id", "window")
+    parts = keyed.applyInPandasWithState(arrived, _PART.format(kind), "done BOOLEAN, rows STRING", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return log_records(parts, opts)
+
+
+def live_window_stream(steps: DataFrame, opts: LogOptions, out: str, checkpoint: str, rows_per_step: int = 1) -> StreamingQuery:
+    """Append the records of ``live_windows`` to ``out``; the sink's own log makes a repeated micro-batch harmless."""
+    conf, name = steps.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    # With timers on the clock a run over what is there would go on with empty micro-batches for ever.
+    conf.set(name, "false")
+    try:
+        records = live_windows(steps, opts, rows_per_step)
+        return records.writeStream.outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet")
+    finally:
+        conf.set(name, before)

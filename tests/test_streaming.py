@@ -47,3 +47,40 @@ def test_windows_over_late_and_split_steps(spark, tmp_path):
     assert len(first) == 5 and (1, 3) not in [r[:2] for r in first]
     steps.where(late).write.mode("append").parquet(str(tmp_path / "in"))
     assert drain(spark, tmp_path) == sorted(rows(H.run_windows(steps, OPTS)))
+
+
+def live(spark, tmp_path, rows_per_step=2):
+    arriving = jobs.read_stream(spark, str(tmp_path / "in"), STEPS, files="*.parquet", files_per_batch=1)
+    run = jobs.live_window_stream(arriving, OPTS, str(tmp_path / "records"), str(tmp_path / "checkpoint"), rows_per_step)
+    run.awaitTermination()
+    return sorted(rows(spark.read.parquet(str(tmp_path / "records")))), run
+
+
+def test_live_windows_come_once_and_whole(spark, tmp_path):
+    made = [
+        (run, step, phase, 0.1 * step, phase != "backward" or step % 2 == 0, float(step) if phase == "forward" else None)
+        for run in (1, 2)
+        for step in range(1, 11)
+        for phase in ("forward", "backward")
+    ]
+    steps = spark.createDataFrame(made, STEPS)
+    late = (F.col("global_step") == 2) & (F.col("run_id") == 1) & (F.col("phase") == "backward")
+    # Files in no order of steps, and one of them twice.
+    steps.where(~late).repartition(3, "phase", "global_step").write.parquet(str(tmp_path / "in"))
+    steps.where("global_step % 4 = 0").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    first, _ = live(spark, tmp_path)
+    assert len(first) == 5 and (1, 3) not in [r[:2] for r in first]
+    # A restart goes on with the state; rows of windows that are out change nothing.
+    steps.where(late | (F.col("global_step") == 5)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    second, run = live(spark, tmp_path)
+    wanted = sorted(rows(H.run_windows(steps, OPTS)))
+    assert [r[:2] for r in second] == [r[:2] for r in wanted] and len(second) == 6
+    assert all(a == pytest.approx(b) for a, b in zip(second, wanted))
+    kept = run.lastProgress["stateOperators"][0]
+    assert kept["numRowsTotal"] == 8
+
+
+def test_a_window_part_is_the_same_in_any_order():
+    made = [[k, "forward", 0.1 * k, True, 1.0 / (k + 1)] for k in range(50)]
+    parts = [jobs._window_part((1, 0), r) for r in (made, made[::-1], made[25:] + made[:25])]
+    assert parts[0] == parts[1] == parts[2]
