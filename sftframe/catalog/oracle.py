@@ -404,6 +404,13 @@ oracle(
        where split = 'train' and (epoch > 1 or (epoch = 1 and batch >= 2))""",
 )
 
+oracle(
+    "shard_resume",
+    "plan prepared",
+    f"""select epoch, rank, batch, slot, pair_id, {text("ids")} as input_ids from plan join prepared using (pair_id)
+        where split = 'train' and (epoch > 1 or (epoch = 1 and batch >= 2))""",
+)
+
 # -- epoch order by arithmetic --------------------------------------------------------------------------------------
 
 

@@ -24,7 +24,7 @@ from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
 from sftframe.plans import epochs, permuted
-from sftframe.sources import adapters
+from sftframe.sources import adapters, shards
 from sftframe.sources.tables import instruction_table, named_turn, preference_table, read_table
 from sftframe.streaming import jobs
 
@@ -894,3 +894,13 @@ def rank_slots(spark, sf_dir):
     rows = I.numbered(spark, sf_dir)
     mine = permuted.row_numbers(spark, permuted.split_counts(rows), I.SFT, "train", I.SFT.num_epochs - 1, 1, first_batch=1)
     return mine.join(rows.where(F.col("split") == "train"), "i").select("batch", "slot", "pair_id")
+
+
+@query
+def shard_resume(spark, sf_dir):
+    """Training batches written for loaders, and read back from step 2 of epoch 1 on."""
+    folder = I.new_folder(spark, "shards")
+    ids = I.prepared(spark, sf_dir).select("pair_id", "input_ids")
+    batches = I.plan(spark, sf_dir).where(F.col("split") == "train").select("epoch", "rank", "batch", "slot", "pair_id").join(ids, "pair_id")
+    shards.write_shards(batches, folder)
+    return shards.read_shards(spark, folder, batches.schema, 1, 2).select("epoch", "rank", "batch", "slot", "pair_id", *texts("input_ids"))
