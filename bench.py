@@ -14,7 +14,7 @@ from sftframe.catalog.queries import QUERIES
 from sftframe.catalog.session import local_session
 
 #: Prepared tables in the order in which they need each other.
-PREPARED = ("kept_pairs", "vocab", "prepared", "split_rows", "prefs", "unigrams", "steps")
+PREPARED = ("kept_pairs", "vocab", "prepared", "split_rows", "numbered", "merges", "prefs", "unigrams", "steps")
 HEADLINE = (
     "context_filter_docs",
     "token_counts",
@@ -23,7 +23,11 @@ HEADLINE = (
     "encode_ids",
     "encode_ids_joined",
     "decode_text",
+    "bpe_encode",
+    "bpe_decode",
     "epoch_plan",
+    "epoch_order",
+    "shard_resume",
     "collate_masked",
     "collate_batches",
     "pref_pairs",
@@ -42,6 +46,7 @@ HEADLINE = (
     "run_windows",
     "stream_prepare",
     "stream_windows",
+    "stream_windows_live",
 )
 
 
