@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from sftframe.llm import textcore as X
 
 UNIT = 800_000
-#: Bytes of text whose n-grams a range holds, and that a task is given.
-RANGE_BYTES, TASK_BYTES = 8 << 20, 16 << 20
+#: Bytes of text whose n-grams a range holds, and that a task is given (about one unit of texts).
+RANGE_BYTES, TASK_BYTES = 8 << 20, 6 << 20
 BITS_PER_ENTRY = 16
 PROBES = 4
 #: No count has a higher level.
