@@ -394,6 +394,10 @@ def decode(rows: DataFrame, pieces: str = "pieces", out: str = "text", path: str
 _DIGEST = "doc_id {}, n_bytes long, n_pieces long, score double, nbest_scores array<double>, nbest_pieces array<long>, ids_sha256 string, decoded boolean"
 
 
+#: Text whose distinct words ``digest`` solves together; it has no other columns to hold.
+DIGEST_BYTES = 2 << 20
+
+
 def digest(docs: DataFrame, n: int = BEST, path: str = MODEL) -> DataFrame:
     """Per document: size, pieces and score of the best segmentation, scores and sizes of the n best, the SHA-256 of
     their ids (32-bit little-endian, -1 after each), and whether each of them decodes to the text."""
@@ -403,7 +407,7 @@ def digest(docs: DataFrame, n: int = BEST, path: str = MODEL) -> DataFrame:
         for batch in batches:
             buffer, starts = X.text_bytes(batch.column(1))
             columns = [[] for _ in range(7)]
-            for _, _, data, at in X.chunks(buffer, starts):
+            for _, _, data, at in X.chunks(buffer, starts, DIGEST_BYTES):
                 for row, found in enumerate(segment(data, at, shared.value, n)):
                     text = data[at[row] : at[row + 1]].tobytes()
                     sha = hashlib.sha256()
