@@ -531,6 +531,8 @@ oracle(
     """select pair_id, 'user: ' || prompt || chr(10) || chr(10) || 'assistant: ' || chosen || chr(10) || chr(10)
               || 'user: ' || rejected as prompt, chosen, rejected from prefs""",
 )
+oracle("dataset_split", "prefs", "select p, pair_id, chosen from prefs where p % 3 <> 0 and p >= 10")
+oracle("dataset_stream", "prefs", "select p, pair_id, chosen from prefs where p % 3 <> 0")
 oracle("pref_split", "prefs", "select pair_id, prompt, chosen, rejected from prefs where p % 3 = 0")
 
 

@@ -24,7 +24,7 @@ from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
 from sftframe.options import DecodeOptions, PreferenceOptions, SftOptions, resolve_max_length
 from sftframe.plans import epochs, permuted
-from sftframe.sources import adapters, shards
+from sftframe.sources import adapters, datasets, shards
 from sftframe.sources.tables import instruction_table, named_turn, preference_table, read_table
 from sftframe.streaming import jobs
 
@@ -354,6 +354,34 @@ def pref_split(spark, sf_dir):
     return preference_table(read_table(spark, folder, split="test"))
 
 
+def _hosted(spark, sf_dir):
+    """The root of a dataset of preference pairs with two splits, the training split in two commits."""
+    root = I.new_folder(spark, "datasets")
+    prefs = I.prefs(spark, sf_dir)
+    for split, part in (("train", F.col("p") % 3 == 1), ("test", F.col("p") % 3 == 0), ("train", F.col("p") % 3 == 2)):
+        datasets.write_split(prefs.where(part), root, "own/preferences", split)
+    return root
+
+
+@query
+def dataset_split(spark, sf_dir):
+    """A dataset by name and split; three of its columns are read, and the filter is applied while reading."""
+    named = datasets.load_split(spark, _hosted(spark, sf_dir), "own/preferences", schema="p BIGINT, pair_id STRING, chosen STRING")
+    return named.where(F.col("p") >= 10)
+
+
+@query
+def dataset_stream(spark, sf_dir):
+    """The commits of a split as a stream."""
+    root = _hosted(spark, sf_dir)
+    datasets.register(spark)
+    arriving = spark.readStream.format(datasets.FORMAT).options(path=root, dataset="own/preferences")
+    rows = arriving.schema("p BIGINT, pair_id STRING, chosen STRING").load()
+    sink = rows.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{root}-state").format("parquet")
+    sink.start(f"{root}-rows").awaitTermination()
+    return spark.read.parquet(f"{root}-rows")
+
+
 SEQUENCE_COLUMNS = ("input_ids", "attention_mask", "loss_mask", "labels")
 
 
