@@ -642,6 +642,17 @@ oracle(
     f"select batch, max(chosen_length) as longest_chosen, {means()} from ({losses('score_sums', REGUL)}) group by batch",
 )
 oracle("dpo_eval_metrics", "score_sums", f"select {means('eval_')} from ({losses('score_sums', REGUL)})")
+oracle(
+    "dpo_metrics_exact",
+    "score_sums",
+    f"""select batch, name, count(*) as pairs, round(avg(value), 6) + 0.0 as mean from (
+          select unnest([batch, null]) as batch, name, value from (
+            unpivot (select batch, loss, chosen_reward as rewards_chosen, chosen_reward - rejected_reward as rewards_margins,
+                            (chosen_reward > rejected_reward)::integer::double as rewards_accuracies
+                     from ({losses('score_sums', REGUL)}))
+            on loss, rewards_chosen, rewards_margins, rewards_accuracies into name name value value))
+        group by batch, name""",
+)
 oracle(
     "dpo_reference_join",
     "score_sums",
@@ -786,6 +797,8 @@ select request_id, coalesce(""",
     1,
 )
 
+ORACLE["generate_recursive"] = ORACLE["generate_bigram"]
+
 # -- training logs --------------------------------------------------------------------------------------------------
 
 
@@ -811,6 +824,12 @@ for name in ("run_windows", "metric_sink", "stream_windows"):
 for name in ("run_windows_phases", "stream_windows_phases"):
     oracle(name, "phase_steps", windows("phase_steps", 5))
 
+oracle(
+    "run_loss_exact",
+    "steps",
+    """select run_id, (global_step - 1) // 20 as window, count(loss) as n, round(sum(loss), 6) + 0.0 as loss
+       from steps group by run_id, (global_step - 1) // 20 having count(loss) > 0""",
+)
 oracle("stream_windows_live", "phase_steps", windows("phase_steps", 5, "count(*)", 4))
 
 STEPS = """select epoch, batch, (batch + 1)::integer as epoch_step, epoch * batches + batch + 1 as global_step, batches

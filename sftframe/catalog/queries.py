@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from sftframe.catalog import inputs as I
 from sftframe.functions import arrays as A
 from sftframe.functions import text as X
+from sftframe.operators import chains
 from sftframe.operators import collate as C
 from sftframe.operators import compare as M
 from sftframe.operators import decoding as G
 from sftframe.operators import dpo as D
+from sftframe.operators import exact
 from sftframe.operators import preference as R
 from sftframe.operators import prepare as P
 from sftframe.operators import subword as B
@@ -520,6 +522,34 @@ def dpo_eval_metrics(spark, sf_dir):
     return overall.select("pairs", *rounded("loss", *[f"eval_{name}" for name in METRICS]))
 
 
+def _exact_values():
+    return {"loss": F.col("loss"), "rewards_chosen": F.col("chosen_reward"), "rewards_accuracies": F.col("accuracy"), "rewards_margins": F.col("reward_margin")}
+
+
+@query
+def dpo_metrics_exact(spark, sf_dir):
+    """Means per batch and over all pairs (batch null) by sums that no division of the rows changes."""
+    values = _exact_values()
+    scored = _scored(spark, sf_dir, I.PREF, return_metrics=False).pairs
+    per_batch = exact.parts(scored, ["batch"], values)
+    overall = exact.merge(per_batch, []).withColumn("batch", F.lit(None).cast("bigint"))
+    made = exact.sums(per_batch.unionByName(overall), ["batch"])
+    return made.select("batch", "name", F.col("n").alias("pairs"), (F.round(F.col("total") / F.col("n"), 6) + F.lit(0.0)).alias("mean"))
+
+
+@query
+def run_loss_exact(spark, sf_dir):
+    """Sum of the loss per run and log window, from accumulators of four parts of the steps, added up later."""
+    steps = I.steps(spark, sf_dir).withColumn("window", H.log_window(I.LOG))
+    keys = ["run_id", "window"]
+    kept = [exact.parts(steps.where(F.pmod("global_step", F.lit(4)) == i), keys, {"loss": F.col("loss")}) for i in range(4)]
+    folder = I.new_folder(spark, "loss-parts")
+    for i, part in enumerate(kept):
+        part.write.parquet(f"{folder}/part={i}")
+    made = exact.sums(exact.merge(spark.read.parquet(folder).drop("part"), keys), keys)
+    return made.select("run_id", "window", "n", (F.round("total", 6) + F.lit(0.0)).alias("loss"))
+
+
 @query
 def dpo_reference_join(spark, sf_dir):
     """Reference scores from a table of their own instead of the pair's columns."""
@@ -726,6 +756,18 @@ def _successors(prepared: DataFrame) -> DataFrame:
     return counts.groupBy("prev").agg(F.max_by("next", F.struct("times", -F.col("next"))).alias("next"))
 
 
+def _generation_requests(spark, sf_dir):
+    own = I.pairs(spark, sf_dir).select(F.col("pair_id").alias("prompt_id"), "instruction")
+    fixed = M.default_prompts(spark).select(F.concat(F.lit("default-"), F.col("prompt_id").cast("string")).alias("prompt_id"), "instruction")
+    asked = M.prompts(own.unionByName(fixed)).select(F.col("prompt_id").alias("request_id"), "prompt")
+    return P.encode_text(asked, {"prompt": "ids"}, I.vocab(spark, sf_dir)).select("request_id", "ids")
+
+
+def _responses(spark, sf_dir, made):
+    whole = made.select("request_id", "new_ids", F.size("ids").alias("n_prompt"), F.concat("ids", "new_ids").alias("output_ids"))
+    return M.cut_response(whole, I.vocab(spark, sf_dir)).select("request_id", *texts("new_ids"), "response")
+
+
 @query
 def generate_bigram(spark, sf_dir):
     """Greedy generation from the formatted prompts of all pairs and of the default instructions, cut to the response.
@@ -749,14 +791,16 @@ def generate_bigram(spark, sf_dir):
 
         return scorer
 
-    vocab = I.vocab(spark, sf_dir)
-    own = I.pairs(spark, sf_dir).select(F.col("pair_id").alias("prompt_id"), "instruction")
-    fixed = M.default_prompts(spark).select(F.concat(F.lit("default-"), F.col("prompt_id").cast("string")).alias("prompt_id"), "instruction")
-    asked = M.prompts(own.unionByName(fixed)).select(F.col("prompt_id").alias("request_id"), "prompt")
-    requests = P.encode_text(asked, {"prompt": "ids"}, vocab).select("request_id", "ids")
-    made = G.generate(requests, make_scorer, specials.eos_id, DecodeOptions())
-    whole = made.select("request_id", "new_ids", F.size("ids").alias("n_prompt"), F.concat("ids", "new_ids").alias("output_ids"))
-    return M.cut_response(whole, vocab).select("request_id", *texts("new_ids"), "response")
+    requests = _generation_requests(spark, sf_dir)
+    return _responses(spark, sf_dir, G.generate(requests, make_scorer, specials.eos_id, DecodeOptions()))
+
+
+@query
+def generate_recursive(spark, sf_dir):
+    """The same by a recursive query over a table of next tokens, without a model in Python."""
+    following = chains.next_tokens(I.prepared(spark, sf_dir), 1)
+    requests, eos_id = _generation_requests(spark, sf_dir), I.specials(spark, sf_dir).eos_id
+    return _responses(spark, sf_dir, chains.generate(requests, following, eos_id, DecodeOptions().max_new_tokens))
 
 
 # -- training logs --------------------------------------------------------------------------------------------------
