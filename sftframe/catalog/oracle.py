@@ -498,6 +498,9 @@ oracle(
 )
 
 
+ORACLE["collate_user_stream"] = ORACLE["collate_user_function"]
+
+
 def spoken(ids: str) -> str:
     """Text of an id list, by way of a list of all tokens in id order."""
     return f"array_to_string(list_transform({ids}, lambda x: words[x + 1]), '')"

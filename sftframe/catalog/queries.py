@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sftframe.catalog import inputs as I
 from sftframe.functions import arrays as A
@@ -21,6 +22,7 @@ from sftframe.operators import dpo as D
 from sftframe.operators import exact
 from sftframe.operators import preference as R
 from sftframe.operators import prepare as P
+from sftframe.operators import streamed
 from sftframe.operators import subword as B
 from sftframe.operators import telemetry as H
 from sftframe.operators import vocab as V
@@ -296,6 +298,32 @@ def collate_user_function(spark, sf_dir):
     return C.collate_with(_collated(spark, sf_dir, mask_instruction=True), _batch_summary, schema)
 
 
+class _RunningSummary:
+    """The same summary from rows that come one by one."""
+
+    def __init__(self):
+        self.rows = self.width = self.counted = 0
+
+    @staticmethod
+    def schema(examples):
+        return T.StructType([T.StructField(name, T.LongType()) for name in ("rows", "width", "counted_labels")])
+
+    def add(self, row):
+        self.rows += 1
+        self.width = max(self.width, len(row["inputs"]))
+        self.counted += sum(label != -100 for label in row["labels"])
+        return ()
+
+    def finish(self):
+        yield self.rows, self.width, self.counted
+
+
+@query
+def collate_user_stream(spark, sf_dir):
+    """A collator of the user's that never holds a batch."""
+    return streamed.collate_streamed(_collated(spark, sf_dir, mask_instruction=True), _RunningSummary)
+
+
 @query
 def sample_report(spark, sf_dir):
     opts = replace(I.SFT, mask_instruction=True)
