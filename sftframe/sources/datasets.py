@@ -14,6 +14,7 @@ files and reads them with Arrow's file systems; for others, ``split_files`` give
 from __future__ import annotations
 
 import json
+import sys
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,13 +24,12 @@ import pyarrow.compute as pc
 import pyarrow.dataset as pads
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import datasource as S
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from sftframe.session import ship_package
-
 FORMAT = "sftdata"
 COMMITS, PARTS = "commits", "parts"
 #: Bytes of files that one task reads.
@@ -309,9 +309,16 @@ class NamedDatasets(S.DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make ``format("sftdata")`` known to the session, with filters applied while reading."""
-    ship_package(spark)
-    spark.dataSource.register(NamedDatasets)
+    """Make ``format("sftdata")`` known to the session, with filters applied while reading.
+
+    The code goes along by value: the process that plans a stream knows nothing of shipped packages.
+    """
+    own = sys.modules[__name__]
+    cloudpickle.register_pickle_by_value(own)
+    try:
+        spark.dataSource.register(NamedDatasets)
+    finally:
+        cloudpickle.unregister_pickle_by_value(own)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 

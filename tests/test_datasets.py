@@ -132,3 +132,25 @@ def test_the_plan_shows_columns_and_filters(spark, tmp_path, capsys):
     plan = capsys.readouterr().out
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,5)]" in plan and "struct<id:bigint,text:string>" in plan
     assert "Filter (" not in plan
+
+
+def test_planning_processes_need_no_package(spark, tmp_path):
+    """What is registered is unpickled by a process that cannot import this package."""
+    import base64
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    kept = {}
+
+    class Recorder:
+        class dataSource:
+            register = staticmethod(lambda source: kept.update(code=cloudpickle.dumps(source)))
+
+        conf = spark.conf
+
+    N.register(Recorder)
+    code = base64.b64encode(kept["code"]).decode()
+    script = f"import base64; from pyspark import cloudpickle as c; print(c.loads(base64.b64decode('{code}')).name()); import sys; assert 'sftframe' not in sys.modules"
+    assert subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.strip() == N.FORMAT
