@@ -2,7 +2,9 @@
 
 A split is the folder ``root/owner/set/split``.  Files put there by others (``*.parquet``, at any depth) are read as
 they are.  Splits written here have numbered commits, each of which lists the files that it adds; a commit is there
-whole or not at all, and of two writers of one number one wins.  Readers are pinned to a version, so what is
+whole or not at all, and of two writers of one number one wins.  That rests on a rename that refuses an
+existing name in one step, as HDFS has it; local folders check and then rename, and object stores give no such promise.
+Files of a writer that lost stay below ``parts`` and are in no version.  Readers are pinned to a version, so what is
 committed later does not disturb them, and a stream takes the commits one after the other.
 
 Options: ``path`` (root), ``dataset``, ``split`` (default ``train``), ``version`` (default the latest) and
