@@ -20,13 +20,15 @@ from sftframe.session import ship_package
 def read_stream(
     spark: SparkSession, folder: str, schema, files: str | None = None, files_per_batch: int | None = None
 ) -> DataFrame:
-    """Parquet files of a folder as a stream; ``files`` is a glob on their names."""
+    """Parquet files of a folder, or one file, as a stream; ``files`` is a glob on their names."""
     reader = spark.readStream.schema(schema)
     if files:
         reader = reader.option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(folder)
+    # A plain path of a stream must be a folder; a pattern, here one that fits the last name alone, may be a file, too.
+    above, _, last = folder.rstrip("/").rpartition("/")
+    return reader.parquet(f"{above}/{{{last}}}" if above else folder)
 
 
 def prepare_stream(

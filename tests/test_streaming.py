@@ -84,3 +84,18 @@ def test_a_window_part_is_the_same_in_any_order():
     made = [[k, "forward", 0.1 * k, True, 1.0 / (k + 1)] for k in range(50)]
     parts = [jobs._window_part((1, 0), r) for r in (made, made[::-1], made[25:] + made[:25])]
     assert parts[0] == parts[1] == parts[2]
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_a_table_arrives_from_one_file_or_a_folder(spark, tmp_path, parts):
+    docs = spark.createDataFrame([(k, "first line\nand the rest " * k) for k in range(12)], "doc_id BIGINT, text STRING")
+    spark.createDataFrame([("a",)], "other STRING").write.parquet(str(tmp_path / "in/labels.parquet"))
+    folder = tmp_path / "in/documents.parquet"
+    if parts:
+        docs.repartition(parts).write.parquet(str(folder))
+    else:
+        docs.toPandas().to_parquet(folder)
+    seen = jobs.read_stream(spark, str(folder), docs.schema)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    seen.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
+    assert sorted(rows(spark.read.parquet(out))) == sorted(rows(docs))
