@@ -93,3 +93,19 @@ def test_round_trip_and_edges(spark):
 
 def test_no_words(spark):
     assert S.train(table(spark, {"": 3}), 5).collect() == [] and S.train(table(spark, WORDS).where("false"), 5).collect() == []
+
+
+def test_a_round_joins_nothing_and_shuffles_sums_twice(spark):
+    plan = S.pair_counts(S.bracketed(table(spark, WORDS)))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_pending_merges_count_like_written_ones(spark):
+    pending = [(97, 97, 256), (256, 256, 257), (97, 98, 258)]
+    names = [*S.BYTES, "6161", "61616161", "6162"]
+    words = S.bracketed(table(spark, {"a" * k: k for k in range(1, 12)} | {"abab": 3, "xaab": 2, "é": 1}))
+    written = words.mapInArrow(S._merged_words(pending), S.WORDS)
+    lists = {tuple(r["pieces"]): r["n"] for r in written.collect()}
+    assert lists[(257, 257, 256, 97)] == 11 and lists[(258, 258)] == 3 and lists[(120, 256, 98)] == 2 and lists[(256, 97)] == 3
+    left = sorted(map(tuple, S.pair_counts(words, pending, names).collect()))
+    assert left == sorted(map(tuple, S.pair_counts(written, [], names).collect())) and len(left) > 4
