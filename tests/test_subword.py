@@ -109,3 +109,12 @@ def test_pending_merges_count_like_written_ones(spark):
     assert lists[(257, 257, 256, 97)] == 11 and lists[(258, 258)] == 3 and lists[(120, 256, 98)] == 2 and lists[(256, 97)] == 3
     left = sorted(map(tuple, S.pair_counts(words, pending, names).collect()))
     assert left == sorted(map(tuple, S.pair_counts(written, [], names).collect())) and len(left) > 4
+
+
+def test_ids_are_made_once_for_several_decodings(spark):
+    merges = spark.createDataFrame(MERGES, S.MERGES)
+    docs = spark.createDataFrame([("the banana",), (None,)], "text STRING")
+    encoded, vocab = S.encode(docs, {"text": "ids"}, merges), S.vocabulary(merges)
+    both = S.decode(S.decode(encoded, {"ids": "shown"}, vocab), {"ids": "plain"}, vocab, skip_special=True).drop("ids")
+    assert both._jdf.queryExecution().executedPlan().toString().count("pieces(regexp") == 1
+    assert sorted(map(str, both.collect())) == sorted(map(str, docs.select("text", "text", "text").toDF("text", "shown", "plain").collect()))
