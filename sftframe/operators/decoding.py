@@ -135,6 +135,9 @@ def _uniform(*parts: object) -> float:
 
 
 def _choose(scores: np.ndarray, used: list[list[int]], draws: list[tuple], opts: DecodeOptions) -> np.ndarray:
+    if opts.repetition_penalty == 1.0 and opts.temperature <= 0:
+        # The largest score is among the k largest, and the first of equal ones wins either way.
+        return scores.argmax(axis=1)
     scores = scores.astype(np.float64, copy=True)
     if opts.repetition_penalty != 1.0:
         for row, ids in zip(scores, used):
@@ -154,26 +157,26 @@ def _choose(scores: np.ndarray, used: list[list[int]], draws: list[tuple], opts:
 def _continue(
     prompts: list[list[int]], requests: list, scorer: Scorer, eos_id: int, opts: DecodeOptions
 ) -> list[list[int]]:
-    new: list[list[int]] = [[] for _ in prompts]
+    whole = [list(ids) for ids in prompts]
     active = list(range(len(prompts)))
     for step in range(opts.max_new_tokens):
         if not active:
             break
-        used = [prompts[i] + new[i] for i in active]
+        used = [whole[i] for i in active]
         draws = [(opts.seed, requests[i], step) for i in active]
         chosen = _choose(np.asarray(scorer([ids[-opts.context_size :] for ids in used])), used, draws, opts)
         going = {i: int(token) for i, token in zip(active, chosen) if token != eos_id}
         for i, token in going.items():
-            new[i].append(token)
+            whole[i].append(token)
         active = list(going)
-    return new
+    return [ids[len(prompt) :] for ids, prompt in zip(whole, prompts)]
 
 
 def generate(requests: DataFrame, make_scorer: Callable[[], Scorer], eos_id: int, opts: DecodeOptions) -> DataFrame:
     """Add ``new_ids``: the tokens that a model appends to ``ids`` of ``request_id`` until EOS or the cap.
 
     ``make_scorer`` runs once per task and returns the model: a function from contexts to an array of scores
-    (context, token).  Every request stops on its own; EOS is not appended.  New tokens are kept apart from the
+    (context, token) of any number type; greedy choices do not copy it.  Every request stops on its own; EOS is not appended.  New tokens are kept apart from the
     prompt, so cropping the context loses none of them.  Requests stay in their partitions, and a draw depends only
     on the seed, the request and the step, so a task that runs again gives the same tokens.
     """

@@ -148,3 +148,17 @@ def test_generation_and_columns_draw_the_same_tokens(spark):
     df = made.select("request_id", "new_ids", F.array(*[F.lit(float(s)) for s in scores[0]]).alias("logits"))
     drawn = df.select("new_ids", G.next_token(F.col("logits"), opts, F.col("request_id"), F.lit(0)).alias("token"))
     assert all(r["new_ids"] == [r["token"]] for r in drawn.collect())
+
+
+def test_greedy_choice_copies_no_scores():
+    import tracemalloc
+
+    scores = np.zeros((64, 20_000), np.bool_)
+    scores[np.arange(64), np.arange(64) * 7] = True
+    scores[5, 19_000] = True
+    for top_k in (None, 3):
+        tracemalloc.start()
+        chosen = G._choose(scores, [[1]] * 64, [(0, k, 0) for k in range(64)], DecodeOptions(top_k=top_k))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert chosen.tolist() == [k * 7 for k in range(64)] and peak < scores.nbytes / 10
