@@ -7,6 +7,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -88,8 +89,10 @@ def _window_part(key: tuple, rows: list) -> dict:
     return part
 
 
-def _plain(value):
-    return None if value is None or value != value else value
+def _number(value) -> float | None:
+    """A number of a JSON row, where what is not finite is a word; NaN is null."""
+    number = None if value is None else float(value)
+    return None if number != number else number
 
 
 def live_windows(steps: DataFrame, opts: LogOptions, rows_per_step: int = 1, keep_ms: int = 24 * 3_600_000) -> DataFrame:
@@ -110,8 +113,9 @@ def live_windows(steps: DataFrame, opts: LogOptions, rows_per_step: int = 1, kee
         done, text = state.get if state.exists else (False, "[]")
         rows = {(r[0], r[1]): r for r in json.loads(text)}
         for frame in frames:
-            for step, phase, seconds, ok, loss in zip(*(frame[c] for c in ("global_step", "phase", "elapsed_s", "ok", "loss"))):
-                rows.setdefault((int(step), phase), [int(step), phase, _plain(seconds), bool(ok), _plain(loss)])
+            for row in frame["_row"]:
+                step, phase, seconds, ok, loss = json.loads(row).values()
+                rows.setdefault((step, phase), [step, phase, _number(seconds), bool(ok), _number(loss)])
         full = not done and len(rows) == whole
         if full:
             yield pd.DataFrame([_window_part(key, sorted(rows.values(), key=lambda r: (r[0], str(r[1]))))])
@@ -120,7 +124,10 @@ def live_windows(steps: DataFrame, opts: LogOptions, rows_per_step: int = 1, kee
         state.setTimeoutDuration(keep_ms)
 
     kind = steps.schema["run_id"].dataType.simpleString()
-    keyed = steps.withColumn("window", log_window(opts)).groupBy("run_id", "window")
+    # A group costs its worker some time for each column, so what is no key goes there as one.
+    row = F.struct(F.col("global_step").cast("bigint"), "phase", F.col("elapsed_s").cast("double"), "ok", F.col("loss").cast("double"))
+    packed = steps.select("run_id", log_window(opts).alias("window"), F.to_json(row, {"ignoreNullFields": "false"}).alias("_row"))
+    keyed = packed.groupBy("run_id", "window")
     parts = keyed.applyInPandasWithState(arrived, _PART.format(kind), "done BOOLEAN, rows STRING", "append", GroupStateTimeout.ProcessingTimeTimeout)
     return log_records(parts, opts)
 

@@ -99,3 +99,16 @@ def test_a_table_arrives_from_one_file_or_a_folder(spark, tmp_path, parts):
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     seen.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out, format="parquet").awaitTermination()
     assert sorted(rows(spark.read.parquet(out))) == sorted(rows(docs))
+
+
+def test_live_windows_hand_over_one_column_and_keep_odd_numbers(spark, tmp_path):
+    made = [(1, k, "forward", x, True, y) for k, x, y in ((1, 0.1 + 0.2, 0.1), (2, None, float("inf")), (3, 1e-17, 0.2))]
+    steps = spark.createDataFrame(made, STEPS)
+    steps.coalesce(1).write.parquet(str(tmp_path / "in"))
+    arriving = jobs.read_stream(spark, str(tmp_path / "in"), STEPS)
+    plan = jobs.live_windows(arriving, OPTS)._jdf.queryExecution().analyzed().toString()
+    below = plan[plan.index("FlatMapGroupsInPandasWithState") :].splitlines()
+    handed = next(line for line in below[1:] if "_row#" in line)
+    assert "Project [run_id#" in handed and handed.count(" AS ") == 2
+    records, _ = live(spark, tmp_path, rows_per_step=1)
+    assert str(records) == str(sorted(rows(H.run_windows(steps, OPTS)))) and len(records) == 1
