@@ -229,6 +229,9 @@ def _verify(percent: int):
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    # Sets that no pair names stay where they are.
+    named = X.stored(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "jaccard-asked")
+    sets = X.marker(named, 3)(sets, "rid", "asked").where("asked")
     side = lambda s: sets.select(F.col("rid").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n_shingles", "second", "third", "shared", "n_shared")))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(
         (100 * F.col("n_shingles_a") >= percent * F.col("n_shingles_b")) & (100 * F.col("n_shingles_b") >= percent * F.col("n_shingles_a"))
@@ -275,8 +278,12 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         if last:
             # A pair is made at the first token that both prefixes have, hence once: no earlier one is common.  The
             # larger set lies in the size class of the smaller one or in the next, so the class is joined on, too.
-            prefixed = left.join(sets.select("rid", "first"), "rid").withColumns(
-                {"size": _size_class("n_shingles", percent), "earlier": F.slice("first", F.lit(1), F.col("at"))}
+            # Tokens that rows of different components share are open, so the open ones are all that is looked at.
+            rows_of = left.groupBy("rid", "n_shingles", "c").agg(F.sort_array(F.collect_list(F.struct("at", "before", "token"))).alias("open"))
+            prefixed = rows_of.select("rid", "n_shingles", "c", "open", F.posexplode("open").alias("place", "p")).select(
+                "rid", "n_shingles", "c", "p.*",
+                _size_class("n_shingles", percent).alias("size"),
+                F.slice("open.token", F.lit(1), F.col("place")).alias("earlier"),
             )
             x = side(prefixed, "x", "earlier", "size")
             x = x.withColumn("size", F.explode(F.array("size_x", F.col("size_x") + 1)))
@@ -321,8 +328,11 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
         .join(several, ["one", "two", "n_shingles"], "left")
         .select("rid", "doc_id", "n_shingles", F.coalesce("class", "rid").alias("class"))
     )
-    candidates = rows.where("first is not null").join(classes.select(F.col("class").alias("rid")), "rid", "left_semi")
-    sets = X.stored(candidates.select("rid", "n_shingles", "own", "first", "second", "third", "shared", "n_shared"), "jaccard-sets")
+    candidates = rows.where("first is not null")
+    named = candidates.select("rid", "one", "two", "n_shingles").join(several, ["one", "two", "n_shingles"], "left")
+    named = X.stored(named.select("rid", F.coalesce(F.col("rid") != F.col("class"), F.lit(False)).alias("copy")), "jaccard-copies")
+    wide = candidates.select("rid", "n_shingles", "own", "first", "second", "third", "shared", "n_shared")
+    sets = X.stored(X.without(wide, "rid", named.where("copy").select("rid"), named.where("not copy").select("rid")), "jaccard-sets")
 
     postings = sets.select("rid", "n_shingles", "own", F.posexplode("first").alias("at", "token")).select(
         "token", "rid", "n_shingles", "at", (F.col("own") + F.col("at")).alias("before")
@@ -370,9 +380,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest", "number", "_rows")).alias("first")
     best = rows.where("n_shingles > 0").groupBy("component").agg(first).select("first.number", "first._rows")
     empty = rows.where("n_shingles = 0").select("number", F.when(F.col("doc_id").isNull(), 1).otherwise(F.col("_rows")).alias("_rows"))
-    kept = X.stored(best.unionAll(empty).withColumnRenamed("number", "_number"), "jaccard-kept")
-    left = docs.join(kept, number == F.col("_number"))
-    once = left.where("_rows = 1").select(*(docs[c] for c in docs.columns))
-    if kept.where("_rows > 1").isEmpty():
-        return once
-    return once.unionAll(left.where("_rows > 1").select(*(docs[c] for c in docs.columns)).dropDuplicates(["doc_id", "text"]))
+    kept = X.stored(best.unionAll(empty), "jaccard-kept")
+    once = X.stored(kept.where("_rows = 1").select("number"), "jaccard-once")
+    others = X.stored(rows.select("number").distinct().join(once, "number", "left_anti"), "jaccard-others")
+    body = docs.select(number.alias("number"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    single = X.without(body, "number", others, once).select("row.*")
+    several = kept.where("_rows > 1").select("number")
+    if several.isEmpty():
+        return single
+    asked = X.marker(several, 3)(body, "number", "asked").where("asked").drop("asked")
+    return single.unionAll(asked.join(several, "number", "left_semi").select("row.*").dropDuplicates(["doc_id", "text"]))

@@ -1,9 +1,15 @@
+import random
 import re
 from collections import Counter, defaultdict
 
+import pytest
 
 from sftframe.llm import jaccard as J
+from sftframe.llm import textcore as X
 from sftframe.llm.graph import components
+from pyspark.sql import functions as F
+
+from .conftest import prose
 
 
 def shingles(text):
@@ -87,3 +93,52 @@ def test_one_of_each_with_repeated_and_null_ids(spark):
     five = [t for n, t in found if n == 5]
     assert len(five) == 1 and five[0] in (c, c + " more")
     assert sorted((r for r in found if r[0] != 5), key=str) == sorted([(1, a), (2, b), (None, d), (None, ""), (None, " "), (9, "")], key=str)
+
+
+def shuffled_bytes(df):
+    """Bytes that the shuffles of ``df`` itself move when it is collected."""
+    df.collect()
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        own = node.metrics().apply("dataSize").value() if name == "Exchange" else 0
+        children = node.children()
+        return own + sum(walk(children.apply(k)) for k in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_texts_that_stay_are_not_shuffled(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, 120) for _ in range(300)]
+    rows = [(k, t) for k, t in enumerate(texts + texts[:60] + [t + " more" for t in texts[60:90]])]
+    docs = X.stored(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(4), "test-docs")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = J.one_of_each(docs)
+        moved = shuffled_bytes(kept)
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(300))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved < sum(len(t) for _, t in rows) / 4
+
+
+@pytest.mark.parametrize("most", [1 << 27, 1 << 15])
+def test_without_is_exact_whatever_the_bitmap_leaves_in_doubt(spark, monkeypatch, most):
+    monkeypatch.setattr(X, "MOST_MARK_BITS", most)
+    rows = spark.range(60_000).select(F.col("id").alias("key"), F.concat(F.lit("row "), F.col("id")).alias("body"))
+    rows = rows.unionAll(rows.where("key < 100"))
+    numbers = X.stored(rows.select("key").distinct(), "test-numbers")
+    dropped, kept = numbers.where("key % 3 = 0"), numbers.where("key % 3 <> 0")
+    found = Counter(tuple(r) for r in X.without(rows, "key", dropped, kept).collect())
+    assert found == Counter(tuple(r) for r in rows.where("key % 3 <> 0").collect())
+    marked = X.marker(dropped, 1)(rows, "key", "mark")
+    assert marked.where("key % 3 = 0 and not mark").isEmpty()
+    doubt = marked.where("key % 3 <> 0 and mark").count()
+    assert doubt < 0.1 * 40_000 if most > 1 << 20 else doubt > 0.1 * 40_000
+    assert X.without(rows, "key", dropped.where("false"), numbers).count() == 60_100
