@@ -18,6 +18,9 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two classes of one
    component need no pair, so no link between components is lost.
 
+Sets and texts are wide: copies among them, and sets that no pair names, are told apart by bitmaps of row numbers
+(``textcore.marker``), so that the others need not be shuffled.
+
 Rounds end: a round pairs classes of different components only, and one after which there is another has linked at
 least one pair, so the number of components falls with each; there are at most as many rounds as classes.  The
 number of slices and of tasks follows the bytes of the texts (``TASK_BYTES``), so what a task holds does not grow.
