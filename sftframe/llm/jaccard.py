@@ -17,6 +17,10 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    of them are made, each at the first shingle that both prefixes have and only between sizes that can link.
    Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two classes of one
    component need no pair, so no link between components is lost.
+5. Each class has a bitmap with the parities of its shared shingles.  Two bitmaps differ in at most as many bits as
+   the sets differ in shingles, so a pair whose bitmaps differ in more than a link allows is dropped within the join
+   of step 4.  Near copies that are not near enough thus make no rows, however large their group; what is left are
+   links and pairs close to the limit.
 
 Sets and texts are wide: copies among them, and sets that no pair names, are told apart by bitmaps of row numbers
 (``textcore.marker``), so that the others need not be shuffled.
@@ -46,6 +50,8 @@ SIZE = 5
 PERCENT = 75
 BITS = 48
 WORTHWHILE = 0.05
+#: Bits of a bitmap for each shared shingle at least, and 64-bit words of the shortest bitmap; lengths are powers of two.
+PARITY_BITS, PARITY_WORDS = 6, 16
 #: Shingles of a unit of documents at least, and for each slice, so that rows between tasks do not become tiny.
 UNIT, UNIT_PER_SLICE = 1_000_000, 512
 #: Bytes of text whose shingles a task counts, in ``SLICES_PER_TASK`` slices held one at a time.
@@ -56,7 +62,7 @@ _UNIT_BITS = 12
 
 _SENT = pa.schema([("slice", pa.int64()), ("unit", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("rows", pa.binary()), ("counts", pa.binary()), ("info", pa.binary())])
 _SENT_SQL = "slice long, unit long, n long, tokens binary, rows binary, counts binary, info binary"
-_FIRST_COLUMNS = "rid long, n_shingles long, one long, two long, own long, first array<long>, second array<long>, third array<long>, shared binary, n_shared long"
+_FIRST_COLUMNS = "rid long, n_shingles long, one long, two long, own long, first array<long>, second array<long>, third array<long>, shared binary, n_shared long, parity array<long>"
 
 
 def _units(size: int, percent: int, slices: int):
@@ -157,10 +163,17 @@ def needed(sizes: np.ndarray, percent: int) -> np.ndarray:
     return -(-percent * sizes // 100)
 
 
+def parities(mixed: np.ndarray) -> np.ndarray:
+    """Bitmap of a set of mixed numbers: a bit tells whether an odd number of them falls on it."""
+    words = max(PARITY_WORDS, 1 << (-(-PARITY_BITS * len(mixed) // 64) - 1).bit_length())
+    odd = np.bincount((mixed & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _prefixes(percent: int):
     """Per unit: put the answers together by document and cut the prefixes under the three orders."""
-    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 3 + [pa.binary(), pa.int64(), pa.int64()]
-    names = ["rid", "n_shingles", "one", "two", "own", "first", "second", "third", "shared", "n_shared", "doc_id"]
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 3 + [pa.binary(), pa.int64(), pa.list_(pa.int64()), pa.int64()]
+    names = ["rid", "n_shingles", "one", "two", "own", "first", "second", "third", "shared", "n_shared", "parity", "doc_id"]
     schema = pa.schema(list(zip(names, kinds)))
 
     def documents(rows):
@@ -180,13 +193,13 @@ def _prefixes(percent: int):
         for k in range(n):
             rid, a, b = (info["unit"] << _ROW_BITS) + k, at[k], at[k + 1]
             if length[k] <= 0 or a == b:
-                result.append((rid, int(sizes[k]), int(ones[k]), int(twos[k]), int(own[k]), None, None, None, None, 0, int(ids[k])))
+                result.append((rid, int(sizes[k]), int(ones[k]), int(twos[k]), int(own[k]), None, None, None, None, 0, None, int(ids[k])))
                 continue
             mine, times, cut = tokens[a:b], counts[a:b], length[k]
             mixed = X.mix(mine.view(np.uint64))
             second = mine[np.lexsort((mixed, times))[:cut]]
             third = mine[np.lexsort((X.mix(mixed), np.frexp(times.astype(np.float64))[1]))[:cut]]
-            result.append((rid, int(sizes[k]), int(ones[k]), int(twos[k]), int(own[k]), mine[:cut], np.sort(second), np.sort(third), X.pack(np.diff(np.sort(mine), prepend=0)), b - a, int(ids[k])))
+            result.append((rid, int(sizes[k]), int(ones[k]), int(twos[k]), int(own[k]), mine[:cut], np.sort(second), np.sort(third), X.pack(np.diff(np.sort(mine), prepend=0)), b - a, parities(mixed), int(ids[k])))
         for begin in range(0, n, 2000):
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*result[begin : begin + 2000]), kinds)], schema=schema)
 
@@ -251,6 +264,29 @@ def _possible(percent: int):
     return sizes & ((100 + percent) * common >= percent * (F.col("n_shingles_x") + F.col("n_shingles_y")))
 
 
+def _differing(x: str, y: str):
+    """Bits in which two bitmaps differ; the longer one is folded to the shorter one's length."""
+    words = F.least(F.size(x), F.size(y))
+
+    def folded(c):
+        part = lambda k: F.slice(c, k * words + 1, words)
+        once = F.zip_with(part(0), part(1), lambda a, b: a.bitwiseXOR(b))
+        # Sets that link have at least ``percent`` of the other's shared shingles, so lengths differ by a factor of two
+        # at most; for other lengths nothing is known.
+        return F.when(F.size(c) == words, F.col(c)).when(F.size(c) == 2 * words, once)
+
+    both = F.zip_with(folded(x), folded(y), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    long = F.aggregate(both, F.lit(0), lambda n, b: n + b)
+    short = sum((F.bit_count(F.col(x)[k].bitwiseXOR(F.col(y)[k])) for k in range(PARITY_WORDS)), F.lit(0))
+    return F.when((F.size(x) == PARITY_WORDS) & (F.size(y) == PARITY_WORDS), short).otherwise(F.coalesce(long, F.lit(0)))
+
+
+def _near(percent: int):
+    """Whether the bitmaps let rows x and y link: they have at most half of what does not differ in common."""
+    alike = F.col("n_shared_x") + F.col("n_shared_y") - _differing("parity_x", "parity_y")
+    return (100 + percent) * alike >= 2 * percent * (F.col("n_shingles_x") + F.col("n_shingles_y"))
+
+
 def _size_class(column: str, percent: int):
     """Sizes by powers of what two linked sets can differ by at most."""
     return F.floor(F.log(F.col(column).cast("double")) / float(np.log(100 / percent) * (1 + 1e-9)))
@@ -260,46 +296,54 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
     """Components after the pairs across components that share a token have been tested, too.
 
     A round pairs the rows of each open token with a pivot of the token's own, so pairs grow with the postings; a
-    row meets as many pivots as it has open tokens.  When few pairs are left, or a round has linked less than
-    ``WORTHWHILE`` of its pairs, all that are left are tested at once.
+    row meets as many pivots as it has open tokens.  When few pairs are left (in all, or of those that pass the
+    bitmaps as a round's share of them tells), or a round has linked less than ``WORTHWHILE`` of its pairs, all that are
+    left are tested at once.
     """
-    number, progress = 0, True
+    number, progress, few = 0, True, False
+    parity = sets.select("rid", "n_shared", "parity")
     label = components(edges)
     while True:
         labelled = postings.join(label, F.col("rid") == F.col("vertex"), "left").withColumn("c", F.coalesce("component", "rid"))
         labelled = X.stored(labelled.select("token", "rid", "n_shingles", "at", "before", "c"), "jaccard-labels")
         open_tokens = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-        left = X.stored(labelled.join(X.stored(open_tokens, "jaccard-open"), "token"), "jaccard-left")
+        left = labelled.join(X.stored(open_tokens, "jaccard-open"), "token")
+        left = X.stored(left.join(parity, "rid"), "jaccard-left")
         parts = left.groupBy("token", "c").agg(F.count("*").cast("double").alias("n"))
         by_token = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         rows, pairs = by_token.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
         if not rows:
             return label
         number += 1
-        last = pairs <= rows or not progress
-        side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *more)))
+        last = pairs <= rows or few or not progress
+        side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", "n_shared", "parity", *more)))
         if last:
             # A pair is made at the first token that both prefixes have, hence once: no earlier one is common.  The
             # larger set lies in the size class of the smaller one or in the next, so the class is joined on, too.
             # Tokens that rows of different components share are open, so the open ones are all that is looked at.
-            rows_of = left.groupBy("rid", "n_shingles", "c").agg(F.sort_array(F.collect_list(F.struct("at", "before", "token"))).alias("open"))
-            prefixed = rows_of.select("rid", "n_shingles", "c", "open", F.posexplode("open").alias("place", "p")).select(
-                "rid", "n_shingles", "c", "p.*",
+            rows_of = left.groupBy("rid", "n_shingles", "c").agg(
+                F.sort_array(F.collect_list(F.struct("at", "before", "token"))).alias("open"),
+                F.first("n_shared").alias("n_shared"), F.first("parity").alias("parity"),
+            )
+            prefixed = rows_of.select("rid", "n_shingles", "c", "n_shared", "parity", "open", F.posexplode("open").alias("place", "p")).select(
+                "rid", "n_shingles", "c", "n_shared", "parity", "p.*",
                 _size_class("n_shingles", percent).alias("size"),
                 F.slice("open.token", F.lit(1), F.col("place")).alias("earlier"),
             )
-            x = side(prefixed, "x", "earlier", "size")
+            # The smaller set has all that is common from the first common token on, which must reach for its own size.
+            x = prefixed.where((100 + percent) * (F.col("n_shingles") - F.col("before")) >= 2 * percent * F.col("n_shingles"))
+            x = side(x, "x", "earlier", "size")
             x = x.withColumn("size", F.explode(F.array("size_x", F.col("size_x") + 1)))
             y = side(prefixed, "y", "earlier", "size").withColumnRenamed("size_y", "size")
             smaller = (F.col("n_shingles_x") < F.col("n_shingles_y")) | ((F.col("n_shingles_x") == F.col("n_shingles_y")) & (F.col("c_x") < F.col("c_y")))
             once = ~F.arrays_overlap("earlier_x", "earlier_y")
-            joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & once)
+            joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & _near(percent) & once)
         else:
             drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
             pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
             pivots = X.stored(drawn.join(pivots, ["token", "draw"]).drop("draw"), "jaccard-pivots")
-            joined = side(left, "x").join(side(pivots, "y"), "token").where(F.col("c_x") != F.col("c_y"))
-        found = joined.where(_possible(percent)).select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
+            joined = side(left, "x").join(side(pivots, "y"), "token").where((F.col("c_x") != F.col("c_y")) & _possible(percent) & _near(percent))
+        found = joined.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
         new = X.stored(found.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = X.stored(_linked(new, sets, percent), "jaccard-more")
         links = more.count()
@@ -307,7 +351,10 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         label = components(label.unionAll(more)) if links else label
         if last:
             return label
-        tested, progress = tested.unionAll(new), links > 0 and links >= WORTHWHILE * new.count()
+        made = new.count()
+        # A round makes a pair per row and token; so many of all that a pivot could have made pass.
+        few = made * pairs <= rows * rows
+        tested, progress = tested.unionAll(new), links > 0 and links >= WORTHWHILE * made
 
 
 def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -334,7 +381,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
     candidates = rows.where("first is not null")
     named = candidates.select("rid", "one", "two", "n_shingles").join(several, ["one", "two", "n_shingles"], "left")
     named = X.stored(named.select("rid", F.coalesce(F.col("rid") != F.col("class"), F.lit(False)).alias("copy")), "jaccard-copies")
-    wide = candidates.select("rid", "n_shingles", "own", "first", "second", "third", "shared", "n_shared")
+    wide = candidates.select("rid", "n_shingles", "own", "first", "second", "third", "shared", "n_shared", "parity")
     sets = X.stored(X.without(wide, "rid", named.where("copy").select("rid"), named.where("not copy").select("rid")), "jaccard-sets")
 
     postings = sets.select("rid", "n_shingles", "own", F.posexplode("first").alias("at", "token")).select(

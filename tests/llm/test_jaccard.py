@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from sftframe.llm import jaccard as J
@@ -142,3 +143,62 @@ def test_without_is_exact_whatever_the_bitmap_leaves_in_doubt(spark, monkeypatch
     doubt = marked.where("key % 3 <> 0 and mark").count()
     assert doubt < 0.1 * 40_000 if most > 1 << 20 else doubt > 0.1 * 40_000
     assert X.without(rows, "key", dropped.where("false"), numbers).count() == 60_100
+
+
+def edited(rng, words, edits, tag):
+    """The words with some replaced by words that no other text has."""
+    words = list(words)
+    for k, at in enumerate(rng.sample(range(4, len(words) - 4), edits)):
+        words[at] = f"{tag}x{k}"
+    return words
+
+
+def test_pairs_of_a_group_that_is_not_near_enough_grow_no_faster_than_the_group(spark, monkeypatch):
+    linked, made = J._linked, {}
+
+    def counted(pairs, sets, percent):
+        made[size] = made.get(size, 0) + pairs.count()
+        return linked(pairs, sets, percent)
+
+    monkeypatch.setattr(J, "_linked", counted)
+    for size in (60, 120):
+        rng = random.Random(size)
+        base = [f"b{k}" for k in range(200)]
+        rows = [(k, " ".join(edited(rng, base, 5, f"u{k}"))) for k in range(size)]
+        # A few with one more edit of a text of the group, so that there are links among them.
+        rows += [(1000 + k, " ".join(edited(rng, rows[7 * k][1].split(), 1, f"v{k}"))) for k in range(6)]
+        docs = X.stored(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3), "test-docs")
+        wanted = expected(rows)
+        assert len({c for _, _, c in wanted}) > size // 2
+        assert sorted(tuple(r) for r in J.digest(docs).collect()) == sorted(wanted)
+    assert made[120] < 3 * made[60] and made[120] < 120 * 119 / 2 / 4
+
+
+def test_long_sets_with_bitmaps_of_different_lengths(spark):
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(760)]
+    rows = []
+    for k in range(40):
+        words = edited(rng, base, rng.randint(8, 17), f"u{k}")
+        cut = rng.choice([0, 0, 60, 110, 150])
+        rows.append((k, " ".join(words[cut:] if k % 2 else words[: len(words) - cut])))
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    wanted = expected(rows)
+    assert 3 < len({c for _, _, c in wanted}) < 40
+    assert sorted(tuple(r) for r in J.digest(docs).collect()) == sorted(wanted)
+
+
+def test_bitmaps_differ_in_no_more_bits_than_sets_in_members(spark):
+    rng = np.random.default_rng(2)
+    rows = []
+    for size in (1, 40, 160, 180, 690, 3000):
+        for gone, new in ((0, 0), (size // 10, 0), (size // 5, size // 9), (size // 2, 0), (size // 2, 9 * size)):
+            one = rng.integers(0, 2**63, size, dtype=np.uint64)
+            two = np.concatenate([one[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)])
+            rows.append((gone + new, size, len(J.parities(one)), len(J.parities(two)), J.parities(one).tolist(), J.parities(two).tolist()))
+    df = spark.createDataFrame(rows, "differ long, size long, x int, y int, parity_x array<long>, parity_y array<long>")
+    found = df.select("differ", "size", "x", "y", J._differing("parity_x", "parity_y").alias("bits")).collect()
+    assert all(r["bits"] <= r["differ"] for r in found)
+    # Close enough to tell from a link what is far from one.
+    assert all(r["bits"] >= 0.7 * r["differ"] for r in found if r["size"] >= 160 and max(r["x"], r["y"]) <= 2 * min(r["x"], r["y"]))
+    assert {max(r["x"], r["y"]) // min(r["x"], r["y"]) for r in found} > {1, 2}
