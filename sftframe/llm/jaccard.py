@@ -19,7 +19,7 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    component need no pair, so no link between components is lost.
 5. Each class has a bitmap with the parities of its shared shingles.  Two bitmaps differ in at most as many bits as
    the sets differ in shingles, so a pair whose bitmaps differ in more than a link allows is dropped within the join
-   of step 4.  Near copies that are not near enough thus make no rows, however large their group; what is left are
+   of step 4, where pairs are more than ``DENSE`` times the rows (bitmaps are wide).  Near copies that are not near enough thus make no rows, however large their group; what is left are
    links and pairs close to the limit.
 
 Sets and texts are wide: copies among them, and sets that no pair names, are told apart by bitmaps of row numbers
@@ -52,6 +52,8 @@ BITS = 48
 WORTHWHILE = 0.05
 #: Bits of a bitmap for each shared shingle at least, and 64-bit words of the shortest bitmap; lengths are powers of two.
 PARITY_BITS, PARITY_WORDS = 6, 16
+#: Pairs for each row of an open shingle above which rows take their bitmaps along.
+DENSE = 16
 #: Shingles of a unit of documents at least, and for each slice, so that rows between tasks do not become tiny.
 UNIT, UNIT_PER_SLICE = 1_000_000, 512
 #: Bytes of text whose shingles a task counts, in ``SLICES_PER_TASK`` slices held one at a time.
@@ -307,26 +309,30 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
         labelled = postings.join(label, F.col("rid") == F.col("vertex"), "left").withColumn("c", F.coalesce("component", "rid"))
         labelled = X.stored(labelled.select("token", "rid", "n_shingles", "at", "before", "c"), "jaccard-labels")
         open_tokens = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-        left = labelled.join(X.stored(open_tokens, "jaccard-open"), "token")
-        left = X.stored(left.join(parity, "rid"), "jaccard-left")
+        left = X.stored(labelled.join(X.stored(open_tokens, "jaccard-open"), "token"), "jaccard-left")
         parts = left.groupBy("token", "c").agg(F.count("*").cast("double").alias("n"))
         by_token = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
         rows, pairs = by_token.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
         if not rows:
             return label
         number += 1
+        dense = pairs > DENSE * rows
+        bits = ("n_shared", "parity") if dense else ()
+        near = _near(percent) if dense else F.lit(True)
+        if dense:
+            left = X.stored(left.join(parity, "rid"), "jaccard-dense")
         last = pairs <= rows or few or not progress
-        side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", "n_shared", "parity", *more)))
+        side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *bits, *more)))
         if last:
             # A pair is made at the first token that both prefixes have, hence once: no earlier one is common.  The
             # larger set lies in the size class of the smaller one or in the next, so the class is joined on, too.
             # Tokens that rows of different components share are open, so the open ones are all that is looked at.
             rows_of = left.groupBy("rid", "n_shingles", "c").agg(
                 F.sort_array(F.collect_list(F.struct("at", "before", "token"))).alias("open"),
-                F.first("n_shared").alias("n_shared"), F.first("parity").alias("parity"),
+                *(F.first(b).alias(b) for b in bits),
             )
-            prefixed = rows_of.select("rid", "n_shingles", "c", "n_shared", "parity", "open", F.posexplode("open").alias("place", "p")).select(
-                "rid", "n_shingles", "c", "n_shared", "parity", "p.*",
+            prefixed = rows_of.select("rid", "n_shingles", "c", *bits, "open", F.posexplode("open").alias("place", "p")).select(
+                "rid", "n_shingles", "c", *bits, "p.*",
                 _size_class("n_shingles", percent).alias("size"),
                 F.slice("open.token", F.lit(1), F.col("place")).alias("earlier"),
             )
@@ -337,12 +343,12 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
             y = side(prefixed, "y", "earlier", "size").withColumnRenamed("size_y", "size")
             smaller = (F.col("n_shingles_x") < F.col("n_shingles_y")) | ((F.col("n_shingles_x") == F.col("n_shingles_y")) & (F.col("c_x") < F.col("c_y")))
             once = ~F.arrays_overlap("earlier_x", "earlier_y")
-            joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & _near(percent) & once)
+            joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & near & once)
         else:
             drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
             pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
             pivots = X.stored(drawn.join(pivots, ["token", "draw"]).drop("draw"), "jaccard-pivots")
-            joined = side(left, "x").join(side(pivots, "y"), "token").where((F.col("c_x") != F.col("c_y")) & _possible(percent) & _near(percent))
+            joined = side(left, "x").join(side(pivots, "y"), "token").where((F.col("c_x") != F.col("c_y")) & _possible(percent) & near)
         found = joined.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
         new = X.stored(found.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
         more = X.stored(_linked(new, sets, percent), "jaccard-more")
@@ -353,7 +359,7 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
             return label
         made = new.count()
         # A round makes a pair per row and token; so many of all that a pivot could have made pass.
-        few = made * pairs <= rows * rows
+        few = dense and made * pairs <= rows * rows
         tested, progress = tested.unionAll(new), links > 0 and links >= WORTHWHILE * made
 
 
