@@ -14,7 +14,8 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    filters of all orders are verified by their exact common shingles, and linked ones form components.
 4. What remains are shingles whose classes lie in several components.  Rounds pair those classes with a pivot of
    each such shingle, drawn anew; when few pairs across components are left, or a round links few of its pairs, all
-   of them are made, each at the first shingle that both prefixes have and only between sizes that can link.
+   of them are made, each at the first shingle that both prefixes have and only between sizes that can link.  A round
+   whose pairs tell that few are left goes on to all of them at once, without components in between.
    Bounds on sizes and on places in the prefix, the filters and the verification are the same.  Two classes of one
    component need no pair, so no link between components is lost.
 5. Each class has a bitmap with the parities of its shared shingles.  Two bitmaps differ in at most as many bits as
@@ -23,7 +24,7 @@ with nothing).  Two documents link when ``100 * common >= 75 * union``.
    links and pairs close to the limit.
 
 Sets and texts are wide: copies among them, and sets that no pair names, are told apart by bitmaps of row numbers
-(``textcore.marker``), so that the others need not be shuffled.
+(``textcore.marker``), so that the others need not be shuffled.  Narrow tables of few rows are broadcast as they are.
 
 Rounds end: a round pairs classes of different components only, and one after which there is another has linked at
 least one pair, so the number of components falls with each; there are at most as many rounds as classes.  The
@@ -248,8 +249,12 @@ def _verify(percent: int):
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # Sets that no pair names stay where they are.
-    named = X.stored(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct(), "jaccard-asked")
-    sets = X.marker(named, 3)(sets, "rid", "asked").where("asked")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("rid"))
+    if 2 * pairs.count() <= X.FEW_ROWS:
+        sets = sets.join(F.broadcast(named), "rid", "left_semi")
+    else:
+        named = X.stored(named.distinct(), "jaccard-asked")
+        sets = X.marker(named, 3)(sets, "rid", "asked").where("asked")
     side = lambda s: sets.select(F.col("rid").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("n_shingles", "second", "third", "shared", "n_shared")))
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").where(
         (100 * F.col("n_shingles_a") >= percent * F.col("n_shingles_b")) & (100 * F.col("n_shingles_b") >= percent * F.col("n_shingles_a"))
@@ -299,30 +304,44 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
 
     A round pairs the rows of each open token with a pivot of the token's own, so pairs grow with the postings; a
     row meets as many pivots as it has open tokens.  When few pairs are left (in all, or of those that pass the
-    bitmaps as a round's share of them tells), or a round has linked less than ``WORTHWHILE`` of its pairs, all that are
+    bitmaps as the share of a round's pairs tells), or a round has linked less than ``WORTHWHILE`` of its pairs, all that are
     left are tested at once.
     """
-    number, progress, few = 0, True, False
+    number, progress = 0, True
     parity = sets.select("rid", "n_shared", "parity")
     label = components(edges)
     while True:
-        labelled = postings.join(label, F.col("rid") == F.col("vertex"), "left").withColumn("c", F.coalesce("component", "rid"))
+        labelled = postings.join(X.hinted(label), F.col("rid") == F.col("vertex"), "left").withColumn("c", F.coalesce("component", "rid"))
         labelled = X.stored(labelled.select("token", "rid", "n_shingles", "at", "before", "c"), "jaccard-labels")
-        open_tokens = labelled.groupBy("token").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x <> y").select("token")
-        left = X.stored(labelled.join(X.stored(open_tokens, "jaccard-open"), "token"), "jaccard-left")
-        parts = left.groupBy("token", "c").agg(F.count("*").cast("double").alias("n"))
-        by_token = parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        rows, pairs = by_token.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
+        parts = labelled.groupBy("token", "c").agg(F.count("*").cast("double").alias("n"))
+        open_tokens = parts.groupBy("token").agg(
+            F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same")
+        ).where("parts > 1")
+        open_tokens = X.stored(open_tokens.select("token", "n", "same"), "jaccard-open")
+        rows, pairs = open_tokens.agg(F.sum("n"), F.sum(F.col("n") * F.col("n") - F.col("same")) / 2).first()
         if not rows:
             return label
+        left = X.stored(labelled.join(X.hinted(open_tokens.select("token")), "token"), "jaccard-left")
         number += 1
         dense = pairs > DENSE * rows
         bits = ("n_shared", "parity") if dense else ()
         near = _near(percent) if dense else F.lit(True)
         if dense:
             left = X.stored(left.join(parity, "rid"), "jaccard-dense")
-        last = pairs <= rows or few or not progress
+        last = pairs <= rows or not progress
         side = lambda df, s, *more: df.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("rid", "n_shingles", "at", "before", "c", *bits, *more)))
+        untested = lambda joined: joined.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct().join(
+            X.hinted(tested), ["a", "b"], "left_anti"
+        )
+        if not last:
+            drawn = F.struct(F.xxhash64("rid", "token", F.lit(number)).alias("draw"), *(c for c in left.columns if c != "token"))
+            pivots = X.stored(left.groupBy("token").agg(F.min(drawn).alias("p")).select("token", "p.*").drop("draw"), "jaccard-pivots")
+            met = side(left, "x").join(side(pivots, "y"), "token").where((F.col("c_x") != F.col("c_y")) & _possible(percent) & near)
+            new = X.stored(untested(met), "jaccard-pairs")
+            made = new.count()
+            # A round makes a pair per row and token; so many of all that a pivot could have made pass.  When they are
+            # few, this round's are among them.
+            last = dense and made * pairs <= rows * rows
         if last:
             # A pair is made at the first token that both prefixes have, hence once: no earlier one is common.  The
             # larger set lies in the size class of the smaller one or in the next, so the class is joined on, too.
@@ -344,22 +363,13 @@ def _across(postings: DataFrame, sets: DataFrame, edges: DataFrame, tested: Data
             smaller = (F.col("n_shingles_x") < F.col("n_shingles_y")) | ((F.col("n_shingles_x") == F.col("n_shingles_y")) & (F.col("c_x") < F.col("c_y")))
             once = ~F.arrays_overlap("earlier_x", "earlier_y")
             joined = x.join(y, ["token", "size"]).where(smaller & (F.col("c_x") != F.col("c_y")) & _possible(percent) & near & once)
-        else:
-            drawn = left.withColumn("draw", F.xxhash64("rid", "token", F.lit(number)))
-            pivots = drawn.groupBy("token").agg(F.min("draw").alias("draw"))
-            pivots = X.stored(drawn.join(pivots, ["token", "draw"]).drop("draw"), "jaccard-pivots")
-            joined = side(left, "x").join(side(pivots, "y"), "token").where((F.col("c_x") != F.col("c_y")) & _possible(percent) & near)
-        found = joined.select(F.least("rid_x", "rid_y").alias("a"), F.greatest("rid_x", "rid_y").alias("b")).distinct()
-        new = X.stored(found.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+            new = X.stored(untested(joined), "jaccard-pairs")
         more = X.stored(_linked(new, sets, percent), "jaccard-more")
         links = more.count()
         # What is known so far is a star per component, so only the new links have to be worked in.
         label = components(label.unionAll(more)) if links else label
         if last:
             return label
-        made = new.count()
-        # A round makes a pair per row and token; so many of all that a pivot could have made pass.
-        few = dense and made * pairs <= rows * rows
         tested, progress = tested.unionAll(new), links > 0 and links >= WORTHWHILE * made
 
 
@@ -381,11 +391,11 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
     several = X.stored(classes.where("copies > 1"), "jaccard-classes")
     members = (
         rows.select("rid", "doc_id", "n_shingles", "one", "two")
-        .join(several, ["one", "two", "n_shingles"], "left")
+        .join(X.hinted(several), ["one", "two", "n_shingles"], "left")
         .select("rid", "doc_id", "n_shingles", F.coalesce("class", "rid").alias("class"))
     )
     candidates = rows.where("first is not null")
-    named = candidates.select("rid", "one", "two", "n_shingles").join(several, ["one", "two", "n_shingles"], "left")
+    named = candidates.select("rid", "one", "two", "n_shingles").join(X.hinted(several), ["one", "two", "n_shingles"], "left")
     named = X.stored(named.select("rid", F.coalesce(F.col("rid") != F.col("class"), F.lit(False)).alias("copy")), "jaccard-copies")
     wide = candidates.select("rid", "n_shingles", "own", "first", "second", "third", "shared", "n_shared", "parity")
     sets = X.stored(X.without(wide, "rid", named.where("copy").select("rid"), named.where("not copy").select("rid")), "jaccard-sets")
@@ -400,7 +410,7 @@ def similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: i
     stars = X.stored(postings.where("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b")).distinct(), "jaccard-stars")
     edges = X.stored(_linked(stars, sets, percent), "jaccard-edges")
     merged = _across(postings, sets, edges, stars, percent)
-    return members.join(merged, F.col("class") == F.col("vertex"), "left").select("doc_id", "n_shingles", "rid", F.coalesce("component", "class").alias("component"))
+    return members.join(X.hinted(merged), F.col("class") == F.col("vertex"), "left").select("doc_id", "n_shingles", "rid", F.coalesce("component", "class").alias("component"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -202,3 +202,38 @@ def test_bitmaps_differ_in_no_more_bits_than_sets_in_members(spark):
     # Close enough to tell from a link what is far from one.
     assert all(r["bits"] >= 0.7 * r["differ"] for r in found if r["size"] >= 160 and max(r["x"], r["y"]) <= 2 * min(r["x"], r["y"]))
     assert {max(r["x"], r["y"]) // min(r["x"], r["y"]) for r in found} > {1, 2}
+
+
+def hardly_linked(size):
+    """Near copies that are not near enough to link, and a few that link to one of them."""
+    rng = random.Random(size)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(k, " ".join(edited(rng, base, 5, f"u{k}"))) for k in range(size)]
+    return rows + [(1000 + k, " ".join(edited(rng, rows[7 * k][1].split(), 1, f"v{k}"))) for k in range(6)]
+
+
+@pytest.mark.parametrize("few", [X.FEW_ROWS, 0])
+def test_a_group_that_is_not_near_enough_takes_one_round(spark, monkeypatch, few):
+    joined, linked, calls = J.components, J._linked, []
+    monkeypatch.setattr(J, "components", lambda edges: calls.append("components") or joined(edges))
+    monkeypatch.setattr(J, "_linked", lambda *a: calls.append("linked") or linked(*a))
+    monkeypatch.setattr(X, "FEW_ROWS", few)
+    rows = hardly_linked(100)
+    docs = X.stored(spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3), "test-docs")
+    assert sorted(tuple(r) for r in J.digest(docs).collect()) == sorted(expected(rows))
+    # The star pairs of the first order, and what is left after a round that tells that it is little.
+    assert calls.count("linked") == 2 and calls.count("components") <= 2
+
+
+def test_components_of_repeated_edges_in_any_direction(spark):
+    edges = [(5, 2), (2, 5), (5, 2), (9, 9), (7, 2), (11, 10), (10, 11)]
+    found = components(spark.createDataFrame(edges, "x BIGINT, y BIGINT")).collect()
+    assert sorted(tuple(r) for r in found) == [(5, 2), (7, 2), (11, 10)]
+    rng = random.Random(1)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)]
+    least = list(range(300))
+    for _ in range(300):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    found = components(spark.createDataFrame(edges, "x BIGINT, y BIGINT").repartition(3)).collect()
+    assert sorted(tuple(r) for r in found) == [(v, c) for v, c in enumerate(least) if c != v]
