@@ -1,7 +1,7 @@
 """Connected components of a table of edges, by alternating large and small stars.
 
-A pair of steps takes five shuffles and the question whether all is done one, so that short tables do not wait for
-tasks without rows.
+Edges that a step repeats go before the next one, as a vertex would have as many rows there as it had neighbours.  The
+question whether all is done takes one shuffle, so that short tables do not wait for tasks without rows.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from sftframe.llm.textcore import stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step over edges ``a > b``; a vertex with many edges is only ever aggregated.  A large step leaves repeats."""
+    """One step over edges ``a > b``; a vertex with many edges is only ever aggregated."""
     if large:
         near = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
@@ -21,9 +21,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
     joined = near.join(least, "u")
     if large:
-        # One edge for each that came, so repeats can wait for the small step.
-        return joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
-    moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
+        moved = joined.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+    else:
+        moved = joined.select(F.col("v").alias("a"), F.col("m").alias("b")).unionAll(least.select(F.col("u").alias("a"), F.col("m").alias("b")))
     return moved.where("a <> b").distinct()
 
 
